@@ -24,12 +24,12 @@ def outer_fill(a: DataFrame, b: DataFrame, keys: Sequence[str], fill: int = 0) -
 
 def only_in(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys of ``a`` that ``b`` lacks."""
-    return a.select(*keys).distinct().join(b.select(*keys), list(keys), "left_anti")
+    return a.select(*keys).distinct().join(b.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def keys_in_both(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys found on both sides."""
-    return a.select(*keys).distinct().join(b.select(*keys), list(keys), "left_semi")
+    return a.select(*keys).distinct().join(b.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def zip_rows(

@@ -23,7 +23,7 @@ def exact_quantiles(
     Larger ones count equal values first, spread the distinct values over ranges, and look only into the
     ranges that hold the wanted positions.
     """
-    if df.limit(in_memory_rows + 1).count() <= in_memory_rows:
+    if df.count() <= in_memory_rows:
         return _by_buffer(df, cols, probs)
     return _by_ranges(df, cols, probs)
 

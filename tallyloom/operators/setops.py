@@ -12,27 +12,33 @@ def set_union(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.union(b).distinct()
 
 
+def _sides(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Each distinct row once, with ``_sides`` 1 (only in a), 2 (only in b) or 3.
+
+    Both sides are shuffled once, after a partial aggregate that thins out repeated rows; nulls compare equal.
+    """
+    both = a.withColumn("_side", F.lit(1)).union(b.withColumn("_side", F.lit(2)))
+    return both.groupBy(*a.columns).agg(F.bit_or("_side").alias("_sides"))
+
+
 def set_intersect(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.intersect(b)
+    """Distinct rows found in both."""
+    return _sides(a, b).where("_sides = 3").select(*a.columns)
 
 
 def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Distinct rows of ``a`` not in ``b``."""
-    return a.subtract(b)
+    return _sides(a, b).where("_sides = 1").select(*a.columns)
 
 
 def set_symdiff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Distinct rows in exactly one of the two, found with one shuffle of both."""
-    cols = a.columns
-    both = a.withColumn("_side", F.lit(1)).union(b.withColumn("_side", F.lit(2)))
-    sides = both.groupBy(*cols).agg(F.bit_or("_side").alias("_sides"))
-    return sides.where("_sides < 3").select(*cols)
+    """Distinct rows in exactly one of the two."""
+    return _sides(a, b).where("_sides < 3").select(*a.columns)
 
 
 def is_superset(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row ``superset``: whether ``a`` holds every row of ``b``."""
-    missing = b.join(a, on=[b[x].eqNullSafe(a[y]) for x, y in zip(b.columns, a.columns)], how="left_anti")
-    return missing.agg((F.count("*") == 0).alias("superset"))
+    return _sides(a, b).agg((F.count_if(F.col("_sides") == 2) == 0).alias("superset"))
 
 
 def chain(*frames: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def match_statements(
     """Distinct ``s, value, qualifier`` of the qualified statements with a property, for subjects of a type."""
     facts = statements.where(F.col("p") == prop).select("s", "value", qualifier)
     if of_type is not None:
-        kind = triples.where((F.col("p") == "type") & (F.col("o") == of_type)).select("s")
+        kind = triples.where((F.col("p") == "type") & (F.col("o") == of_type)).select("s").distinct()
         facts = facts.join(kind, "s", "left_semi")
     return facts.distinct()
 

@@ -5,7 +5,9 @@ from tallyloom.plans import (  # noqa: F401  importing a module registers its qu
     combining,
     counting,
     ingest,
+    matrices,
     ordering,
+    texts,
 )
 from tallyloom.plans.registry import ORACLES, QUERIES
 
