@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def grey(r: Column, g: Column, b: Column) -> Column:
-    """Luma of a colour, rounded to a whole level."""
-    # The usual luma weights.
-    return F.floor(r * 0.299 + g * 0.587 + b * 0.114 + 0.5).cast("int")
+    """Luma of a colour, rounded to a whole level; in whole numbers, so that halves round alike everywhere."""
+    # The usual luma weights, 0.299, 0.587 and 0.114, in thousandths.
+    return F.floor((r * 299 + g * 587 + b * 114 + 500) / 1000).cast("int")
 
 
 def hex_colour(r: Column, g: Column, b: Column) -> Column:

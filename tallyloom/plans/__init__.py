@@ -4,7 +4,9 @@ from tallyloom.plans import (  # noqa: F401  importing a module registers its qu
     cleaning,
     combining,
     counting,
+    images,
     ingest,
+    learning,
     matrices,
     ordering,
     texts,
