@@ -49,7 +49,7 @@ class CentreFit:
 
     def table(self, df: DataFrame) -> DataFrame:
         """``cluster`` and one column per coordinate."""
-        rows = [(i, *c) for i, c in enumerate(self.centres)]
+        rows = [(i, *map(float, c)) for i, c in enumerate(self.centres)]
         return df.sparkSession.createDataFrame(rows, "cluster int, " + ", ".join(f"{c} double" for c in self.cols))
 
 
@@ -174,8 +174,8 @@ def fit_kmeans_grouped(
 
         best = F.array_min(F.transform("model.m", gap))
         return rows.select(
-            group, F.col("model.k").alias("k"), F.col("model.start").alias("start"), *cols, "n", best.alias("b")
-        ).select(group, "k", "start", F.col("b.cluster").alias("cluster"), *cols, "n", F.col("b.d").alias("d"))
+            group, F.col("model.k").alias("k"), F.col("model.start").alias("start"), *cols, "n", best.alias("_best")
+        ).select(group, "k", "start", F.col("_best.cluster").alias("cluster"), *cols, "n", F.col("_best.d").alias("_d"))
 
     for _ in range(max_iter):
         means = F.array(*[F.sum(F.col(c) * F.col("n")) / F.sum("n") for c in cols])
@@ -186,7 +186,7 @@ def fit_kmeans_grouped(
         centres = step.select(*key, F.coalesce("to", "centre").alias("centre"))
         if shift is None or shift <= tol * tol:
             break
-    found = assigned(centres).groupBy(*key).agg(F.sum("n").alias("n"), F.sum(F.col("d") * F.col("n")).alias("part"))
+    found = assigned(centres).groupBy(*key).agg(F.sum("n").alias("n"), F.sum(F.col("_d") * F.col("n")).alias("part"))
     cost = found.groupBy(group, "k", "start").agg(F.sum("part").alias("inertia"))
     best = cost.groupBy(group, "k").agg(F.min(F.struct("inertia", "start")).alias("b"))
     best = best.select(group, "k", F.col("b.start").alias("start"), F.col("b.inertia").alias("inertia"))

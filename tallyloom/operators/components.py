@@ -29,7 +29,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``node, component`` for the nodes of the edge table ``u, v``; a component is named by its smallest node.
 
-    Alternating large-star and small-star steps (Kiveris and others, 2014), checkpointed each round.
+    Alternating large-star and small-star steps (Kiveris and others, 2014), written out each round.
     """
     now = cut_lineage(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None

@@ -48,7 +48,7 @@ def enumerate_rows(
 
     Rows are range-partitioned and sorted, numbered inside each partition, and shifted by the sizes of the
     partitions before. Ties are broken by a hash of the row, which also spreads a repeated key over
-    partitions. The sorted rows are checkpointed, as the ranges may differ if they were computed twice.
+    partitions. The sorted rows are written out, as the ranges may differ if they were computed twice.
     """
     keys = [*_cols(order), F.xxhash64(*_hashable(df))]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)

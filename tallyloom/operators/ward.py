@@ -25,7 +25,11 @@ BLOCK = 2048
 
 
 def _best_partners(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """For each left cluster the right one with the least (distance, smaller id, larger id)."""
+    """For each left cluster the right one with the least (distance, mix, id).
+
+    ``mix`` scrambles the two ids, the same from both sides. Equal distances are frequent on coded data, and
+    a scrambled order among them gives many mutual pairs per round where an order by id gives long chains.
+    """
     ida, idb = left["cid"].to_numpy(), right["cid"].to_numpy()
     wa, wb = left["w"].to_numpy(), right["w"].to_numpy()
     a, b = np.stack(left["centre"].to_numpy()), np.stack(right["centre"].to_numpy())
@@ -35,12 +39,13 @@ def _best_partners(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     cost = gap * (wa[:, None] * wb[None, :] / (wa[:, None] + wb[None, :]))
     cost[ida[:, None] == idb[None, :]] = np.inf
     least = cost.min(axis=1)
-    tied = cost == least[:, None]
-    low = np.where(tied, np.minimum(ida[:, None], idb[None, :]), np.iinfo(np.int64).max)
-    tied &= low == low.min(axis=1)[:, None]
-    partner = np.where(tied, idb[None, :], np.iinfo(np.int64).max).min(axis=1)
-    found = np.isfinite(least)
-    return pd.DataFrame({"cid": ida[found], "partner": partner[found], "cost": least[found]})
+    rows, cols = np.nonzero(cost == least[:, None])
+    low, high = np.minimum(ida[rows], idb[cols]), np.maximum(ida[rows], idb[cols])
+    mix = (low * 6364136223846793005 + high) * 1442695040888963407
+    mix = (mix ^ (mix >> 29)) & np.iinfo(np.int64).max
+    tied = pd.DataFrame({"cid": ida[rows], "partner": idb[cols], "cost": least[rows], "mix": mix})
+    tied = tied[np.isfinite(tied["cost"])]
+    return tied.sort_values(["cid", "mix", "partner"]).drop_duplicates("cid")
 
 
 def _nearest(clusters: DataFrame, blocks: int) -> DataFrame:
@@ -53,11 +58,11 @@ def _nearest(clusters: DataFrame, blocks: int) -> DataFrame:
 
     def tile(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
-            return pd.DataFrame({"cid": [], "partner": [], "cost": []})
+            return pd.DataFrame({"cid": [], "partner": [], "cost": [], "mix": []})
         return _best_partners(a, b)
 
-    options = tiles.applyInPandas(tile, "cid long, partner long, cost double")
-    rank = F.struct("cost", F.least("cid", "partner").alias("lo"), F.greatest("cid", "partner").alias("hi"), "partner")
+    options = tiles.applyInPandas(tile, "cid long, partner long, cost double, mix long")
+    rank = F.struct("cost", "mix", F.least("cid", "partner").alias("lo"), F.greatest("cid", "partner").alias("hi"), "partner")
     best = options.groupBy("cid").agg(F.min(rank).alias("b"))
     return best.select("cid", F.col("b.partner").alias("partner"), F.col("b.cost").alias("cost"))
 

@@ -8,7 +8,9 @@ from tallyloom.plans import (  # noqa: F401  importing a module registers its qu
     ingest,
     learning,
     matrices,
+    models,
     ordering,
+    streams,
     texts,
 )
 from tallyloom.plans.registry import ORACLES, QUERIES

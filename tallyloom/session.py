@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder for checkpoints and scratch tables, as named by ``spark.checkpoint.dir``.
+    """Folder for scratch tables and stream checkpoints, as named by ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a temporary folder of this machine.
     """
@@ -22,8 +22,6 @@ def shared_root(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="tallyloom-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -33,6 +31,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so that lost executors cost no rerun."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Lost executors cost no rerun of what came before, both sides of a self-join see the same rows, and the
+    next plan starts from a file scan with known sizes. (The plan of a ``checkpoint()`` keeps the inferred
+    constraints of its input, which grow with every round of a loop.)
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
