@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Patterns shared by the functions below.
-SPACE = r"[\t-\r\x1c-\x20\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Patterns shared by the functions below. White space is what Unicode counts as such. Both classes
+# settle printable ASCII with their first range, which is what most characters need.
+_BLANKS = r"\t-\r\x1c-\x20\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = rf"[[^!-~]&&[{_BLANKS}]]"
+WORD = rf"[!-~[^{_BLANKS}]]+"
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
 LOG_LINE = r"^(\S+ \S+) \[(\w+)\] (.*)$"
 NUMBERED_LINE = r"^Line (\d+):"
@@ -40,7 +43,7 @@ def longer_than(col: Column, n: int) -> Column:
 def split_text(col: Column, sep: str | None = None) -> Column:
     """Split by a literal separator (empty parts kept) or, by default, by runs of white space (none kept)."""
     if sep is None:
-        return F.filter(F.split(col, SPACE + "+"), lambda w: w != "")
+        return F.regexp_extract_all(col, F.lit(WORD), F.lit(0))
     return F.split(col, r"\Q" + sep + r"\E")
 
 

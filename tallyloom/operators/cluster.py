@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -65,8 +64,10 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 1, seed
 
 
 def _fit_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int], n_init: int, seed: int, max_iter: int) -> list[CentreFit]:
-    made = VectorAssembler(inputCols=list(cols), outputCol="features").transform(weighted_points(df, cols))
-    data = made.select("features", "n").persist(StorageLevel.MEMORY_AND_DISK)
+    points = cut_lineage(weighted_points(df, cols), spread=True)
+    made = VectorAssembler(inputCols=list(cols), outputCol="features").transform(points)
+    # Not cached here: each fit caches its own unpacked vectors, which is much faster to iterate over.
+    data = made.select("features", "n")
     fits = []
     for k in ks:
         best = None
@@ -76,7 +77,6 @@ def _fit_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int], n_init: int
                 best = model
         centres = sorted(tuple(float(v) for v in c) for c in best.clusterCenters())
         fits.append(CentreFit(tuple(cols), tuple(centres), float(best.summary.trainingCost)))
-    data.unpersist()
     return fits
 
 
@@ -141,15 +141,16 @@ def fit_kmeans_grouped(
     seed: int = 0,
     max_iter: int = 10,
     tol: float = 1e-4,
+    in_task_values: int = 1_000_000,
 ) -> DataFrame:
     """k-means within every group, for every k, all at once: ``group, k, cluster, <cols>, n, inertia``.
 
-    Points are reduced to distinct ones with weights. Each round joins them with one row per group that holds
-    the centres of all its models, and adds up new centres; the centres stay a table, whatever the number of
-    groups. ``inertia`` is that of the model; the best of ``n_init`` starts is kept.
+    Points are reduced to distinct ones with weights, and each round adds up new centres for all models. The
+    centres go to the tasks while they are at most ``in_task_values`` numbers; with more groups than that they
+    stay a table that is joined. ``inertia`` is that of the model; the best of ``n_init`` starts is kept.
     """
     points = df.select(group, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    points = cut_lineage(points.groupBy(group, *cols).agg(F.count("*").alias("n")))
+    points = cut_lineage(points.groupBy(group, *cols).agg(F.count("*").alias("n")), spread=True)
     centre = F.array(*cols)
     starts = None
     for start in range(n_init):
@@ -162,38 +163,91 @@ def fit_kmeans_grouped(
             starts = rows if starts is None else starts.unionByName(rows)
     centres = cut_lineage(starts)
     key = [group, "k", "start", "cluster"]
-
-    def assigned(now: DataFrame) -> DataFrame:
-        models = now.groupBy(group, "k", "start").agg(F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("m"))
-        packed = models.groupBy(group).agg(F.collect_list(F.struct("k", "start", "m")).alias("models"))
-        rows = points.join(packed, group).select(group, *cols, "n", F.explode("models").alias("model"))
-
-        def gap(o: Column) -> Column:
-            parts = [(F.col(c) - o["centre"][i]) * (F.col(c) - o["centre"][i]) for i, c in enumerate(cols)]
-            return F.struct(sum(parts[1:], parts[0]).alias("d"), o["cluster"].alias("cluster"))
-
-        best = F.array_min(F.transform("model.m", gap))
-        return rows.select(
-            group, F.col("model.k").alias("k"), F.col("model.start").alias("start"), *cols, "n", best.alias("_best")
-        ).select(group, "k", "start", F.col("_best.cluster").alias("cluster"), *cols, "n", F.col("_best.d").alias("_d"))
+    small = centres.count() * len(cols) <= in_task_values
+    assign = _sums_in_tasks if small else _sums_by_join
 
     for _ in range(max_iter):
-        means = F.array(*[F.sum(F.col(c) * F.col("n")) / F.sum("n") for c in cols])
-        moved = assigned(centres).groupBy(*key).agg(means.alias("to"))
+        moved = assign(points, centres, group, cols).select(*key, F.transform("sums", lambda v: v / F.col("n")).alias("to"))
         step = cut_lineage(centres.join(moved, key, "left"))
         gaps = F.zip_with("centre", F.coalesce("to", "centre"), lambda a, b: (a - b) * (a - b))
         shift = step.agg(F.max(F.array_max(gaps))).first()[0]
         centres = step.select(*key, F.coalesce("to", "centre").alias("centre"))
         if shift is None or shift <= tol * tol:
             break
-    found = assigned(centres).groupBy(*key).agg(F.sum("n").alias("n"), F.sum(F.col("_d") * F.col("n")).alias("part"))
-    cost = found.groupBy(group, "k", "start").agg(F.sum("part").alias("inertia"))
-    best = cost.groupBy(group, "k").agg(F.min(F.struct("inertia", "start")).alias("b"))
-    best = best.select(group, "k", F.col("b.start").alias("start"), F.col("b.inertia").alias("inertia"))
-    table = centres.join(best, [group, "k", "start"]).join(found.drop("part"), key, "left").fillna(0, ["n"])
+    found = cut_lineage(assign(points, centres, group, cols).select(*key, "n", "cost"))
+    cost = found.groupBy(group, "k", "start").agg(F.sum("cost").alias("inertia"))
+    best = cost.groupBy(group, "k").agg(F.min(F.struct("inertia", "start")).alias("_b"))
+    best = best.select(group, "k", F.col("_b.start").alias("start"), F.col("_b.inertia").alias("inertia"))
+    table = centres.join(best, [group, "k", "start"]).join(found.drop("cost"), key, "left").fillna(0, ["n"])
     return table.select(group, "k", "cluster", *[F.col("centre")[i].alias(c) for i, c in enumerate(cols)], "n", "inertia")
 
 
+def _sums_in_tasks(points: DataFrame, centres: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
+    """``group, k, start, cluster, n, cost, sums``: the centres go to every task, partial sums come back."""
+    kinds = dict(centres.dtypes)
+    table = centres.toPandas()
+    groups = pd.Index(table[group].unique())
+    models = {}
+    for (k, start), part in table.groupby(["k", "start"]):
+        # A group with fewer distinct points than k has fewer centres; the rest lie at infinity.
+        grid = np.full((len(groups), k, len(cols)), np.inf)
+        grid[groups.get_indexer(part[group]), part["cluster"]] = np.stack(part["centre"].to_numpy())
+        models[int(k), int(start)] = grid
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            g = groups.get_indexer(batch[group])
+            x = batch[list(cols)].to_numpy(float)
+            n = batch["n"].to_numpy(float)
+            for (k, start), grid in models.items():
+                gap = np.zeros((len(x), k))
+                for i in range(len(cols)):
+                    gap += (x[:, i, None] - grid[g, :, i]) ** 2
+                cluster = gap.argmin(axis=1)
+                slot = g * k + cluster
+                used, at = np.unique(slot, return_inverse=True)
+                sums = [np.bincount(at, n * x[:, i]) for i in range(len(cols))]
+                yield pd.DataFrame(
+                    {
+                        group: groups[used // k],
+                        "k": k,
+                        "start": start,
+                        "cluster": used % k,
+                        "n": np.bincount(at, n),
+                        "cost": np.bincount(at, n * gap[np.arange(len(x)), cluster]),
+                        "sums": list(np.column_stack(sums)),
+                    }
+                )
+
+    schema = f"`{group}` {kinds[group]}, k int, start int, cluster int, n double, cost double, sums array<double>"
+    parts = points.select(group, *cols, "n").mapInPandas(run, schema)
+    totals = parts.groupBy(group, "k", "start", "cluster").agg(
+        F.sum("n").cast("long").alias("n"),
+        F.sum("cost").alias("cost"),
+        F.array(*[F.sum(F.col("sums")[i]) for i in range(len(cols))]).alias("sums"),
+    )
+    return totals
+
+
+def _sums_by_join(points: DataFrame, centres: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
+    """The same for more groups than tasks can be sent: points meet one row of models per group."""
+    models = centres.groupBy(group, "k", "start").agg(F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("m"))
+    packed = models.groupBy(group).agg(F.collect_list(F.struct("k", "start", "m")).alias("models"))
+    rows = points.join(packed, group).select(group, *cols, "n", F.explode("models").alias("model"))
+
+    def gap(o: Column) -> Column:
+        parts = [(F.col(c) - o["centre"][i]) * (F.col(c) - o["centre"][i]) for i, c in enumerate(cols)]
+        return F.struct(sum(parts[1:], parts[0]).alias("d"), o["cluster"].alias("cluster"))
+
+    best = F.array_min(F.transform("model.m", gap))
+    placed = rows.select(group, "model.k", "model.start", *cols, "n", best.alias("_best"))
+    return placed.groupBy(group, "k", "start", F.col("_best.cluster").alias("cluster")).agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("_best.d") * F.col("n")).alias("cost"),
+        F.array(*[F.sum(F.col(c) * F.col("n")) for c in cols]).alias("sums"),
+    )
+
+
 def minibatch_step(
     centres: np.ndarray, counts: np.ndarray, batch: DataFrame, cols: Sequence[str]
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -242,7 +296,7 @@ def silhouette_values(
     total = rows.count()
     if total > sample:
         rows = rows.where(_first_by_hash(rows, "id", {0: sample}, F.lit(0), seed))
-    rows = cut_lineage(rows)
+    rows = cut_lineage(rows, spread=True)
     local = rows.select("label", "v").collect()
     labels = np.array([r["label"] for r in local])
     points = np.array([r["v"] for r in local], dtype=float)
@@ -274,8 +328,7 @@ def silhouette_values(
                 yield pd.DataFrame({"id": part["id"], "label": part["label"], "a": a, "b": b, "silhouette": np.nan_to_num(s)})
 
     kind = dict(rows.dtypes)
-    spread = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
-    return spread.mapInPandas(score, f"id {kind['id']}, label {kind['label']}, a double, b double, silhouette double")
+    return rows.mapInPandas(score, f"id {kind['id']}, label {kind['label']}, a double, b double, silhouette double")
 
 
 def silhouette(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, sample: int = 10_000, seed: int = 0) -> DataFrame:

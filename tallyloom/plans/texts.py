@@ -93,7 +93,7 @@ def palindromes(t: Tables) -> DataFrame:
 )
 def sentence_filters(t: Tables) -> DataFrame:
     x = c("text")
-    keep = (text.word_count(x) > 5) & text.contains_ci(x, "The") & (text.mean_word_len(x) > 4)
+    keep = text.contains_ci(x, "The") & (text.word_count(x) > 5) & (text.mean_word_len(x) > 4)
     return t.documents.where(keep).select(
         "doc_id", text.word_count(x).alias("words"), F.round(text.mean_word_len(x), 6).alias("mean_len")
     )
