@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the table folder, ``BENCH_CPUS`` the number of cores. Each query is run once to warm up
-and then ``BENCH_RUNS`` times; its median is reported. The whole result is computed and thrown away.
+and then ``BENCH_RUNS`` times (once if the first run took over three seconds); the median is reported. The
+whole result is computed and thrown away.
 ``python bench.py name …`` times other queries, ``python bench.py all`` every one.
 """
 
@@ -83,13 +84,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     seconds: dict[str, float] = {}
     for name in names:
-        taken = []
-        for run in range(runs + 1):
+        def once() -> float:
             begun = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            if run or not runs:
-                taken.append(time.perf_counter() - begun)
-        seconds[name] = round(statistics.median(taken), 3)
+            return time.perf_counter() - begun
+
+        first = once()
+        taken = [once() for _ in range(min(runs, 1) if first > 3 else runs)]
+        seconds[name] = round(statistics.median(taken or [first]), 3)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)
     spark.stop()
     total = round(sum(seconds.values()), 3)

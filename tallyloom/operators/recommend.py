@@ -61,8 +61,9 @@ def _long(df: DataFrame, ids: Sequence[str], attrs: Sequence[str]) -> DataFrame:
 
 def preference_counts(likes: DataFrame, items: DataFrame, attrs: Sequence[str]) -> DataFrame:
     """``user, attr, value, n``: how often a user liked each attribute value."""
-    liked = likes.join(items, "item").select("user", *attrs)
-    return _long(liked, ["user"], attrs).where("value IS NOT NULL").groupBy("user", "attr", "value").agg(F.count("*").alias("n"))
+    liked = likes.groupBy("user", "item").agg(F.count("*").alias("_n")).join(items, "item").select("user", "_n", *attrs)
+    long = _long(liked, ["user", "_n"], attrs).where("value IS NOT NULL")
+    return long.groupBy("user", "attr", "value").agg(F.sum("_n").alias("n"))
 
 
 def user_profile(likes: DataFrame, items: DataFrame, attrs: Sequence[str]) -> DataFrame:
@@ -168,9 +169,10 @@ def content_scores(
     else:
         scores = _scores_by_join(profile, combos, attrs)
     # The first n + had items of a combination are enough: at most `had` of them drop out.
-    inside = F.row_number().over(W.partitionBy("combo").orderBy("item"))
+    listed = enumerate_rows(placed.select("combo", "item"), ["combo", "item"], name="pos")
+    starts = listed.groupBy("combo").agg(F.min("pos").alias("start"))
     most = seen.groupBy("combo").agg(F.max("had").alias("most"))
-    ranked = placed.join(most, "combo", "left").withColumn("at", inside)
+    ranked = listed.join(starts, "combo").join(most, "combo", "left").withColumn("at", F.col("pos") - F.col("start") + 1)
     ranked = ranked.where(F.col("at") <= n + F.coalesce("most", F.lit(0))).select("combo", "item", "at")
     open_items = scores.join(seen.select("user", "combo", "had"), ["user", "combo"], "left").join(ranked, "combo")
     open_items = open_items.where(F.col("at") <= n + F.coalesce("had", F.lit(0)))
