@@ -79,6 +79,11 @@ def map_sorted_keys(col: Column) -> Column:
     return F.sort_array(F.map_keys(col))
 
 
+def map_items(col: Column) -> Column:
+    """Entries as an array of ``struct<key, value>``, by key."""
+    return F.sort_array(F.map_entries(col))
+
+
 def dot(x: Column, y: Column) -> Column:
     """Inner product of two equally long vectors, added up in double precision."""
     products = F.zip_with(x, y, lambda a, b: a.cast("double") * b.cast("double"))

@@ -232,6 +232,19 @@ def map_ops(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "map_items",
+    """SELECT event_id, CASE WHEN event_type < 'user' THEN event_type || '=' || k || ',user=' || user_id
+         ELSE 'user=' || user_id || ',' || event_type || '=' || k END AS items
+       FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)""",
+)
+def map_items(t: Tables) -> DataFrame:
+    number = F.from_json("props", "k long")["k"]
+    held = F.create_map(c("event_type"), number, F.lit("user"), c("user_id"))
+    shown = F.transform(arrays.map_items(held), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return t.events.select("event_id", F.array_join(shown, ",").alias("items"))
+
+
 @query(
     "clean_steps",
     """SELECT c_mktsegment AS segment, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY c_mktsegment""",

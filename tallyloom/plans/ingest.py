@@ -145,3 +145,12 @@ def linspace(t: Tables) -> DataFrame:
 @query("random_rows")
 def random_rows(t: Tables) -> DataFrame:
     return generate.random_rows(t.spark, t.orders.count(), seed=7, lo=1.0, hi=100.0)
+
+
+@query(
+    "prime_range_count",
+    """SELECT count(*) AS primes FROM (SELECT unnest(range(2, (SELECT max(o_custkey) + 1 FROM orders))) AS n) p
+       WHERE NOT EXISTS (SELECT 1 FROM range(2, 2000) d(d) WHERE d.d * d.d <= n AND n % d.d = 0)""",
+)
+def prime_range_count(t: Tables) -> DataFrame:
+    return generate.count_primes(t.spark, 0, t.orders.agg(F.max("o_custkey")).first()[0] + 1)

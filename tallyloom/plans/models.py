@@ -142,6 +142,12 @@ def kmeans(t: Tables) -> DataFrame:
     return fit.table(px).join(sizes, "cluster")
 
 
+@query("kmeans_quality")
+def kmeans_quality(t: Tables) -> DataFrame:
+    rows = t.part.select("p_partkey", (c("p_size") / 10).alias("size"), ((c("p_retailprice") - 900) / 100).alias("price"))
+    return cluster.quality_table(rows, "p_partkey", ["size", "price"], [2, 3, 4], seed=1).drop("seconds")
+
+
 @query("elbow")
 def elbow(t: Tables) -> DataFrame:
     return cluster.elbow(views.pixels(t), _RGB, list(range(2, 11)), seed=1, max_iter=10)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.features import split_stratified
 from tallyloom.plans import views
 from tallyloom.plans.registry import Tables, query
 from tallyloom.session import scratch_path
@@ -132,6 +133,13 @@ def stream_perceptron(t: Tables) -> DataFrame:
     )
 
 
+@query("online_study")
+def online_study(t: Tables) -> DataFrame:
+    """Accuracy of an online perceptron given a quarter, a half and three quarters of the training rows."""
+    train, test = split_stratified(t.embeddings, "vec_id", "label", 0.7, seed=1)
+    return online.online_study(train, test, "vec_id", "embedding", "label", range(10), 64, scratch_path(t.spark, "study"))
+
+
 @query("stream_kmeans")
 def stream_kmeans(t: Tables) -> DataFrame:
     state, mark = _places(t, "centres", "checkpoint")

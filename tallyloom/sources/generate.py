@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.numbers import is_prime
+
 
 def linspace(spark: SparkSession, start: float, stop: float, n: int) -> DataFrame:
     """``n`` evenly spaced values from ``start`` to ``stop``, both included: ``position, value``."""
@@ -37,3 +39,9 @@ def unit_hash(*cols: Column, seed: int = 0) -> Column:
 def random_rows(spark: SparkSession, n: int, seed: int = 0, lo: float = 0.0, hi: float = 1.0) -> DataFrame:
     """``n`` repeatable pseudo-random values in [lo, hi): ``id, value``."""
     return spark.range(n).select("id", (F.lit(lo) + unit_hash(F.col("id"), seed=seed) * F.lit(hi - lo)).alias("value"))
+
+
+def count_primes(spark: SparkSession, lo: int, hi: int, parts: int | None = None) -> DataFrame:
+    """``primes``: how many primes lie in [lo, hi), counted by ``parts`` tasks."""
+    numbers = spark.range(lo, hi, 1, parts or spark.sparkContext.defaultParallelism)
+    return numbers.agg(F.count_if(is_prime(F.col("id"))).alias("primes"))
