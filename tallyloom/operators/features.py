@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from tallyloom.operators.order import Order, enumerate_rows
 
 
+# A stratified split handles this many labels; each needs a cut of its own.
+MAX_STRATA = 1_000
+
+
 def label_codes(df: DataFrame, col: str) -> DataFrame:
     """``value, code``: the distinct values in code-point order, numbered from 0."""
     values = df.where(F.col(col).isNotNull()).select(F.col(col).alias("value")).distinct()
@@ -143,7 +147,9 @@ def split_random(df: DataFrame, id_col: str, test: float, seed: int = 0) -> tupl
 
 def split_stratified(df: DataFrame, id_col: str, label: str, train: float, seed: int = 0) -> tuple[DataFrame, DataFrame]:
     """Train and test rows with the same share of every label, to within one row."""
-    sizes = df.groupBy(label).count().collect()
+    sizes = df.groupBy(label).count().limit(MAX_STRATA + 1).collect()
+    if len(sizes) > MAX_STRATA:
+        raise ValueError(f"more than {MAX_STRATA} labels; stratify on a coarser column")
     wanted = {r[label]: round(r["count"] * train) for r in sizes}
     chosen = _first_by_hash(df, id_col, wanted, F.col(label), seed)
     return df.where(chosen), df.where(~chosen)
