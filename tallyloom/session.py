@@ -44,5 +44,5 @@ def cut_lineage(df: DataFrame, spread: bool = False) -> DataFrame:
         parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
         df = df.repartition(parts, *[c for c in df.columns if not df.schema[c].dataType.simpleString().startswith("map")])
     path = scratch_path(spark, "step")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
