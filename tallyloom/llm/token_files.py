@@ -9,6 +9,7 @@ and its counts; the prefix sums over the manifest give each part its base.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,7 +27,7 @@ from tallyloom.session import cut_lineage
 
 NO_ID = -(1 << 63)
 # A task keeps the ids of this many different words at hand.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 400_000
 
 
 @lru_cache(maxsize=1)
@@ -41,27 +42,67 @@ def _place(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
 
 
+# Stands between words that are encoded together; words that hold it are encoded alone.
+MARK = b"\x01"
+# A word that ends in plain punctuation after a letter or digit: the tokenizer cuts there in any case.
+_CUT = re.compile(rb"(.*[a-z0-9])([.,!?;:%&#$*|]+)", re.DOTALL)
+
+
 class WordEncoder:
     """Encodes texts word by word, each different word once.
 
-    For tokenizers that drop white space and never join pieces across it, the ids of a text are those of its words
-    in turn, so the library runs only on words not seen before.
+    For tokenizers that lower-case, drop white space and never join pieces across it or across the border between letters
+    and punctuation, the ids of a text are those of its words in turn, so the library runs only on words not seen before.
     """
 
     def __init__(self, path: str, dtype: str):
-        self.tokenizer, self.dtype, self.known = _tokenizer(path), dtype, {}
+        self.tokenizer, self.dtype, self.known, self.before = _tokenizer(path), dtype, {}, {}
+
+    def _run(self, words: list[bytes], batch: int = 512) -> None:
+        """Learn words as a whole from the library: many in one text, each followed by a mark that is a token of its own."""
+        plain = [w for w in words if MARK not in w and b"<|" not in w]
+        mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        if len(mark) != 1:
+            plain = []
+        texts = [b"".join(w + b" " + MARK + b" " for w in plain[i : i + batch]).decode() for i in range(0, len(plain), batch)]
+        for n, code in enumerate(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(code.ids, self.dtype)
+            ends = np.flatnonzero(ids == mark[0])
+            for w, lo, hi in zip(plain[n * batch :], [0, *(ends[:-1] + 1)], ends):
+                self.known[w] = ids[lo:hi].tobytes()
+        for w in set(words).difference(plain):
+            self.known[w] = np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > WORDS_KEPT:  # frequent words come back from the generation before
+            self.before, self.known = self.known, {}
+        old = self.before
+        self.known.update((w, old[w]) for w in words if w in old)
+        cut = {w: m.groups() for w in words if w not in self.known and (m := _CUT.fullmatch(w))}
+        parts = {p for pair in cut.values() for p in pair} | (words - cut.keys())
+        self.known.update((p, old[p]) for p in parts if p in old)
+        self._run([p for p in parts if p not in self.known])
+        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in cut.items())
+
+    def __call__(self, texts: list[str | None], group: int = 128) -> Iterator[bytes]:
+        """The ids of each text, packed. Null is an empty text. New words of ``group`` texts are learnt together."""
+        for lo in range(0, len(texts), group):
+            split = []
+            for text in texts[lo : lo + group]:
+                packed = (text or "").encode("utf-8", "replace")
+                # Special tokens are told apart by case.
+                split.append((packed if b"<|" in packed else packed.lower()).split())
+            words = set().union(*split)
+            if new := words.difference(self.known):
+                self._learn(new if len(self.known) <= WORDS_KEPT else words)
+            for text in split:
+                yield b"".join(map(self.known.__getitem__, text))
 
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text, packed. Null is an empty text."""
-        for text in texts:
-            words = (text or "").encode("utf-8", "replace").split()
-            new = list({w for w in words if w not in self.known})
-            if new:
-                if len(self.known) > WORDS_KEPT:
-                    self.known, new = {}, list(set(words))
-                codes = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-                self.known.update((w, np.array(c.ids, self.dtype).tobytes()) for w, c in zip(new, codes))
-            yield b"".join(map(self.known.__getitem__, words))
+
+@lru_cache(maxsize=1)
+def _encoder(path: str, dtype: str) -> WordEncoder:
+    """One for all tasks of a worker process."""
+    return WordEncoder(path, dtype)
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
@@ -82,7 +123,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int)
         where.create_dir(root, recursive=True)
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
-        encode, n, at = WordEncoder(tokenizer, dtype), 0, 0
+        encode, n, at = _encoder(tokenizer, dtype), 0, 0
         with (
             where.open_output_stream(f"{root}/{name}.bin") as ids,
             where.open_output_stream(f"{root}/{name}.idx") as idx,
