@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import mixing, simhash, token_files
+from tallyloom.llm import ann, decontaminate, lines, mixing, simhash, token_files
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,21 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     # The fingerprint is stored little-endian; as a number its hexadecimal digits run the other way round.
     digits = F.lower(F.array_join(F.reverse(F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.hex(F.substring("fingerprint", i, F.lit(1))))), ""))
     return rows.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@_query("op4_decontaminate")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "n_words")
+
+
+@_query("op10_repeated_lines")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    rows = lines.repeated_lines(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
+@_query("op5_nearest")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return ann.search(ann.build_index(vectors, 5), vectors.where(F.col("vec_id") % 50 == 0), 5)
