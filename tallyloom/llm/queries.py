@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, decontaminate, lines, mixing, simhash, token_files
+from tallyloom.llm import ann, decontaminate, lines, mixing, quality, simhash, token_files, toxicity
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,19 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return ann.search(ann.build_index(vectors, 5), vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+def _judged(rows: DataFrame, threshold: float) -> DataFrame:
+    predicted = F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted")
+    return rows.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
+
+
+@_query("op6_quality")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return _judged(quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels")), 0.3)
+
+
+@_query("op7_toxicity")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return _judged(toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")), ["doc_id"]), 0.5)
