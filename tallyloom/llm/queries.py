@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, decontaminate, lines, mixing, quality, simhash, token_files, toxicity
+from tallyloom.llm import ann, decontaminate, lines, mixing, quality, repeats, simhash, token_files, toxicity
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return _judged(toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")), ["doc_id"]), 0.5)
+
+
+@_query("op9_repeats")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repeats.remove_repeats(table(spark, folder, "documents"), ["doc_id"])
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
