@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, decontaminate, lines, mixing, quality, repeats, simhash, token_files, toxicity
+from tallyloom.llm import ann, decontaminate, lines, lm_scoring, mixing, quality, repeats, simhash, token_files, toxicity
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,8 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     rows = repeats.remove_repeats(table(spark, folder, "documents"), ["doc_id"])
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query("op1_lm_score")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_texts(table(spark, folder, "documents"))
