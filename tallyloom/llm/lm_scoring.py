@@ -128,7 +128,7 @@ class Model:
             odds[p] = table[slots(hashes[p][at], row, node)]
         odds *= np.float32(1 / 1024)
         gate = np.zeros(len(row), "i8")
-        for p in (2, 3):
+        for p in (-2, -1):
             size = np.abs(odds[p])
             gate = gate * 3 + (size > 0) + (size > 2)
         return row, node, bit, odds, gate
