@@ -50,6 +50,31 @@ def _probes(edits: int) -> Column:
     return F.array_distinct(F.array_compact(F.array(*out)))
 
 
+# Characters are counted in these classes and a rest; which ones is of no consequence for the result.
+CLASSES = ("eE", "tTnN", "aAiI", "oOsS", "rRhH", "dDlLuU", " .,-")
+
+
+def _counts(line: Column) -> Column:
+    """Eight counts of characters, 8 bits each (modulo 256)."""
+    n = F.char_length(line)
+    per = [n - F.char_length(F.translate(line, c, "")) for c in CLASSES]
+    rest = n - sum(per[1:], per[0])
+    packed = [F.shiftleft((x % 256).cast("long"), 8 * i) for i, x in enumerate([*per, rest])]
+    out = packed[0]
+    for x in packed[1:]:
+        out = out.bitwiseOR(x)
+    return out
+
+
+def _may_be_close(a: str, b: str, edits: int) -> Column:
+    """Count filter: an edit changes the counts by two in all at most, so lines that differ by more cannot be meant."""
+    apart = []
+    for i in range(8):
+        d = F.abs(F.shiftrightunsigned(a, 8 * i).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(F.lit(255)))
+        apart.append(F.least(d, F.lit(256) - d))
+    return sum(apart[1:], apart[0]) <= 2 * edits
+
+
 def _split(docs: DataFrame, min_chars: int) -> DataFrame:
     """``doc_id, text_hash, at, id, line`` of the lines that take part."""
     each = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
@@ -63,12 +88,15 @@ def line_links(docs: DataFrame, edits: int = 2, min_chars: int = 24) -> DataFram
     """
     if min_chars <= edits:
         raise ValueError("lines must be longer than the edits allowed")
-    lines = _split(docs, min_chars).select("line").distinct().select(F.xxhash64("line").alias("id"), F.char_length("line").alias("length"), "line")
-    index = lines.select(F.explode(_index(edits)).alias("sig"), F.col("id").alias("v"), F.col("length").alias("v_length"))
-    probe = lines.select(F.explode(_probes(edits)).alias("sig"), F.col("id").alias("u"), F.col("length").alias("u_length"))
-    # Of two lines of equal length each finds the other; one of the two is enough.
-    met = (F.col("u_length") > F.col("v_length")) | (F.col("u") > F.col("v"))
-    pairs = cut_lineage(probe.join(index, "sig").where(met & (F.col("u") != F.col("v"))).select("u", "v").distinct())
+    lines = _split(docs, min_chars).select("line").distinct().select(
+        F.xxhash64("line").alias("id"), F.char_length("line").alias("length"), _counts(F.col("line")).alias("counts"), "line"
+    )
+    index = lines.select(F.explode(_index(edits)).alias("sig"), F.col("id").alias("v"), F.col("counts").alias("v_counts"))
+    probe = lines.select(F.explode(_probes(edits)).alias("sig"), F.col("id").alias("u"), F.col("counts").alias("u_counts"))
+    # The count filter is part of the join: variants of one line that share a segment but differ elsewhere make no row.
+    met = (F.col("u") != F.col("v")) & _may_be_close("u_counts", "v_counts", edits)
+    ends = [F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")]
+    pairs = cut_lineage(probe.join(index, "sig").where(met).select(*ends).distinct())
     wanted = cut_lineage(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     if wanted.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
