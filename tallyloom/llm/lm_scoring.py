@@ -71,6 +71,7 @@ class Code:
         self.length = np.array([len(paths[s]) for s in range(256)])
         deep = self.length.max()
         self.nodes, self.bits = np.zeros((256, deep), "u4"), np.zeros((256, deep), "u1")
+        self.begin = np.arange(256) * deep
         for s, path in paths.items():
             for d, (node, bit) in enumerate(path):
                 self.nodes[s, d], self.bits[s, d] = node, bit
@@ -79,9 +80,10 @@ class Code:
         """For each decision: which symbol it belongs to, its node and its bit."""
         n = self.length[symbols]
         row = np.repeat(np.arange(len(symbols)), n)
-        depth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        own = symbols[row]
-        return row, self.nodes[own, depth], self.bits[own, depth]
+        # Place in the flat tables: that of the symbol plus the depth.
+        at = np.repeat(self.begin[symbols] - np.cumsum(n) + n, n)
+        at += np.arange(len(row))
+        return row, self.nodes.ravel().take(at), self.bits.ravel().take(at)
 
 
 def contexts(stream: np.ndarray) -> list[np.ndarray]:
@@ -108,9 +110,13 @@ def contexts(stream: np.ndarray) -> list[np.ndarray]:
 
 
 def slots(h: np.ndarray, row: np.ndarray, node: np.ndarray) -> np.ndarray:
-    x = (h[row] ^ (node * np.uint32(0x9E3779B1))) * np.uint32(0x85EBCA6B)
+    x = node * np.uint32(0x9E3779B1)
+    x ^= h.take(row)
+    x *= np.uint32(0x85EBCA6B)
     x ^= x >> np.uint32(16)
-    return (x * np.uint32(0xC2B2AE35)) >> np.uint32(32 - SLOT_BITS)
+    x *= np.uint32(0xC2B2AE35)
+    x >>= np.uint32(32 - SLOT_BITS)
+    return x
 
 
 @dataclass
@@ -125,24 +131,27 @@ class Model:
         row, node, bit = self.code.expand(symbols)
         odds = np.empty((len(ORDERS), len(row)), "f4")
         for p, table in enumerate(self.tables):
-            odds[p] = table[slots(hashes[p][at], row, node)]
+            odds[p] = table.take(slots(hashes[p].take(at), row, node))
         odds *= np.float32(1 / 1024)
-        gate = np.zeros(len(row), "i8")
-        for p in (-2, -1):
-            size = np.abs(odds[p])
-            gate = gate * 3 + (size > 0) + (size > 2)
-        return row, node, bit, odds, gate
+        sure = [np.abs(odds[p]) for p in (-2, -1)]
+        gate = ((sure[0] > 0).view("i1") + (sure[0] > 2)) * np.int8(3) + (sure[1] > 0) + (sure[1] > 2)
+        return row, node, bit, odds, gate.astype("i8")
 
     def mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        z = self.weights[gate, -1]
+        by_input = np.ascontiguousarray(self.weights.T)
+        z = by_input[-1].take(gate)
         for p in range(len(ORDERS)):
-            z = z + self.weights[gate, p] * odds[p]
+            part = by_input[p].take(gate)
+            part *= odds[p]
+            z += part
         return z
 
     def refine(self, z: np.ndarray, node: np.ndarray) -> np.ndarray:
         if self.refined is None:
             return z
-        return (z + self.refined[node, bucket(z)]) * np.float32(0.5)
+        at = bucket(z)
+        at += node.astype("i4") * np.int32(BUCKETS)
+        return (z + self.refined.ravel().take(at)) * np.float32(0.5)
 
     def costs(self, texts: list[bytes]) -> np.ndarray:
         """The natural logarithm of the probability of each text. A text is read on its own: nothing passes to another."""
@@ -159,7 +168,7 @@ class Model:
         hashes = contexts(stream)
         sizes = np.array([len(t) for t in texts])
         starts = np.cumsum(sizes + PAD) - sizes
-        own = np.zeros((len(texts), len(ORDERS)), "f4")
+        own = np.zeros((len(ORDERS), len(texts)), "f4")
         total = np.zeros(len(texts))
         for done in range(0, sizes[0], STEP):
             active = int((sizes > done).sum())
@@ -167,21 +176,25 @@ class Model:
             lane = np.repeat(np.arange(active), width)
             at = np.arange(len(lane)) - np.repeat(np.cumsum(width) - width, width) + starts[lane] + done
             row, node, bit, odds, gate = self.inputs(hashes, at, stream[at])
-            lanes = lane[row]
+            lanes = lane.take(row)
+            begins = np.searchsorted(lanes, np.arange(active))
             z = self.mixed(odds, gate)
             for p in range(len(ORDERS)):
-                z += own[lanes, p] * odds[p]
-            sign = np.where(bit == 1, np.float32(-1), np.float32(1))
-            begins = np.searchsorted(lanes, np.arange(active))
-            total[:active] -= np.add.reduceat(np.logaddexp(0, sign * self.refine(z, node)), begins, dtype="f8")
-            error = bit - 1 / (1 + np.exp(-z))
+                part = own[p].take(lanes)
+                part *= odds[p]
+                z += part
+            sign = np.float32(1) - bit.astype("f4") * np.float32(2)
+            wrong = np.exp(np.minimum(sign * self.refine(z, node), np.float32(80)))
+            wrong += np.float32(1)
+            total[:active] -= np.add.reduceat(np.log(wrong), begins, dtype="f8")
+            error = bit - np.float32(1) / (np.float32(1) + np.exp(np.minimum(-z, np.float32(80))))
             for p in range(len(ORDERS)):
-                own[:active, p] += RATE * np.add.reduceat(error * odds[p], begins)
+                own[p, :active] += np.float32(RATE) * np.add.reduceat(error * odds[p], begins)
         return total
 
 
 def bucket(z: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(z * 1.5) + BUCKETS // 2, 0, BUCKETS - 1).astype("i8")
+    return np.clip(z * np.float32(1.5) + np.float32(BUCKETS // 2 + 0.5), 0, BUCKETS - 1).astype("i4")
 
 
 def _texts(frame: pd.DataFrame) -> Iterator[tuple[object, list[bytes]]]:
