@@ -222,9 +222,12 @@ def set_popularity(df: DataFrame, set_col: str) -> DataFrame:
 
 
 def equal_sets(df: DataFrame, set_col: str) -> DataFrame:
-    """How many rows share each set: ``members, n``; members are sorted and joined by commas."""
-    members = F.array_join(F.sort_array(F.array_distinct(set_col)), ",")
-    return df.groupBy(members.alias("members")).agg(F.count("*").alias("n"))
+    """How many rows share each set: ``members, n``; members are sorted and joined by commas.
+
+    Sets are told apart by their members, whatever commas or nulls these hold; only the label may read the same then.
+    """
+    sets = df.groupBy(F.sort_array(F.array_distinct(set_col)).alias("_set")).agg(F.count("*").alias("n"))
+    return sets.select(F.array_join("_set", ",").alias("members"), "n")
 
 
 def monthly_extremes(df: DataFrame, month: Column, value: Column, n: int) -> DataFrame:

@@ -159,5 +159,7 @@ def kfold_assign(df: DataFrame, id_col: str, label: str, k: int, seed: int | Non
     """Deal the rows of each label out to k folds in turn, by id or, with a seed, by a hash of it."""
     key = F.col(id_col) if seed is None else _draw(id_col, seed)
     placed = enumerate_rows(df, [F.col(label), key, F.col(id_col)], name="_pos")
-    starts = placed.groupBy(label).agg(F.min("_pos").alias("_start"))
-    return placed.join(starts, label).withColumn(name, ((F.col("_pos") - F.col("_start")) % k).cast("int")).drop("_pos", "_start")
+    starts = placed.groupBy(F.col(label).alias("_label")).agg(F.min("_pos").alias("_start"))
+    # Null is a label like any other.
+    dealt = placed.join(starts, F.col(label).eqNullSafe(F.col("_label")))
+    return dealt.withColumn(name, ((F.col("_pos") - F.col("_start")) % k).cast("int")).drop("_pos", "_start", "_label")

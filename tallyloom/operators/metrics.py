@@ -60,9 +60,12 @@ def classification_report(df: DataFrame, y: str, yhat: str) -> DataFrame:
 def confusion_matrix(df: DataFrame, y: str, yhat: str, normalize: str | None = None) -> DataFrame:
     """``truth, predicted, n`` for every pair of classes; ``normalize`` = ``true``, ``pred`` or ``all`` adds ``share``."""
     pairs = outcome_counts(df, y, yhat)
-    classes = pairs.select(F.explode(F.array("truth", "predicted")).alias("c")).agg(F.collect_set("c").alias("classes"))
-    frame = classes.select(F.explode("classes").alias("truth"), "classes").select("truth", F.explode("classes").alias("predicted"))
-    full = frame.join(pairs, ["truth", "predicted"], "left").fillna(0, ["n"])
+    classes = pairs.select(F.explode(F.array("truth", "predicted")).alias("c")).agg(F.collect_set(F.struct("c")).alias("classes"))
+    frame = classes.select(F.explode("classes.c").alias("truth"), "classes").select("truth", F.explode("classes.c").alias("predicted"))
+    # Null is a class like any other.
+    found = pairs.select(F.col("truth").alias("_truth"), F.col("predicted").alias("_predicted"), "n")
+    same = F.col("truth").eqNullSafe(F.col("_truth")) & F.col("predicted").eqNullSafe(F.col("_predicted"))
+    full = frame.join(found, same, "left").drop("_truth", "_predicted").fillna(0, ["n"])
     if normalize is None:
         return full
     over = {"true": W.partitionBy("truth"), "pred": W.partitionBy("predicted"), "all": W.partitionBy()}[normalize]

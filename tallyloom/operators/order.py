@@ -213,8 +213,10 @@ def sliding_window(
         raise ValueError("a window must fit into a block")
     if _fits(df, part, block_rows):
         w = W.partitionBy(*part).orderBy(*_cols(order)).rowsBetween(-(k - 1), 0)
-        return df.withColumn(name, F.collect_list(col).over(w)).where(F.size(name) == k)
+        found = df.withColumn(name, F.collect_list(F.struct(F.col(col).alias("v"))).over(w)).where(F.size(name) == k)
+        return found.withColumn(name, F.col(name)["v"])
     blocked = _with_halo(_blocked(df, part, order, block_rows), k - 1, block_rows)
     w = W.partitionBy("_block", *part).orderBy("_pos").rowsBetween(-(k - 1), 0)
-    full = blocked.withColumn(name, F.collect_list(col).over(w)).where((F.size(name) == k) & ~F.col("_halo"))
-    return full.drop("_pos", "_block", "_halo")
+    # Structs, as a list of plain values would leave out nulls.
+    full = blocked.withColumn(name, F.collect_list(F.struct(F.col(col).alias("v"))).over(w)).where((F.size(name) == k) & ~F.col("_halo"))
+    return full.withColumn(name, F.col(name)["v"]).drop("_pos", "_block", "_halo")
