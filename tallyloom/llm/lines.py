@@ -2,11 +2,13 @@
 
 A line is split into one segment more than the edits allowed; two lines within that distance share a segment that is shifted
 by no more than the edits. Lines are indexed by their segments and probed, for each length that is possible, with just the
-substrings whose shift the remaining edits allow; what meets is verified by a banded edit distance.
+substrings whose shift the remaining edits allow; what meets is verified by a banded bit-parallel edit distance.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,65 @@ def _probes(edits: int) -> Column:
     return F.array_distinct(F.array_compact(F.array(*out)))
 
 
+# Counted one by one; all other characters are counted together. Which ones is of no consequence for the result.
+COUNTED = "etanhoirsld"
+# Bits of a count.
+COUNT_BITS = 5
+
+
+def _counts(line: Column) -> Column:
+    """The counts of characters in one number, each modulo 2^``COUNT_BITS``."""
+    per = [F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in COUNTED]
+    rest = F.char_length(line) - sum(per[1:], per[0])
+    return reduce(Column.bitwiseOR, [F.shiftleft((x % (1 << COUNT_BITS)).cast("long"), COUNT_BITS * i) for i, x in enumerate([*per, rest])])
+
+
+def _may_be_close(a: str, b: str, edits: int) -> Column:
+    """Count filter: an edit changes the counts by two in all at most, so lines that differ by more cannot be meant."""
+    apart = []
+    for i in range(len(COUNTED) + 1):
+        one, other = (F.shiftrightunsigned(c, COUNT_BITS * i).bitwiseAND(F.lit((1 << COUNT_BITS) - 1)) for c in (a, b))
+        apart.append(F.least(F.abs(one - other), F.lit(1 << COUNT_BITS) - F.abs(one - other)))
+    return sum(apart[1:], apart[0]) <= 2 * edits
+
+
+def within(u: str, v: str, edits: int) -> Column:
+    """True if the texts in columns ``u`` and ``v`` are within ``edits`` (at most 4) edits; null if one is null.
+
+    One number holds, for each number of edits used, a bit for each diagonal of the band that can be reached with it; a
+    character of ``v`` moves all of them at once. A bit stays where the characters agree; otherwise it goes to the next number of
+    edits: in place (substitution), one diagonal down (a character of ``v`` alone) or up (a character of ``u`` alone).
+    """
+    band, lane = 2 * edits + 1, 2 * edits + 2
+    inside = F.lit(sum(((1 << band) - 1) << lane * e for e in range(edits + 1)))
+    everywhere = F.lit(sum(1 << lane * e for e in range(edits + 1)))
+
+    def skip_u(bits: Column) -> Column:
+        for _ in range(edits):
+            bits = bits.bitwiseOR(F.shiftleft(F.shiftleft(bits, 1).bitwiseAND(inside), lane)).bitwiseAND(inside)
+        return bits
+
+    def step(bits: Column, same: Column) -> Column:
+        used = F.shiftleft(bits.bitwiseOR(F.shiftright(bits, 1).bitwiseAND(inside)), lane)
+        # No diagonal can come back once all are gone.
+        return F.when(bits != 0, skip_u(bits.bitwiseAND(same.cast("long") * everywhere).bitwiseOR(used))).otherwise(bits)
+
+    # Where no step is taken the middle diagonal is reached without an edit, and those above it by leaving out characters of u.
+    start = sum(1 << lane * e + edits + up for e in range(edits + 1) for up in range(e + 1))
+
+    def run(pair: Column) -> Column:
+        # Outside of u there is null, which agrees with nothing.
+        at = lambda c, j: reduce(Column.bitwiseOR, [F.when(F.get(pair["u"], j + (b - edits)) == c, 1 << b).otherwise(0) for b in range(band)])
+        return F.aggregate(F.transform(pair["v"], at), F.lit(start).cast("long"), step)
+
+    # Both lists of characters are made once for a pair: as the fields of the only element of an array.
+    chars = F.array(F.struct(F.split(u, "").alias("u"), F.filter(F.split(v, ""), lambda c: c != "").alias("v")))
+    reached = F.element_at(F.transform(chars, run), 1)
+    longer = F.char_length(u) - F.char_length(v)
+    at = F.least(F.greatest(longer + (lane * edits + edits), F.lit(0)), F.lit(62))
+    return (F.abs(longer) <= edits) & (F.call_function("shiftright", reached, at).bitwiseAND(F.lit(1)) == 1)
+
+
 def _split(docs: DataFrame, min_chars: int) -> DataFrame:
     """``doc_id, text_hash, at, id, line`` of the lines that take part."""
     each = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
@@ -63,19 +124,24 @@ def line_links(docs: DataFrame, edits: int = 2, min_chars: int = 24) -> DataFram
     """
     if min_chars <= edits:
         raise ValueError("lines must be longer than the edits allowed")
-    lines = _split(docs, min_chars).select("line").distinct().select(F.xxhash64("line").alias("id"), F.char_length("line").alias("length"), "line")
-    index = lines.select(F.explode(_index(edits)).alias("sig"), F.col("id").alias("v"), F.col("length").alias("v_length"))
-    probe = lines.select(F.explode(_probes(edits)).alias("sig"), F.col("id").alias("u"), F.col("length").alias("u_length"))
-    # Of two lines of equal length each finds the other; one of the two is enough.
-    met = (F.col("u_length") > F.col("v_length")) | (F.col("u") > F.col("v"))
-    pairs = cut_lineage(probe.join(index, "sig").where(met & (F.col("u") != F.col("v"))).select("u", "v").distinct())
+    lines = _split(docs, min_chars).select("line").distinct().select(
+        F.xxhash64("line").alias("id"), F.char_length("line").alias("length"), _counts(F.col("line")).alias("counts"), "line"
+    )
+    index = lines.select(F.explode(_index(edits)).alias("sig"), *[F.col(c).alias(f"v_{c}") for c in ("id", "length", "counts")])
+    probe = lines.select(F.explode(_probes(edits)).alias("sig"), *[F.col(c).alias(f"u_{c}") for c in ("id", "length", "counts")])
+    # Of two lines of equal length each finds the other; one of the two is enough. The count filter is part of the join:
+    # variants of one line that share a segment but differ elsewhere make no row.
+    met = (F.col("u_length") > F.col("v_length")) | (F.col("u_id") > F.col("v_id"))
+    met &= (F.col("u_id") != F.col("v_id")) & _may_be_close("u_counts", "v_counts", edits)
+    pairs = cut_lineage(probe.join(index, "sig").where(met).select(F.col("u_id").alias("u"), F.col("v_id").alias("v")).distinct())
     wanted = cut_lineage(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     if wanted.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
     texts = cut_lineage(_split(docs, min_chars).select("id", "line").join(wanted, "id", "left_semi").distinct())
     sides = {c: texts.select(F.col("id").alias(c), F.col("line").alias(f"{c}_line")) for c in ("u", "v")}
-    close = F.levenshtein("u_line", "v_line", edits) >= 0
-    found = pairs.join(sides["u"], "u").join(sides["v"], "v").where(close)
+    # Adaptive execution would put pairs together by their few bytes; verification costs time, not bytes.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = pairs.repartition(tasks, "u", "v").join(sides["u"], "u").join(sides["v"], "v").where(within("u_line", "v_line", edits))
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 

@@ -1,5 +1,6 @@
 import random
 
+from tallyloom.llm import lines as line_ops
 from tallyloom.llm.lines import drop_repeated_lines, line_links
 from tallyloom.llm.queries import QUERIES
 
@@ -61,3 +62,22 @@ def test_odd_rows_and_empty_table(docs_of, odd):
     texts = sorted((r["doc_id"] or 0, r["text"] is None, len(r["text"] or "")) for r in left.collect())
     assert texts.count((5, False, 0)) == 2 and (1, False, 27) in texts and (2, True, 0) in texts
     assert drop_repeated_lines(docs_of([])).count() == 0
+
+
+def test_bit_parallel_distance(spark):
+    rng = random.Random(4)
+    rows = [("", ""), ("a", ""), ("", "ab"), (None, "a")]
+    for _ in range(400):
+        a = [rng.choice("abé") for _ in range(rng.randint(0, 14))]
+        b = list(a)
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randint(0, len(b))
+            b[at : at + rng.randint(0, 1)] = [rng.choice("abé😀")] * rng.randint(0, 1)
+        rows.append(("".join(a), "".join(b)))
+    frame = spark.createDataFrame(rows, "u string, v string")
+    for edits in (0, 1, 2, 4):
+        same = line_ops.within("u", "v", edits).eqNullSafe(F.levenshtein("u", "v") <= edits)
+        assert frame.where(~same).count() == 0
+        assert frame.where(line_ops.within("u", "v", edits)).count() > 50
+        may = frame.select("u", "v", line_ops._counts(F.col("u")).alias("a"), line_ops._counts(F.col("v")).alias("b"))
+        assert may.where((F.levenshtein("u", "v") <= edits) & ~line_ops._may_be_close("a", "b", edits)).count() == 0
