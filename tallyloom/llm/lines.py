@@ -108,7 +108,7 @@ def within(u: str, v: str, edits: int) -> Column:
     reached = F.element_at(F.transform(chars, run), 1)
     longer = F.char_length(u) - F.char_length(v)
     at = F.least(F.greatest(longer + (lane * edits + edits), F.lit(0)), F.lit(62))
-    return (F.abs(longer) <= edits) & (F.call_function("shiftright", reached, at).bitwiseAND(F.lit(1)) == 1)
+    return F.when(longer.isNotNull(), (F.abs(longer) <= edits) & (F.call_function("shiftright", reached, at).bitwiseAND(F.lit(1)) == 1))
 
 
 def _split(docs: DataFrame, min_chars: int) -> DataFrame:
