@@ -19,37 +19,32 @@ from tallyloom.session import cut_lineage
 BROADCAST_LINES = 2_000_000
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment ``i`` of ``edits`` + 1."""
-    lo, hi = (F.floor(length * n / F.lit(edits + 1)).cast("int") for n in (i, i + 1))
-    return lo, hi - lo
+def _shifts(edits: int) -> list[tuple[int, int, int]]:
+    """``(longer, segment, shift)``: where a line may hold a segment of a line that is up to ``edits`` shorter.
 
-
-def _signature(length: Column, i: int, text: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), text)
-
-
-def _index(edits: int) -> Column:
-    """The signatures of a line's own segments."""
-    n = F.col("length")
-    return F.array(*[_signature(n, i, F.substring("line", lo + 1, size)) for i in range(edits + 1) for lo, size in [_segment(n, i, edits)]])
+    With ``longer`` = the difference in length, segment i of the other line can start only where both the part before it and
+    the part after it leave their share of the edits.
+    """
+    return [
+        (longer, i, shift)
+        for longer in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, longer - (edits - i)), min(i, longer + (edits - i)) + 1)
+    ]
 
 
-def _probes(edits: int) -> Column:
-    """The signatures that lines of the same length or up to ``edits`` shorter may have in their index.
+def _signatures(lines: DataFrame, places: list[tuple[int, int, int]], edits: int, side: str) -> DataFrame:
+    """``sig`` and the columns of ``lines`` but ``line``, prefixed, for each place that is inside of the line.
 
-    With ``longer`` = the difference in length, segment i of the other line can start only where both the part before it and
-    the part after it leave their share of the edits.
+    The places are rows, not columns: one short expression for all of them is compiled, many long ones are not.
     """
-    out, n = [], F.col("length")
-    for longer in range(edits + 1):
-        other = n - longer
-        for i in range(edits + 1):
-            lo, size = _segment(other, i, edits)
-            for shift in range(max(-i, longer - (edits - i)), min(i, longer + (edits - i)) + 1):
-                inside = (lo + shift >= 0) & (lo + shift + size <= n)
-                out.append(F.when(inside, _signature(other, i, F.substring("line", lo + shift + 1, size))))
-    return F.array_distinct(F.array_compact(F.array(*out)))
+    at = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(place, ("longer", "i", "shift"))]) for place in places])
+    other = F.col("length") - F.col("at.longer")
+    lo, hi = (F.floor(other * n / F.lit(edits + 1)).cast("int") for n in (F.col("at.i"), F.col("at.i") + 1))
+    placed = lines.withColumn("at", F.explode(at)).withColumns({"other": other, "lo": lo + F.col("at.shift"), "size": hi - lo})
+    sig = F.xxhash64("other", "at.i", F.substring(F.col("line"), F.col("lo") + 1, F.col("size")))
+    inside = (F.col("lo") >= 0) & (F.col("lo") + F.col("size") <= F.col("length"))
+    return placed.where(inside).select(sig.alias("sig"), *[F.col(c).alias(f"{side}_{c}") for c in ("id", "length", "counts")])
 
 
 # Counted one by one; all other characters are counted together. Which ones is of no consequence for the result.
@@ -124,11 +119,13 @@ def line_links(docs: DataFrame, edits: int = 2, min_chars: int = 24) -> DataFram
     """
     if min_chars <= edits:
         raise ValueError("lines must be longer than the edits allowed")
-    lines = _split(docs, min_chars).select("line").distinct().select(
-        F.xxhash64("line").alias("id"), F.char_length("line").alias("length"), _counts(F.col("line")).alias("counts"), "line"
+    lines = cut_lineage(
+        _split(docs, min_chars).select("line").distinct().select(
+            F.xxhash64("line").alias("id"), F.char_length("line").alias("length"), _counts(F.col("line")).alias("counts"), "line"
+        )
     )
-    index = lines.select(F.explode(_index(edits)).alias("sig"), *[F.col(c).alias(f"v_{c}") for c in ("id", "length", "counts")])
-    probe = lines.select(F.explode(_probes(edits)).alias("sig"), *[F.col(c).alias(f"u_{c}") for c in ("id", "length", "counts")])
+    index = _signatures(lines, [(0, i, 0) for i in range(edits + 1)], edits, "v")
+    probe = _signatures(lines, _shifts(edits), edits, "u")
     # Of two lines of equal length each finds the other; one of the two is enough. The count filter is part of the join:
     # variants of one line that share a segment but differ elsewhere make no row.
     met = (F.col("u_length") > F.col("v_length")) | (F.col("u_id") > F.col("v_id"))
@@ -137,7 +134,7 @@ def line_links(docs: DataFrame, edits: int = 2, min_chars: int = 24) -> DataFram
     wanted = cut_lineage(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     if wanted.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
-    texts = cut_lineage(_split(docs, min_chars).select("id", "line").join(wanted, "id", "left_semi").distinct())
+    texts = cut_lineage(lines.select("id", "line").join(wanted, "id", "left_semi"))
     sides = {c: texts.select(F.col("id").alias(c), F.col("line").alias(f"{c}_line")) for c in ("u", "v")}
     # Adaptive execution would put pairs together by their few bytes; verification costs time, not bytes.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
