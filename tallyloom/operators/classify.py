@@ -27,8 +27,6 @@ from tallyloom.operators.features import kfold_assign
 from tallyloom.session import scratch_path
 
 Features = str | Sequence[str]
-# A polynomial kernel is expanded to at most this many columns.
-MAX_EXPANDED = 5_000
 
 
 @dataclass(frozen=True)
@@ -187,11 +185,6 @@ def fit_svm(
     if kernel == "rbf":
         prepare = random_fourier(_width(df, features), n_features, gamma, seed)
     elif kernel == "poly":
-        width, size = _width(df, features), 1
-        for d in range(1, degree + 1):
-            size = size * (width + d) // d
-        if size > MAX_EXPANDED:
-            raise ValueError(f"{width} features to degree {degree} give {size} columns; use fewer features or kernel='rbf'")
         stages.append(PolynomialExpansion(degree=degree, inputCol="features", outputCol="expanded"))
         svm.setFeaturesCol("expanded")
     elif kernel != "linear":

@@ -268,8 +268,10 @@ def fit_minibatch_kmeans(
     points = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     rows = points.count()
     share = min(1.0, batch * steps / max(rows, 1))
-    drawn = points.sample(fraction=share, seed=seed) if share < 1 else points
-    drawn = cut_lineage(drawn.withColumn("_step", F.floor(F.rand(seed) * steps).cast("int")))
+    # Drawn by the values, so that the layout of the table does not matter; rows that are equal go together.
+    values = [F.col(c) for c in cols]
+    drawn = points.where(unit_hash(*values, seed=seed + 1) < share)
+    drawn = cut_lineage(drawn.withColumn("_step", F.floor(unit_hash(*values, seed=seed + 2) * steps).cast("int")))
     spread = drawn.select(*cols).distinct().orderBy(unit_hash(*[F.col(c) for c in cols], seed=seed), *cols).limit(k)
     centres = np.array([[float(v) for v in r] for r in spread.collect()])
     counts = np.zeros(len(centres))

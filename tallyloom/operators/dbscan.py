@@ -9,6 +9,7 @@ data. Whether two crowded cells touch is decided on bounding boxes that are spli
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import product
 from math import ceil, sqrt
 
@@ -91,12 +92,15 @@ def dbscan(df: DataFrame, id_col: str, cols: Sequence[str], eps: float, min_samp
     """``id, cluster, core``: noise is -1, clusters are numbered by their first core row in id order.
 
     ``min_samples`` counts the point itself; a border point joins the first cluster with a core point in reach.
+    Rows with a value that is null, NaN or infinite are noise.
     """
     cols = list(cols)
     side = eps / sqrt(len(cols))
     cell = F.array(*[F.floor(F.col(c) / F.lit(side)) for c in cols])
     points = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
-    distinct = points.groupBy(*cols).agg(F.count("*").alias("n"), F.min(id_col).alias("pid")).withColumn("cell", cell)
+    # Rows without a place are noise: null, NaN and infinite values are not below infinity.
+    placed = points.where(reduce(Column.__and__, [F.abs(F.col(c)) < F.lit(float("inf")) for c in cols]))
+    distinct = placed.groupBy(*cols).agg(F.count("*").alias("n"), F.min(id_col).alias("pid")).withColumn("cell", cell)
     distinct = cut_lineage(distinct)
     cells = distinct.groupBy("cell").agg(F.sum("n").alias("weight"))
 

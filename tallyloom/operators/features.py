@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from tallyloom.operators.order import Order, enumerate_rows
 
 
-# A stratified split handles this many labels; each needs a cut of its own.
-MAX_STRATA = 1_000
 
 
 def label_codes(df: DataFrame, col: str) -> DataFrame:
@@ -146,13 +144,15 @@ def split_random(df: DataFrame, id_col: str, test: float, seed: int = 0) -> tupl
 
 
 def split_stratified(df: DataFrame, id_col: str, label: str, train: float, seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows with the same share of every label, to within one row."""
-    sizes = df.groupBy(label).count().limit(MAX_STRATA + 1).collect()
-    if len(sizes) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} labels; stratify on a coarser column")
-    wanted = {r[label]: round(r["count"] * train) for r in sizes}
-    chosen = _first_by_hash(df, id_col, wanted, F.col(label), seed)
-    return df.where(chosen), df.where(~chosen)
+    """Train and test rows with the same share of every label, to within one row. Null is a label like any other.
+
+    The rows of a label are numbered by a hash of their id, and the first of them are for training.
+    """
+    placed = enumerate_rows(df, [F.col(label), _draw(id_col, seed), F.col(id_col)], name="_pos")
+    sizes = placed.groupBy(F.col(label).alias("_label")).agg(F.min("_pos").alias("_start"), F.bround(F.count("*") * F.lit(float(train))).alias("_train"))
+    dealt = placed.join(sizes, F.col(label).eqNullSafe(F.col("_label")))
+    first = F.col("_pos") - F.col("_start") < F.col("_train")
+    return dealt.where(first).select(*df.columns), dealt.where(~first).select(*df.columns)
 
 
 def kfold_assign(df: DataFrame, id_col: str, label: str, k: int, seed: int | None = None, name: str = "fold") -> DataFrame:

@@ -50,7 +50,7 @@ def enumerate_rows(
     partitions before. Ties are broken by a hash of the row, which also spreads a repeated key over
     partitions. The sorted rows are written out, as the ranges may differ if they were computed twice.
     """
-    keys = [*_cols(order), F.xxhash64(*_hashable(df))]
+    keys = [*_cols(order), _tie(df)]
     ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     placed = cut_lineage(ranged.withColumn("_at", F.monotonically_increasing_id()))
     part = F.shiftrightunsigned("_at", 33)
@@ -65,6 +65,11 @@ def enumerate_rows(
     return numbered.select(*df.columns, (local + F.col("_off") + F.lit(start)).alias(name))
 
 
+def _tie(df: DataFrame) -> Column:
+    """Breaks ties of an order by the content of the row."""
+    return F.xxhash64(*_hashable(df))
+
+
 def _hashable(df: DataFrame) -> list[Column]:
     maps = {f.name for f in df.schema.fields if "map<" in f.dataType.simpleString()}
     return [F.to_json(F.struct(c)) if c in maps else F.col(c) for c in df.columns]
@@ -150,7 +155,7 @@ def running_sum(
 ) -> DataFrame:
     """Cumulative sum within each series."""
     if _fits(df, part, block_rows):
-        span = W.partitionBy(*part).orderBy(*_cols(order)).rowsBetween(W.unboundedPreceding, 0)
+        span = W.partitionBy(*part).orderBy(*_cols(order), _tie(df)).rowsBetween(W.unboundedPreceding, 0)
         return df.withColumn(name, F.sum(col).over(span))
     blocked = _blocked(df, part, order, block_rows)
     return _running_blocked(blocked, part, col, name).drop("_pos", "_block")
@@ -165,13 +170,13 @@ def consecutive_groups(
 ) -> DataFrame:
     """Runs of equal neighbouring keys: the series columns, ``run`` (from 0), the key and ``n`` rows."""
     if _fits(df, part, block_rows):
-        w = W.partitionBy(*part).orderBy(*_cols(order))
+        w = W.partitionBy(*part).orderBy(*_cols(order), _tie(df))
         changed = F.coalesce((~F.col(key).eqNullSafe(F.lag(key).over(w))).cast("long"), F.lit(0))
         first = F.row_number().over(w) == 1
         flagged = df.select(
-            *part, key, *_order_aliases(order), F.when(first, 0).otherwise(changed).alias("_new")
+            *part, key, *_order_aliases(order), _tie(df).alias("_tie"), F.when(first, 0).otherwise(changed).alias("_new")
         )
-        span = W.partitionBy(*part).orderBy(*[F.col(c) for c in _order_names(order)])
+        span = W.partitionBy(*part).orderBy(*[F.col(c) for c in _order_names(order)], "_tie")
         runs = flagged.withColumn("run", F.sum("_new").over(span.rowsBetween(W.unboundedPreceding, 0)))
     else:
         blocked = _with_halo(_blocked(df, part, order, block_rows), 1, block_rows)
@@ -193,9 +198,10 @@ def _order_aliases(order: Order | Sequence[Order]) -> list[Column]:
 
 
 def _with_halo(blocked: DataFrame, rows: int, block_rows: int) -> DataFrame:
-    """Copy the last ``rows`` rows of each block to the next one, marked ``_halo``."""
-    tail = blocked.where(F.col("_pos") % block_rows >= block_rows - rows)
-    halo = tail.withColumn("_block", F.col("_block") + 1).withColumn("_halo", F.lit(True))
+    """Give each block the ``rows`` rows before it, marked ``_halo``, from as many blocks as they fill."""
+    last = F.floor((F.col("_pos") + rows) / block_rows)
+    tail = blocked.where(last > F.col("_block"))
+    halo = tail.withColumn("_block", F.explode(F.sequence(F.col("_block") + 1, last))).withColumn("_halo", F.lit(True))
     return blocked.withColumn("_halo", F.lit(False)).unionByName(halo)
 
 
@@ -209,10 +215,8 @@ def sliding_window(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The last k values up to each row as an array; rows without k values behind them are left out."""
-    if k > block_rows:
-        raise ValueError("a window must fit into a block")
     if _fits(df, part, block_rows):
-        w = W.partitionBy(*part).orderBy(*_cols(order)).rowsBetween(-(k - 1), 0)
+        w = W.partitionBy(*part).orderBy(*_cols(order), _tie(df)).rowsBetween(-(k - 1), 0)
         found = df.withColumn(name, F.collect_list(F.struct(F.col(col).alias("v"))).over(w)).where(F.size(name) == k)
         return found.withColumn(name, F.col(name)["v"])
     blocked = _with_halo(_blocked(df, part, order, block_rows), k - 1, block_rows)

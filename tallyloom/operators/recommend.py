@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -187,15 +188,27 @@ def fit_als(likes: DataFrame, rank: int = 10, max_iter: int = 5, seed: int = 0)
     return als.fit(ratings)
 
 
-def als_top_n(model: ALSModel, n: int) -> DataFrame:
-    """``user, item, score, rank``."""
-    best = model.recommendForAllUsers(n).select("user", F.posexplode("recommendations").alias("at", "r"))
-    return best.select(
-        F.col("user").cast("long").alias("user"),
-        F.col("r.item").cast("long").alias("item"),
-        F.col("r.rating").cast("double").alias("score"),
-        (F.col("at") + 1).alias("rank"),
+def als_top_n(model: ALSModel, likes: DataFrame, n: int) -> DataFrame:
+    """``user, item, score, rank``: the n best items of each user in ``likes`` that are not among their likes.
+
+    Users are grouped by how many items they have, in powers of four, and asked for n more than that, so a user with
+    very many items does not lengthen the lists of all others.
+    """
+    had = cut_lineage(likes.select("user", "item").distinct())
+    level = F.ceil(F.log(4.0, F.count("*"))).cast("int")
+    users = cut_lineage(had.groupBy("user").agg(level.alias("level")))
+    lists = [
+        model.recommendForUserSubset(users.where(F.col("level") == r["level"]), n + 4 ** r["level"])
+        for r in users.select("level").distinct().orderBy("level").collect()
+    ]
+    if not lists:
+        lists = [model.recommendForUserSubset(users, n)]
+    best = reduce(DataFrame.unionByName, lists).select("user", F.explode("recommendations").alias("r"))
+    scored = best.select(
+        F.col("user").cast("long").alias("user"), F.col("r.item").cast("long").alias("item"), F.col("r.rating").cast("double").alias("score")
     )
+    rank = F.row_number().over(W.partitionBy("user").orderBy(F.desc("score"), "item"))
+    return scored.join(had, ["user", "item"], "left_anti").withColumn("rank", rank).where(F.col("rank") <= n)
 
 
 def hybrid(content: DataFrame, collaborative: DataFrame, weight: float, n: int) -> DataFrame:

@@ -250,13 +250,13 @@ def content_scores(t: Tables) -> DataFrame:
 
 @query("als_topn")
 def als_topn(t: Tables) -> DataFrame:
-    return recommend.als_top_n(recommend.fit_als(views.likes(t), seed=1), 5)
+    return recommend.als_top_n(recommend.fit_als(views.likes(t), seed=1), views.likes(t), 5)
 
 
 @query("hybrid_topn")
 def hybrid_topn(t: Tables) -> DataFrame:
     content = cut_lineage(recommend.content_scores(views.likes(t), views.items(t), _ATTRS, 10))
-    taste = cut_lineage(recommend.als_top_n(recommend.fit_als(views.likes(t), seed=1), 10))
+    taste = cut_lineage(recommend.als_top_n(recommend.fit_als(views.likes(t), seed=1), views.likes(t), 10))
     return recommend.hybrid(content, taste, 0.5, 5)
 
 

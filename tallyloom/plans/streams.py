@@ -13,8 +13,6 @@ from tallyloom.sources.files import write_lines
 from tallyloom.streaming import consume, online, running, sources
 
 c = F.col
-# Seconds after which a stream is given up.
-_PATIENCE = 3600
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
@@ -45,7 +43,7 @@ def stream_folder_count(t: Tables) -> DataFrame:
     def count(lines: DataFrame, batch_id: int) -> None:
         consume.write_batch(lines.groupBy("file").agg(F.count("*").alias("n")), out, batch_id)
 
-    _finish(sources.watch_folder(t.spark, source, count, mark, archive, max_files=2, timeout=_PATIENCE))
+    _finish(sources.watch_folder(t.spark, source, count, mark, archive, max_files=2))
     rows = consume.read_batches(t.spark, out, "file string, n long")
     return rows.agg(F.count_distinct("file").alias("files"), F.sum("n").alias("lines"))
 
@@ -54,7 +52,7 @@ def stream_folder_count(t: Tables) -> DataFrame:
 def stream_consume(t: Tables) -> DataFrame:
     out, mark = _places(t, "out", "checkpoint")
     _finish(consume.consume(
-        _stream(t, "events"), lambda df: df.select("event_id", F.upper("event_type").alias("task")), out, mark, timeout=_PATIENCE
+        _stream(t, "events"), lambda df: df.select("event_id", F.upper("event_type").alias("task")), out, mark
     ))
     return consume.read_batches(t.spark, out, "event_id long, task string").drop("batch")
 
@@ -70,7 +68,7 @@ def stream_dead_letter(t: Tables) -> DataFrame:
     messages = _stream(t, "events").select("event_id", body.alias("body"))
     number = F.from_json("body", "k long")["k"]
     _finish(consume.consume(
-        messages, lambda df: df.select("event_id", number.alias("k")), out, mark, good=number.isNotNull(), dead_letter=bad, timeout=_PATIENCE
+        messages, lambda df: df.select("event_id", number.alias("k")), out, mark, good=number.isNotNull(), dead_letter=bad
     ))
     good = consume.read_batches(t.spark, out, "event_id long, k long").agg(F.count("*").alias("n"))
     left = consume.read_batches(t.spark, bad, "event_id long, body string").agg(F.count("*").alias("n"))
@@ -85,7 +83,7 @@ def stream_dead_letter(t: Tables) -> DataFrame:
 )
 def stream_prime_summary(t: Tables) -> DataFrame:
     out, mark = _places(t, "out", "checkpoint")
-    _finish(consume.run_updates(running.prime_stream(_stream(t, "events"), "event_id"), out, mark, _PATIENCE))
+    _finish(consume.run_updates(running.prime_stream(_stream(t, "events"), "event_id"), out, mark))
     return consume.latest(t.spark, out, "is_prime boolean, n long, largest long", ["is_prime"])
 
 
@@ -97,7 +95,7 @@ def stream_error_logs(t: Tables) -> DataFrame:
     source, out, mark = _places(t, "in", "out", "checkpoint")
     _log_files(t, source)
     errors = running.error_stream(sources.stream_lines(t.spark, source, max_files=2))
-    _finish(sources.run_available(errors.writeStream.format("parquet").option("path", out), mark, _PATIENCE))
+    _finish(sources.run_available(errors.writeStream.format("parquet").option("path", out), mark))
     return t.spark.read.schema("ts timestamp_ntz, message string").parquet(out)
 
 
@@ -109,14 +107,14 @@ def stream_error_logs(t: Tables) -> DataFrame:
 )
 def stream_word_count(t: Tables) -> DataFrame:
     out, mark = _places(t, "out", "checkpoint")
-    _finish(consume.run_updates(running.running_word_count(_stream(t, "conversations"), "text"), out, mark, _PATIENCE))
+    _finish(consume.run_updates(running.running_word_count(_stream(t, "conversations"), "text"), out, mark))
     return consume.latest(t.spark, out, "word string, n long", ["word"])
 
 
 @query("stream_value_count", "SELECT event_type AS value, count(*) AS n FROM events GROUP BY event_type")
 def stream_value_count(t: Tables) -> DataFrame:
     out, mark = _places(t, "out", "checkpoint")
-    _finish(consume.run_updates(running.running_value_count(_stream(t, "events"), "event_type"), out, mark, _PATIENCE))
+    _finish(consume.run_updates(running.running_value_count(_stream(t, "events"), "event_type"), out, mark))
     return consume.latest(t.spark, out, "value string, n long", ["value"])
 
 
@@ -126,7 +124,7 @@ def stream_perceptron(t: Tables) -> DataFrame:
     state, mark = _places(t, "weights", "checkpoint")
     learner = online.OnlinePerceptron(t.spark, range(10), "embedding", "label", 64, state, eta0=0.1)
     stream = _stream(t, "embeddings")
-    _finish(sources.run_available(stream.writeStream.foreachBatch(learner.update), mark, _PATIENCE))
+    _finish(sources.run_available(stream.writeStream.foreachBatch(learner.update), mark))
     guessed = learner.classifier().predict(t.embeddings)
     return guessed.agg(
         F.count("*").alias("rows"), F.avg((c("label") == c("prediction")).cast("double")).alias("accuracy")
@@ -150,6 +148,6 @@ def stream_kmeans(t: Tables) -> DataFrame:
             return _stream(t, name)
 
     stream = views.pixels(Streamed(t.spark, t.folder))
-    _finish(sources.run_available(stream.writeStream.foreachBatch(learner.update), mark, _PATIENCE))
+    _finish(sources.run_available(stream.writeStream.foreachBatch(learner.update), mark))
     counts = t.spark.createDataFrame([(i, int(n)) for i, n in enumerate(learner.counts())], "cluster int, n long")
     return learner.fit().table(t.orders).join(counts, "cluster")

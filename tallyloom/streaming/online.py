@@ -101,17 +101,20 @@ class OnlineKMeans:
         return table[:, :-1], table[:, -1]
 
     def update(self, batch: DataFrame, batch_id: int) -> None:
-        """Move the centres; the first batch also supplies k starting points."""
+        """Move the centres; batches also supply starting points until there are k different ones."""
         if batch_id <= self.state.last_batch():
             return
         rows = batch.select(*[F.col(c).cast("double").alias(c) for c in self.cols]).dropna().persist()
-        now = self._load()
-        if now is None:
+        centres, counts = self._load() or (np.zeros((0, len(self.cols))), np.zeros(0))
+        if len(centres) < self.k:
             draw = unit_hash(*[F.col(c) for c in self.cols], seed=self.seed)
-            start = rows.distinct().orderBy(draw, *self.cols).limit(self.k).collect()
-            now = np.array([list(r) for r in start], dtype=float), np.zeros(len(start))
-        if len(now[0]):
-            centres, counts = minibatch_step(*now, rows, self.cols)
+            start = [tuple(r) for r in rows.distinct().orderBy(draw, *self.cols).limit(self.k).collect()]
+            there = {tuple(v) for v in centres.tolist()}
+            more = [v for v in start if v not in there][: self.k - len(centres)]
+            centres = np.concatenate([centres, np.array(more, dtype=float).reshape(-1, len(self.cols))])
+            counts = np.concatenate([counts, np.zeros(len(more))])
+        if len(centres):
+            centres, counts = minibatch_step(centres, counts, rows, self.cols)
             self.state.store(np.column_stack([centres, counts]), batch_id, rows.count())
         rows.unpersist()
 
