@@ -3,6 +3,8 @@
 Different fingerprints are ordered by population count and cut into tiles. A difference of d bits needs population counts
 at most d apart, so tile pairs further apart are never formed; the others are compared in full with numpy exclusive-or and
 bit counts. A tile pair gives a forest of its links, never all pairs of a group; classes are the connected components.
+
+Where near duplicates are dropped, the links are proposals only: see ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.llm.shingle_sets import SHORT, name_of, shingle_set, signatures, verified_components
 from tallyloom.llm.texts import words_of
 from tallyloom.operators.components import components
 from tallyloom.operators.order import enumerate_rows
@@ -41,6 +44,12 @@ def _spread(h: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
+def _votes(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """For each bit the number of hashes that set it."""
+    wide = _spread(hashes, bits // 64).view("u1").reshape(len(hashes), bits // 8)
+    return np.unpackbits(wide, axis=1, bitorder="little").sum(axis=0, dtype="i8")
+
+
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42, bits: int = 64, strip: int = 16_384) -> bytes:
     """The fingerprint of a text, little-endian.
 
@@ -58,8 +67,7 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42, bits: int =
     counts = np.zeros(bits, "i8")
     for lo in range(0, n, strip):
         hashes = [digest(join(words[i : i + k]), seed) for i in range(lo, min(lo + strip, n))]
-        wide = _spread(np.array(hashes, "u8"), bits // 64)
-        counts += np.unpackbits(wide.view("u1").reshape(len(hashes), size), axis=1, bitorder="little").sum(axis=0, dtype="i4")
+        counts += _votes(np.array(hashes, "u8"), bits)
     return np.packbits(counts * 2 > n, bitorder="little").tobytes()
 
 
@@ -78,11 +86,12 @@ def fingerprints(docs: DataFrame, keep: list[str], shingle: int = 3, seed: int =
 
 def links_of_tiles(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of rows of ``a`` and ``b`` that differ in at most ``radius`` bits, strip by strip."""
-    head = max(1, a.shape[1] // 2)
+    # So many words that few pairs without likeness (32 bits a word apart) are left.
+    head = min(a.shape[1], -(-max(1, radius) // 24))
     for lo in range(0, len(a), STRIP):
         part = a[lo : lo + STRIP]
-        # A pair within the radius differs by no more than that in the first half of its words, which rules out most.
-        bits = np.bitwise_count(part[:, None, 0] ^ b[None, :, 0])
+        # A pair within the radius differs by no more than that in its first words, which rules out most.
+        bits = np.bitwise_count(part[:, None, 0] ^ b[None, :, 0]).astype("u2" if head > 3 else "u1", copy=False)
         for w in range(1, head):
             bits += np.bitwise_count(part[:, None, w] ^ b[None, :, w])
         near = bits <= radius
@@ -117,8 +126,8 @@ class Forest:
         return taken
 
 
-def classes(prints: DataFrame, radius: int, bits: int, tile: int = TILE) -> DataFrame:
-    """Adds ``root`` to a table of different fingerprints: the same number for all that are linked, directly or by others."""
+def numbered_links(prints: DataFrame, radius: int, bits: int, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
+    """A table of different fingerprints with numbers ``_node``, and a forest ``u, v`` of the links for each pair of tiles."""
     count = F.aggregate(
         F.sequence(F.lit(1), F.lit(bits // 8)),
         F.lit(0),
@@ -159,8 +168,14 @@ def classes(prints: DataFrame, radius: int, bits: int, tile: int = TILE) -> Data
                     yield pd.DataFrame({"u": nodes[u], "v": nodes[v]})
 
     links = pairs.select("tile", "other", "a", "b").repartition(F.col("tile"), F.col("other")).mapInPandas(compare, "u long, v long")
+    return placed.drop("_ones"), links
+
+
+def classes(prints: DataFrame, radius: int, bits: int, tile: int = TILE) -> DataFrame:
+    """Adds ``root`` to a table of different fingerprints: the same number for all that are linked, directly or by others."""
+    placed, links = numbered_links(prints, radius, bits, tile)
     roots = components(links).withColumnRenamed("node", "_node")
-    return placed.join(roots, "_node", "left").withColumn("root", F.coalesce("component", "_node")).drop("_node", "_ones", "component")
+    return placed.join(roots, "_node", "left").withColumn("root", F.coalesce("component", "_node")).drop("_node", "component")
 
 
 def _rooted(prints: DataFrame, radius: int, bits: int) -> DataFrame:
@@ -183,13 +198,59 @@ def simhash_classes(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: in
     return prints.join(_rooted(prints, radius, bits), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def _set_prints(docs: DataFrame, shingle: int, seed: int, bits: int, strip: int = 16_384) -> DataFrame:
+    """``doc, doc_id`` and of the set of different shingles of ``doc.text``: ``key``, which tells sets apart, ``fingerprint``
+    (null for sets of up to ``SHORT`` shingles), ``own`` and ``less``: see ``signatures``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, prints, own, less = [], [], [], []
+            for text in b.column(2).to_pylist():
+                hashes = shingle_set(text, shingle, seed)
+                keys.append(name_of(hashes))
+                votes = sum(_votes(hashes[lo : lo + strip], bits) for lo in range(0, len(hashes), strip)) if len(hashes) > SHORT else None
+                prints.append(None if votes is None else np.packbits(votes * 2 > len(hashes), bitorder="little").tobytes())
+                one, many = signatures(hashes)
+                own.append(one)
+                less.append(many)
+            columns = [pa.array(keys, pa.binary()), pa.array(prints, pa.binary()), pa.array(own, pa.int64()), pa.array(less, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *columns], ["doc", "doc_id", "key", "fingerprint", "own", "less"])
+
+    rows = docs.select(F.struct("*").alias("doc"), "doc_id", "text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:2])
+    return rows.mapInArrow(run, f"{schema}, key binary, fingerprint binary, own bigint, less array<bigint>")
+
+
+def proposals(sets: DataFrame, radius: int, bits: int) -> DataFrame:
+    """``u, v``: names of sets that may be similar, for different ``key, fingerprint, own, less``.
+
+    Sets whose fingerprints differ in at most ``radius`` bits are linked, directly or by others, and each short set is linked
+    to those that hold it.
+    """
+    long = sets.where(F.col("fingerprint").isNotNull())
+    first = cut_lineage(long.groupBy("fingerprint").agg(F.min("key").alias("first")))
+    placed, links = numbered_links(first, radius, bits)
+    ends = {c: placed.select(F.col("_node").alias(c), F.col("first").alias(f"{c}_key")) for c in "uv"}
+    near = cut_lineage(links).join(ends["u"], "u").join(ends["v"], "v").select(F.col("u_key").alias("u"), F.col("v_key").alias("v"))
+    equal = long.join(first, "fingerprint").where(F.col("key") != F.col("first")).select(F.col("key").alias("u"), F.col("first").alias("v"))
+    inner = sets.where(F.col("own").isNotNull()).select(F.col("key").alias("v"), F.col("own").alias("part"))
+    held = sets.select(F.col("key").alias("u"), F.explode("less").alias("part")).join(inner, "part").select("u", "v")
+    return near.unionByName(equal).unionByName(held)
+
+
 def drop_near_duplicates(docs: DataFrame, radius: int, shingle: int = 5, seed: int = 42, bits: int = 256) -> DataFrame:
     """The rows of ``docs`` without all but one of each class: the row with the smallest ``doc_id`` stays (null is largest;
-    among equal ids one of them). Same columns."""
-    packed = docs.select(F.struct("*").alias("doc"), "doc_id", "text")
-    marked = cut_lineage(fingerprints(packed, ["doc", "doc_id"], shingle, seed, bits))
-    roots = _rooted(marked.select("doc_id", "fingerprint"), radius, bits).select("fingerprint", "root")
+    among equal ids one of them). Same columns.
+
+    A class is joined by links between texts whose sets of shingles have a similarity of at least 0.8. Fingerprints of the
+    sets within ``radius`` bits propose links, for short sets their subsets do; each link is checked with the sets.
+    """
+    marked = cut_lineage(_set_prints(docs, shingle, seed, bits))
+    sets = cut_lineage(marked.select("key", "fingerprint", "own", "less").distinct())
+    roots = verified_components(proposals(sets, radius, bits), marked.select("key", F.col("doc.text").alias("text")), shingle, seed)
+    roots = cut_lineage(roots.select(F.col("node").alias("key"), "component"))
     # Filtering on the first row lets each task drop all but one row of a class before the shuffle.
     order = W.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("doc.text"))
-    firsts = marked.join(roots, "fingerprint").withColumn("at", F.row_number().over(order)).where("at = 1")
+    rooted = marked.join(roots, "key", "left").withColumn("root", F.coalesce("component", "key"))
+    firsts = rooted.withColumn("at", F.row_number().over(order)).where("at = 1")
     return firsts.select("doc.*")

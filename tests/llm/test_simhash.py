@@ -2,9 +2,11 @@ import random
 from collections import defaultdict
 
 import xxhash
+from pyspark.sql import functions as F
 
 from tallyloom.llm.queries import QUERIES
-from tallyloom.llm.simhash import classes, drop_near_duplicates
+from tallyloom.llm.shingle_sets import verified_components
+from tallyloom.llm.simhash import _set_prints, classes, drop_near_duplicates
 
 
 def plain_print(text):
@@ -76,3 +78,57 @@ def test_one_row_of_a_class_stays(docs_of, odd):
 
 def test_empty_table(docs_of):
     assert drop_near_duplicates(docs_of([]), 52).count() == 0
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_similar(texts):
+    """Smallest index of the class of each text, by comparing all sets of shingles."""
+    sets = [shingles(t) for t in texts]
+    label = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]) - 1e-9 and label[i] != label[j]:
+                x, y = label[i], label[j]
+                label = [min(x, y) if k in (x, y) else k for k in label]
+    return label
+
+
+def test_only_similar_texts_go(docs_of):
+    rng = random.Random(11)
+    prose = lambda n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(n)]
+    texts = []
+    for n in (9, 10, 12, 13, 14, 30, 60, 150, 400):  # changes that leave similarities from 0.5 to 1
+        base = prose(n)
+        for cut in (0.05, 0.1, 0.15, 0.2, 0.3, 0.4):
+            texts += [base[max(1, int(n * cut)) :] + prose(max(1, int(n * cut))), base[max(1, int(n * cut)) :], base[: n - 1], base[: n - 2]]
+        texts.append(base)
+    line = prose(5)
+    texts += [line * 20 + prose(64) for _ in range(6)]  # one repeated line in common
+    texts += [prose(6) for _ in range(150)] + [prose(n) for n in (3, 4, 5, 7) for _ in range(20)]
+    texts = [" ".join(t) for t in texts]
+    rng.shuffle(texts)
+    want = {i for i, k in enumerate(plain_similar(texts)) if i == k}
+    kept = {r["doc_id"] for r in drop_near_duplicates(docs_of([(i, t, "a") for i, t in enumerate(texts)]), 72).collect()}
+    assert kept == want and len(texts) - len(want) > 60
+
+
+def test_links_behind_refuted_ones_are_found(docs_of):
+    words = [f"w{i}" for i in range(230)]
+    texts = [" ".join(words[i : i + 60]) for i in (0, 1, 100, 101, 160, 161, 170)] + [" ".join(words[at : at + 60]) for at in (2, 3, 102, 162)]
+    docs = docs_of([(i, t, "a") for i, t in enumerate(texts)])
+    marked = _set_prints(docs, 5, 42, 256).select("doc_id", "key", F.col("doc.text").alias("text")).cache()
+    hub = marked.where("doc_id = 6").select(F.col("key").alias("v"))
+    proposed = marked.select(F.col("key").alias("u")).crossJoin(hub)
+    for block in (2, 128):
+        got = verified_components(proposed, marked.select("key", "text"), 5, 42, block).join(marked, F.col("node") == F.col("key")).collect()
+        found = defaultdict(set)
+        for r in got:
+            found[bytes(r["component"])].add(r["doc_id"])
+        want = defaultdict(set)
+        for i, k in enumerate(plain_similar(texts)):
+            want[k].add(i)
+        assert sorted(map(sorted, found.values())) == sorted(sorted(c) for c in want.values() if len(c) > 1)
