@@ -148,11 +148,12 @@ def repeated_lines(docs: DataFrame, edits: int = 2, min_chars: int = 24) -> Data
 
     Lines are of one class if they are equal or linked by lines within ``edits`` edits. Of each class the line with the
     smallest (``doc_id``, text hash, number) stays; null is the smallest id. Rows equal in id and text count as one document.
-    Shorter lines than ``min_chars`` stay; a null text has no line, an empty one has one.
+    Lines shorter than ``min_chars`` are of one class only if they are equal; empty lines stay. A null text has no line, an
+    empty one has one.
     """
     named = components(line_links(docs, edits, min_chars)).select(F.col("node").alias("id"), "component")
     place = F.struct(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc"), "text_hash", "at")
-    lines = _split(docs, min_chars).select("id", place.alias("place")).distinct()
+    lines = _split(docs, 1).select("id", place.alias("place")).distinct()
     rooted = cut_lineage(lines.join(cut_lineage(named), "id", "left").select("place", F.coalesce("component", "id").alias("root")))
     # The first line of each class, and the classes with more than one: partial minima, no list of a class.
     firsts = cut_lineage(rooted.groupBy("root").agg(F.min("place").alias("first"), F.count("*").alias("n")).where("n > 1"))

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from tallyloom.llm import lines as line_ops
-from tallyloom.llm.lines import drop_repeated_lines, line_links
+from tallyloom.llm.lines import drop_repeated_lines, line_links, repeated_lines
 from tallyloom.llm.queries import QUERIES
 
 
@@ -83,3 +83,9 @@ def test_bit_parallel_distance(spark):
         assert frame.where(line_ops.within("u", "v", edits)).count() > 50
         may = frame.select("u", "v", line_ops._counts(F.col("u")).alias("a"), line_ops._counts(F.col("v")).alias("b"))
         assert may.where((F.levenshtein("u", "v") <= edits) & ~line_ops._may_be_close("a", "b", edits)).count() == 0
+
+
+def test_short_lines_repeat_if_equal(docs_of):
+    texts = ["Les.\nAll rights reserved.\n\nx", "\nAll rights reserved.\nx\nLes", "Les.\n\nAll rights reserved!\n ", " \nLes.", None, ""]
+    rows = repeated_lines(docs_of([(i, t, "s") for i, t in enumerate(texts)])).collect()
+    assert {r["doc_id"]: r["removed"] for r in rows} == {0: [], 1: [1, 2], 2: [0], 3: [0, 1], 4: [], 5: []}
