@@ -7,7 +7,9 @@ position) along which the words are then compared.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,16 +32,36 @@ def _keys(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2")]
 
 
+def _needed(width: int, agree: float) -> int:
+    """Of so many words this number must agree."""
+    return math.ceil(width * agree - 1e-9)
+
+
+def short_masks(n: int, agree: float) -> list[str]:
+    """Masks for an item of ``n`` words that is compared as a whole: any substitutions that are allowed leave one of them intact.
+
+    The item is cut into two blocks more than the substitutions allowed; a mask takes two of the blocks. No mask begins or
+    ends with a word it ignores, as that one may lie outside of the document.
+    """
+    free = n - _needed(n, agree)
+    if not free:
+        return ["1" * n]
+    count = min(free + 2, n)
+    block = [i * count // n for i in range(n)]
+    chosen = combinations(range(count), count - free)
+    return sorted({"".join("01"[b in two] for b in block).strip("0") for two in chosen})
+
+
 def _seeds(codes: Column, masks: Sequence[str]) -> Column:
     """For each position and mask that fits: a struct of position and hash."""
-    def of(n: int, mask: str) -> Column:
+    def of(mask: str) -> Column:
         chosen = [i for i, c in enumerate(mask) if c == "1"]
         places = F.when(F.size(codes) >= len(mask), F.sequence(F.lit(0), F.size(codes) - len(mask))).otherwise(F.array().cast("array<int>"))
         return F.transform(
-            places, lambda p: F.struct(p.alias("at"), F.xxhash64(F.lit(n), *[F.get(codes, p + i) for i in chosen]).alias("seed"))
+            places, lambda p: F.struct(p.alias("at"), F.xxhash64(F.lit(mask), *[F.get(codes, p + i) for i in chosen]).alias("seed"))
         )
 
-    return F.concat(*[of(n, mask) for n, mask in enumerate(masks)])
+    return F.concat(*[of(mask) for mask in masks])
 
 
 def overlaps(
@@ -49,16 +71,24 @@ def overlaps(
 
     Found means: along one diagonal, some ``window`` neighbouring words of the item (all words of a shorter item) agree in at
     least the share ``agree`` with the document; ``n_words`` is the largest number of words that agree along one diagonal.
-    Items with fewer words than the shortest mask are not looked for. A row of ``docs`` gives a row for each item; rows that
+    Items of ``window`` words or more are found by ``masks``, shorter ones by ``short_masks`` of their length, so an item of up to
+    four words is found where all of its words follow each other. Items without a word are not looked for. A row of ``docs`` gives a row for each item; rows that
     are equal in id and text give one.
     """
     item = cut_lineage(
         benchmark.select(F.col("item_id").alias("item_id"), F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("item"))
-        .where(F.size("item") >= min(map(len, masks)))
+        .where(F.size("item") > 0)
         .dropDuplicates()
     )
+    # At most ``window`` - 1 numbers; documents get seeds only for the lengths there are.
+    lengths = item.select(F.size("item").alias("n")).where(F.col("n") < window).distinct().collect()
+    short = {r["n"]: short_masks(r["n"], agree) for r in lengths}
+    own = _seeds(F.col("item"), masks)
+    for n, some in short.items():
+        own = F.when(F.size("item") == n, _seeds(F.col("item"), some)).otherwise(own)
+    every = sorted({*masks, *(mask for some in short.values() for mask in some)})
     probes = cut_lineage(
-        item.select("item_id", F.explode(_seeds(F.col("item"), masks)).alias("s")).select(
+        item.select("item_id", F.explode(own).alias("s")).select(
             "item_id", F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed")
         )
     )
@@ -66,7 +96,7 @@ def overlaps(
         probes = F.broadcast(probes)
     texts = docs.select("doc_id", F.col("text").alias("text"), *_keys(F.col("text")))
     coded = texts.select("_k1", "_k2", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("codes"))
-    found = coded.select("_k1", "_k2", F.explode(_seeds(F.col("codes"), masks)).alias("s")).select(
+    found = coded.select("_k1", "_k2", F.explode(_seeds(F.col("codes"), every)).alias("s")).select(
         "_k1", "_k2", F.col("s.at").alias("at"), F.col("s.seed").alias("seed")
     )
     # One row for each diagonal, however many seeds hit it and however many copies a text has.

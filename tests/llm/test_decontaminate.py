@@ -1,7 +1,8 @@
 import random
 import re
+from itertools import combinations
 
-from tallyloom.llm.decontaminate import decontaminate, overlaps
+from tallyloom.llm.decontaminate import decontaminate, overlaps, short_masks
 from tallyloom.llm.queries import QUERIES
 
 
@@ -48,3 +49,27 @@ def test_clean_rows_stay_and_empty_tables(docs_of, odd, spark):
     assert decontaminate(docs, bench).count() == len(odd) and decontaminate(docs, bench).columns == docs.columns
     assert decontaminate(docs, bench.limit(0)).count() == len(odd)
     assert overlaps(docs_of([]), bench).count() == 0
+
+
+def test_short_items_against_all_diagonals(docs_of, spark):
+    rng = random.Random(10)
+    prose = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    items, docs = [(n, prose(n)) for n in range(1, 13)] + [(20, ["我们今天去公园散步"])], []
+    for n, item in items:
+        docs += [prose(10) + item + prose(10), item, item[1:] + prose(9), prose(9) + item[:-1], prose(3) + item[2:] + prose(3)]
+        for lost in [*combinations(range(len(item)), 1), *combinations(range(len(item)), 2)]:
+            docs.append(prose(4) + [("other" if i in lost else w) for i, w in enumerate(item)] + prose(4))
+    rows = [(i, " ".join(d), "s") for i, d in enumerate(docs)]
+    bench = [(n, " ".join(x)) for n, x in items]
+    got = overlaps(docs_of(rows), spark.createDataFrame(bench, "item_id long, text string"))
+    want = plain([(i, t) for i, t, _ in rows], bench)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want and len(want) > 200
+
+
+def test_allowed_substitutions_leave_a_seed():
+    for n in range(1, 13):
+        free = n - -(-8 * n // 10)
+        for lost in combinations(range(n), free):
+            kept = [i not in lost for i in range(n)]
+            places = [(m, at) for m in short_masks(n, 0.8) for at in range(n - len(m) + 1)]
+            assert any(all(kept[at + i] for i, c in enumerate(m) if c == "1") for m, at in places)
