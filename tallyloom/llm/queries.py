@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, decontaminate, lines, lm_scoring, mixing, quality, repeats, simhash, token_files, toxicity
+from tallyloom.llm import ann, decontaminate, digest_index, lines, lm_scoring, mixing, quality, repeats, simhash, token_files, toxicity
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,19 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op1_lm_score")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score_texts(table(spark, folder, "documents"))
+
+
+DEDUP_SQL = """
+WITH normal AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size,
+  row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(text) AS text_sha256
+FROM normal
+"""
+
+
+@_query("op13_exact_dedup", DEDUP_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    rows = digest_index.dedup_newest_first(table(spark, folder, "documents"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
