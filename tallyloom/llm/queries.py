@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import ann, decontaminate, digest_index, lines, lm_scoring, mixing, quality, repeats, simhash, token_files, toxicity
+from tallyloom.llm import alignment, ann, decontaminate, digest_index, lines, lm_scoring, mixing, quality, repeats, simhash, token_files, toxicity
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,11 @@ FROM normal
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     rows = digest_index.dedup_newest_first(table(spark, folder, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@_query("op12_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers as known
+
+    rows, _ = alignment.align(table(spark, folder, "documents"), known.path("byte_bpe_50k.json"), known.path("piece_bpe_32k.model"))
+    return rows
