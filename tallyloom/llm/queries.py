@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import alignment, ann, decontaminate, digest_index, lines, lm_scoring, mixing, quality, repeats, simhash, token_files, toxicity
+from tallyloom.llm import alignment, ann, decontaminate, digest_index, lines, lm_scoring, mixing, prefix_trie, quality, repeats, simhash, token_files, toxicity
 from tallyloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +158,57 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 
     rows, _ = alignment.align(table(spark, folder, "documents"), known.path("byte_bpe_50k.json"), known.path("piece_bpe_32k.model"))
     return rows
+
+
+TRIE_SQL = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS place,
+    sha256(concat(len(coalesce(role, '')), ':', role, text)) AS id, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id
+), crc AS (
+  -- crc32, bit by bit
+  SELECT conv_id, 0 AS i, 4294967295::BIGINT AS v FROM ids
+  UNION ALL
+  SELECT conv_id, i + 1, xor(w >> 1, (w & 1) * 3988292384) FROM (
+    SELECT conv_id, i, CASE WHEN i % 8 = 0 THEN xor(v, ascii(substr(conv_id::VARCHAR, i // 8 + 1, 1))::BIGINT) ELSE v END AS w
+    FROM crc WHERE i < 8 * len(conv_id::VARCHAR)
+  )
+), plan AS (
+  SELECT c.conv_id, c.h, c.lead, least(c.h, coalesce(l.n, 0)) AS taken
+  FROM (SELECT conv_id, conv_id - conv_id % 20 AS lead, xor(arg_max(v, i), 4294967295::BIGINT) % 4 AS h FROM crc GROUP BY conv_id) c
+  LEFT JOIN ids l ON l.conv_id = c.lead
+), rebuilt AS (
+  SELECT p.conv_id, t.place, t.id, t.words FROM plan p JOIN turns t ON t.conv_id = p.lead AND t.place < p.taken
+  UNION ALL
+  SELECT p.conv_id, t.place - p.h + p.taken, t.id, t.words FROM plan p JOIN turns t ON t.conv_id = p.conv_id AND t.place >= p.h
+), members AS (
+  SELECT conv_id, 0 AS depth, '' AS node, 0 AS words FROM ids
+  UNION ALL
+  SELECT conv_id, place + 1, sha256(string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY place)), words FROM rebuilt
+), last AS (
+  SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id
+), ended AS (
+  SELECT m.depth, m.node, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends FROM members m JOIN last USING (conv_id, depth) GROUP BY ALL
+), nodes AS (
+  SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM members GROUP BY depth, node
+), placed AS (
+  SELECT n.*, u.node AS parent FROM nodes n LEFT JOIN members u ON u.conv_id = n.conv_id AND u.depth = n.depth - 1
+), kids AS (
+  SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM placed WHERE depth > 0 GROUP BY ALL
+), below AS (
+  SELECT m.depth, m.node, sum((n.n_convs - 1) * n.words) AS saved_tokens, count(*) FILTER (WHERE k.n_children IS NULL) AS n_leaves
+  FROM nodes n LEFT JOIN kids k USING (depth, node) JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth
+  GROUP BY m.depth, m.node
+)
+SELECT p.conv_id, p.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, p.n_convs, coalesce(k.n_children, 0) AS n_children, b.n_leaves,
+  b.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM placed p LEFT JOIN nodes u ON u.depth = p.depth - 1 AND u.node = p.parent LEFT JOIN kids k ON k.depth = p.depth AND k.node = p.node
+JOIN below b ON b.depth = p.depth AND b.node = p.node LEFT JOIN ended e ON e.depth = p.depth AND e.node = p.node
+"""
+
+
+@_query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
