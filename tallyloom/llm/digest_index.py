@@ -50,8 +50,12 @@ class DigestIndex:
         return self.spark.table(self.name)
 
     def unseen(self, firsts: DataFrame) -> DataFrame:
-        """The rows of ``firsts`` (one per digest) whose digest the index lacks."""
-        dealt = firsts.repartition(self.buckets, "digest")
+        """The rows of ``firsts`` (one per digest) whose digest the index lacks.
+
+        They are written first: otherwise the optimizer moves the join below the aggregate that made them, and all copies of
+        a text meet in one task.
+        """
+        dealt = cut_lineage(firsts).repartition(self.buckets, "digest")
         return dealt.hint("merge").join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
 
     def append(self, marked: DataFrame) -> None:
