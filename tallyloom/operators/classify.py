@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.cluster import as_array, nearest
 from tallyloom.operators.features import kfold_assign
+from tallyloom.operators.networks import labelled_vectors, minibatches, perceptron_pass
 from tallyloom.session import scratch_path
 
 Features = str | Sequence[str]
@@ -63,7 +64,8 @@ def _width(df: DataFrame, features: Features) -> int:
 
 
 def _classes(df: DataFrame, label: str) -> list[int]:
-    return sorted(r[0] for r in df.select(F.col(label).cast("int")).distinct().collect())
+    """The different labels, a list as long as a classifier has classes."""
+    return sorted(r[0] for r in df.select(F.col(label).cast("int").alias("c")).where("c IS NOT NULL").distinct().collect())
 
 
 @dataclass(frozen=True)
@@ -87,61 +89,21 @@ class LinearClassifier:
         return df.withColumn(name, best(as_array(self.features)))
 
 
-def perceptron_pass(
-    rows: DataFrame, weights: np.ndarray, classes: Sequence[int], eta0: float, seed: int
-) -> tuple[np.ndarray, int]:
-    """One epoch over ``label, v``: every partition runs the mistake-driven rule from the same weights, and the
-    results are averaged by the number of rows seen. Returns the new weights and the number of mistakes.
-    """
-    signs = {c: np.where(np.array(classes) == c, 1.0, -1.0) for c in classes}
-
-    def epoch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, seen, wrong = weights.copy(), 0, 0
-        rng = np.random.default_rng(seed)
-        for batch in batches:
-            x = np.stack(batch["v"].to_numpy()) if len(batch) else np.empty((0, weights.shape[1] - 1))
-            x = np.hstack([x, np.ones((len(x), 1))])
-            y = batch["label"].to_numpy()
-            for i in rng.permutation(len(x)):
-                target = signs[y[i]]
-                miss = target * (w @ x[i]) <= 0
-                if miss.any():
-                    w[miss] += eta0 * target[miss, None] * x[i]
-                    wrong += int(miss.sum())
-            seen += len(x)
-        if seen:
-            yield pd.DataFrame({"at": np.arange(w.size), "w": w.ravel(), "n": float(seen), "wrong": wrong})
-
-    parts = rows.select("label", "v").mapInPandas(epoch, "at int, w double, n double, wrong long")
-    # One value per weight comes back, however many partitions there are.
-    mean = parts.groupBy("at").agg((F.sum(F.col("w") * F.col("n")) / F.sum("n")).alias("w"), F.sum("wrong").alias("wrong"))
-    found = mean.collect()
-    if not found:
-        return weights, 0
-    flat = weights.ravel().copy()
-    for r in found:
-        flat[r["at"]] = r["w"]
-    return flat.reshape(weights.shape), found[0]["wrong"]
-
-
-def labelled_vectors(df: DataFrame, features: Features, label: str) -> DataFrame:
-    """``label, v``."""
-    return df.select(F.col(label).cast("int").alias("label"), as_array(features).alias("v"))
-
-
 def fit_perceptron(
-    df: DataFrame, features: Features, label: str, epochs: int = 10, eta0: float = 1.0, seed: int = 0
+    df: DataFrame, features: Features, label: str, epochs: int = 10, batches: int = 8, eta0: float = 1.0, seed: int = 0
 ) -> LinearClassifier:
-    """Perceptron, one against the rest, by iterative parameter mixing (McDonald and others, 2010)."""
+    """Perceptron, one against the rest, on mini-batches drawn by a hash of the row.
+
+    ``eta0`` only scales the weights, as they start from zero. The weights do not depend on the layout of the rows.
+    """
     classes = _classes(df, label)
     weights = np.zeros((len(classes), _width(df, features) + 1))
-    rows = labelled_vectors(df, features, label).persist()
-    for epoch in range(epochs):
-        weights, wrong = perceptron_pass(rows, weights, classes, eta0, seed + epoch)
+    parts = minibatches(labelled_vectors(df, features, label), batches, seed)
+    for _ in range(epochs):
+        weights, wrong = perceptron_pass(parts, weights, classes)
         if wrong == 0:
             break
-    rows.unpersist()
-    return LinearClassifier(features, tuple(classes), weights)
+    return LinearClassifier(features, tuple(classes), eta0 * weights)
 
 
 def random_fourier(width: int, n_features: int, gamma: float, seed: int) -> Callable[[Column], Column]:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,12 +15,10 @@ from pyspark.sql import functions as F
 from tallyloom.operators.classify import MlFit, fit_svm, fit_tree
 from tallyloom.operators.features import label_encode
 from tallyloom.operators.order import enumerate_rows
+from tallyloom.operators.products import largest_products
 from tallyloom.session import cut_lineage
 from tallyloom.sources.generate import unit_hash
 
-# Attribute combinations sent to every task for scoring; with more of them, scores come from a join.
-MAX_COMBOS = 100_000
-
 
 def recommend_peers(df: DataFrame, item: str, cluster: str, n: int = 3, seed: int = 0) -> DataFrame:
     """``item, peer, rank``: up to n other members of each item's cluster.
@@ -80,76 +78,84 @@ def _combos(items: DataFrame, attrs: Sequence[str]) -> DataFrame:
     return cut_lineage(enumerate_rows(grouped, list(attrs), name="combo"))
 
 
-def _scores_in_tasks(profile: DataFrame, seen: DataFrame, combos: DataFrame, attrs: Sequence[str], n: int) -> DataFrame:
-    """``user, combo, score`` of the combinations that can hold a user's n best unseen items.
+def _candidates(score: np.ndarray, left: np.ndarray, gone: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (users) and columns (combinations) that can hold one of a user's n best unseen items.
 
-    A user is one row: its counts per value and, per combination, how many items it has seen and whether the
-    first of them is among those – both bounded by the number of combinations.
+    Every combination with unseen items holds at least one, so those below the n-th best score are out. Among equal scores
+    the items with the smallest numbers win: a combination whose first unseen item comes after n others cannot win, and
+    ``gone`` says where the first item is seen.
     """
-    table = combos.orderBy("combo").collect()
-    size = np.array([r["size"] for r in table])
-    first = np.array([r["first"] for r in table])
-    codes = [{} for _ in attrs]
-    combo_codes = np.array([[code.setdefault(r[a], len(code)) for a, code in zip(attrs, codes)] for r in table]).reshape(-1, len(attrs))
-    attr_at = {a: i for i, a in enumerate(attrs)}
-    kind = dict(profile.dtypes)["user"]
-
-    wants = profile.groupBy("user").agg(F.collect_list(F.struct("attr", "value", "n")).alias("p"))
-    had = seen.groupBy("user").agg(F.collect_list(F.struct("combo", "had", "has_first")).alias("s"))
-    rows = wants.join(had, "user", "left").select(
-        "user",
-        F.col("p.attr").alias("pa"),
-        F.col("p.value").alias("pv"),
-        F.col("p.n").alias("pn"),
-        F.col("s.combo").alias("sc"),
-        F.col("s.had").alias("sh"),
-        F.col("s.has_first").alias("sf"),
-    )
-
-    def choose(user, pa, pv, pn, sc, sh, sf) -> pd.DataFrame:
-        weights = [np.zeros(len(code)) for code in codes]
-        for a, v, k in zip(pa, pv, pn):
-            at = attr_at[a]
-            if v in codes[at]:
-                weights[at][codes[at][v]] = k
-        score = sum(w[combo_codes[:, i]] for i, w in enumerate(weights))
-        left = size.copy()
-        gone = np.zeros(len(size), bool)
-        if sc is not None:
-            at = np.asarray(sc, dtype=int)
-            left[at] -= np.asarray(sh, dtype=int)
-            gone[at] = np.asarray(sf, dtype=bool)
-        order = np.lexsort((first, -score))
-        order = order[(score[order] > 0) & (left[order] > 0)]
-        upto = np.cumsum(left[order])
-        if len(order):
-            last = score[order[min(np.searchsorted(upto, n), len(order) - 1)]]
-            better = order[score[order] > last]
-            # Among equal scores the items with the smallest numbers win; a combination whose first unseen
-            # item comes after n others cannot win.
-            equal = order[score[order] == last]
-            equal = equal[: n + int(gone[equal].sum())]
-            order = np.concatenate([better, equal])
-        return pd.DataFrame({"user": user, "combo": order, "score": score[order].astype("int64")})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = [choose(*row) for row in batch.itertuples(index=False)]
-            if made:
-                yield pd.concat(made)
-
-    return rows.mapInPandas(run, f"user {kind}, combo long, score long")
-
-
-def _scores_by_join(profile: DataFrame, combos: DataFrame, attrs: Sequence[str]) -> DataFrame:
-    """``user, combo, score`` of every combination a user's values touch: for very many combinations."""
-    long = _long(combos.select("combo", *attrs), ["combo"], attrs)
-    return profile.join(long, ["attr", "value"]).groupBy("user", "combo").agg(F.sum("n").alias("score"))
-
-
-def content_scores(
-    likes: DataFrame, items: DataFrame, attrs: Sequence[str], n: int, max_combos: int = MAX_COMBOS
-) -> DataFrame:
+    usable = np.where(left > 0, score, 0)
+    least = np.zeros(len(score), score.dtype) if score.shape[1] <= n else np.partition(usable, -n, axis=1)[:, -n]
+    better = (usable > least[:, None]) & (usable > 0)
+    rows, cols = np.nonzero(better)
+    equal_rows, equal_cols = np.nonzero((usable == least[:, None]) & (usable > 0))
+    if len(equal_rows):
+        order = np.lexsort((first[equal_cols], equal_rows))
+        equal_rows, equal_cols = equal_rows[order], equal_cols[order]
+        starts = np.flatnonzero(np.r_[True, equal_rows[1:] != equal_rows[:-1]])
+        sizes = np.diff(np.r_[starts, len(equal_rows)])
+        rank = np.arange(len(equal_rows)) - np.repeat(starts, sizes)
+        more = np.repeat(np.add.reduceat(gone[equal_rows, equal_cols], starts), sizes)
+        keep = rank < n + more
+        rows, cols = np.r_[rows, equal_rows[keep]], np.r_[cols, equal_cols[keep]]
+    return rows, cols
+
+
+def _block_scores(profile: DataFrame, seen: DataFrame, combos: DataFrame, attrs: Sequence[str], n: int, users: int, width: int) -> DataFrame:
+    """``user, combo, score, first`` of the combinations that can hold a user's n best unseen items.
+
+    Users and combinations are cut into blocks. An equi-join on (attribute, value) gives each pair of blocks the counts of its
+    users for the values that occur in it; the scores of the pair are then sums of columns of one matrix. No block grows
+    with the data, and no user is handled alone.
+    """
+    numbered = cut_lineage(enumerate_rows(profile.select("user").distinct(), "user", name="_n"))
+    numbered = numbered.select("user", F.floor(F.col("_n") / users).alias("ub"), (F.col("_n") % users).cast("int").alias("u"))
+    placed = combos.withColumns({"cb": F.floor(F.col("combo") / width), "c": (F.col("combo") % width).cast("int")})
+    long = _long(placed.select("cb", "c", *attrs), ["cb", "c"], attrs)
+    values = long.select("cb", "attr", "value").distinct()
+    slot = F.row_number().over(W.partitionBy("cb").orderBy("attr", "value")) - 1
+    values = cut_lineage(values.withColumn("slot", slot))
+    # Of each block: for every combination the slots of its values, its size and its first item.
+    codes = long.join(values, ["cb", "attr", "value"]).groupBy("cb", "c").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+    row = F.struct("c", "slots", "size", "first")
+    blocks = codes.join(placed.select("cb", "c", "size", "first"), ["cb", "c"]).groupBy("cb").agg(F.sort_array(F.collect_list(row)).alias("r"))
+    blocks = cut_lineage(blocks.select("cb", F.flatten("r.slots").alias("slots"), F.col("r.size").alias("sizes"), F.col("r.first").alias("firsts")))
+    counts = profile.join(numbered, "user").join(values, ["attr", "value"])
+    counts = counts.groupBy("ub", "cb").agg(F.collect_list("u").alias("us"), F.collect_list("slot").alias("at_slots"), F.collect_list("n").alias("ns"))
+    had = seen.join(numbered, "user").select("ub", "u", F.floor(F.col("combo") / width).alias("cb"), (F.col("combo") % width).cast("int").alias("c"), "had", "has_first")
+    had = had.groupBy("ub", "cb").agg(F.collect_list("u").alias("hu"), F.collect_list("c").alias("hc"), F.collect_list("had").alias("hn"), F.collect_list("has_first").alias("hf"))
+    tasks = max(int(profile.sparkSession.conf.get("spark.sql.shuffle.partitions")), profile.sparkSession.sparkContext.defaultParallelism)
+    pairs = cut_lineage(counts).join(blocks, "cb").join(cut_lineage(had), ["ub", "cb"], "left").repartition(tasks, "ub", "cb")
+    arity = len(attrs)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for p in frame.itertuples():
+                slots = np.asarray(p.slots, int).reshape(-1, arity)
+                size, first = np.asarray(p.sizes, "i8"), np.asarray(p.firsts)
+                us = np.asarray(p.us, int)
+                held = np.unique(us)
+                at = np.searchsorted(held, us)
+                matrix = np.zeros((len(held), int(slots.max()) + 1), "i8")
+                matrix[at, np.asarray(p.at_slots, int)] = np.asarray(p.ns, "i8")
+                score = sum(matrix[:, slots[:, k]] for k in range(arity))
+                left, gone = np.broadcast_to(size, score.shape).copy(), np.zeros(score.shape, bool)
+                if p.hu is not None:
+                    hu = np.asarray(p.hu, int)
+                    some = np.isin(hu, held)
+                    hr, hc = np.searchsorted(held, hu[some]), np.asarray(p.hc, int)[some]
+                    left[hr, hc] -= np.asarray(p.hn, "i8")[some]
+                    gone[hr, hc] = np.asarray(p.hf, bool)[some]
+                rows, cols = _candidates(score, left, gone, np.argsort(np.argsort(first)), n)
+                yield pd.DataFrame({"ub": p.ub, "u": held[rows], "combo": p.cb * width + cols, "score": score[rows, cols], "first": first[cols]})
+
+    kind = dict(combos.dtypes)["first"]
+    found = pairs.mapInPandas(run, f"ub long, u int, combo long, score long, first {kind}")
+    return found.join(numbered, ["ub", "u"]).select("user", "combo", "score", "first")
+
+
+def content_scores(likes: DataFrame, items: DataFrame, attrs: Sequence[str], n: int, user_block: int = 512, combo_block: int = 2048) -> DataFrame:
     """``user, item, score, rank``: the n best unseen items of each user.
 
     The score adds up how often the user liked each attribute value of the item; items scoring 0 are left out,
@@ -163,11 +169,15 @@ def content_scores(
     seen = bought.join(placed, "item").groupBy("user", "combo").agg(
         F.count("*").alias("had"), F.bool_or(F.col("item") == F.col("first")).alias("has_first")
     )
-    profile = preference_counts(likes, items, attrs)
-    if combos.count() <= max_combos:
-        scores = _scores_in_tasks(profile, seen, combos, attrs, n)
-    else:
-        scores = _scores_by_join(profile, combos, attrs)
+    seen = cut_lineage(seen)
+    profile = cut_lineage(preference_counts(likes, items, attrs))
+    found = cut_lineage(_block_scores(profile, seen, combos, attrs, n, user_block, combo_block))
+    # The same choice once more over all blocks: at most n combinations have a better score, and of those that score the same
+    # the first n whose first item is unseen are enough.
+    gone = seen.where("has_first").groupBy("user").agg(F.count("*").alias("gone"))
+    level, equal = W.partitionBy("user").orderBy(F.desc("score")), W.partitionBy("user", "score").orderBy("first")
+    best = found.withColumns({"level": F.rank().over(level)}).where(F.col("level") <= n).withColumn("place", F.row_number().over(equal))
+    scores = best.join(gone, "user", "left").where(F.col("place") <= n + F.coalesce("gone", F.lit(0))).select("user", "combo", "score")
     # The first n + had items of a combination are enough: at most `had` of them drop out.
     listed = enumerate_rows(placed.select("combo", "item"), ["combo", "item"], name="pos")
     starts = listed.groupBy("combo").agg(F.min("pos").alias("start"))
@@ -181,34 +191,36 @@ def content_scores(
     return fresh.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
-def fit_als(likes: DataFrame, rank: int = 10, max_iter: int = 5, seed: int = 0) -> ALSModel:
-    """Collaborative filtering on how often a user took an item. Ids must fit into 32-bit whole numbers."""
-    ratings = likes.groupBy("user", "item").agg(F.count("*").cast("float").alias("rating"))
-    als = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=rank, maxIter=max_iter, seed=seed, coldStartStrategy="drop")
-    return als.fit(ratings)
+@dataclass(frozen=True)
+class Factors:
+    """``user, v`` and ``item, v``: a product of two vectors estimates how often the user takes the item."""
 
+    users: DataFrame
+    items: DataFrame
 
-def als_top_n(model: ALSModel, likes: DataFrame, n: int) -> DataFrame:
-    """``user, item, score, rank``: the n best items of each user in ``likes`` that are not among their likes.
 
-    Users are grouped by how many items they have, in powers of four, and asked for n more than that, so a user with
-    very many items does not lengthen the lists of all others.
-    """
-    had = cut_lineage(likes.select("user", "item").distinct())
-    level = F.ceil(F.log(4.0, F.count("*"))).cast("int")
-    users = cut_lineage(had.groupBy("user").agg(level.alias("level")))
-    lists = [
-        model.recommendForUserSubset(users.where(F.col("level") == r["level"]), n + 4 ** r["level"])
-        for r in users.select("level").distinct().orderBy("level").collect()
-    ]
-    if not lists:
-        lists = [model.recommendForUserSubset(users, n)]
-    best = reduce(DataFrame.unionByName, lists).select("user", F.explode("recommendations").alias("r"))
-    scored = best.select(
-        F.col("user").cast("long").alias("user"), F.col("r.item").cast("long").alias("item"), F.col("r.rating").cast("double").alias("score")
-    )
-    rank = F.row_number().over(W.partitionBy("user").orderBy(F.desc("score"), "item"))
-    return scored.join(had, ["user", "item"], "left_anti").withColumn("rank", rank).where(F.col("rank") <= n)
+def _numbered(ids: DataFrame, key: str) -> DataFrame:
+    """The different ids with numbers that Spark's solver takes."""
+    return cut_lineage(enumerate_rows(ids.select(key).where(F.col(key).isNotNull()).distinct(), key, name=f"{key}_n"))
+
+
+def fit_als(likes: DataFrame, rank: int = 10, max_iter: int = 5, seed: int = 0) -> Factors:
+    """Collaborative filtering on how often a user took an item. Ids of any type; rows with a null id take no part."""
+    users, items = _numbered(likes, "user"), _numbered(likes, "item")
+    ratings = likes.groupBy("user", "item").agg(F.count("*").cast("float").alias("rating"))
+    ratings = ratings.join(users, "user").join(items, "item").select(F.col("user_n").cast("int"), F.col("item_n").cast("int"), "rating")
+    als = ALS(userCol="user_n", itemCol="item_n", ratingCol="rating", rank=rank, maxIter=max_iter, seed=seed)
+    model = als.fit(cut_lineage(ratings))
+    sides = ((model.userFactors, users, "user"), (model.itemFactors, items, "item"))
+    found = [cut_lineage(f.join(ids, f["id"] == ids[f"{key}_n"]).select(key, F.col("features").alias("v"))) for f, ids, key in sides]
+    return Factors(*found)
+
+
+def als_top_n(factors: Factors, likes: DataFrame, n: int) -> DataFrame:
+    """``user, item, score, rank``: the n best items of each user in ``likes`` that are not among their likes."""
+    had = likes.select("user", "item").distinct()
+    users = factors.users.join(had.select("user").distinct(), "user", "left_semi")
+    return largest_products(users, factors.items, had, n)
 
 
 def hybrid(content: DataFrame, collaborative: DataFrame, weight: float, n: int) -> DataFrame:

@@ -138,6 +138,34 @@ def online_study(t: Tables) -> DataFrame:
     return online.online_study(train, test, "vec_id", "embedding", "label", range(10), 64, scratch_path(t.spark, "study"))
 
 
+@query("online_mlp_study")
+def online_mlp_study(t: Tables) -> DataFrame:
+    """A multi-layer perceptron taught online and in batch, by share of the training rows."""
+    train, test = split_stratified(t.embeddings, "vec_id", "label", 0.7, seed=1)
+    return online.online_mlp_study(train, test, "vec_id", "embedding", "label", range(10), 64)
+
+
+@query("hidden_layer_table")
+def hidden_layer_table(t: Tables) -> DataFrame:
+    """Accuracy and seconds of multi-layer perceptrons taught online, by their hidden layers."""
+    train, test = split_stratified(t.embeddings, "vec_id", "label", 0.7, seed=1)
+    sizes = ((25,), (50,), (100,), (50, 50))
+    rows = online.online_mlp_study(train, test, "vec_id", "embedding", "label", range(10), 64, sizes, (1.0,))
+    return rows.select("hidden", "online_accuracy", "batch_accuracy", "online_seconds", "batch_seconds")
+
+
+@query("stream_mlp")
+def stream_mlp(t: Tables) -> DataFrame:
+    """Accuracy of a multi-layer perceptron that saw the vectors as a stream."""
+    state, mark = _places(t, "weights", "checkpoint")
+    learner = online.OnlineMlp(t.spark, range(10), "embedding", "label", 64, state, steps=20, rate=0.02)
+    _finish(sources.run_available(_stream(t, "embeddings").writeStream.foreachBatch(learner.update), mark))
+    guessed = learner.classifier().predict(t.embeddings)
+    return guessed.agg(
+        F.count("*").alias("rows"), F.avg((c("label") == c("prediction")).cast("double")).alias("accuracy")
+    )
+
+
 @query("stream_kmeans")
 def stream_kmeans(t: Tables) -> DataFrame:
     state, mark = _places(t, "centres", "checkpoint")

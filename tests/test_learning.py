@@ -134,23 +134,6 @@ def test_silhouette_sample(blobs):
     assert part.agg(F.avg("silhouette")).first()[0] == pytest.approx(full, abs=0.1)
 
 
-def test_content_scores_paths_agree(spark):
-    rng = np.random.default_rng(3)
-    items = pd.DataFrame({"item": range(60), "p": rng.choice(list("xyz"), 60), "q": rng.choice(list("uv"), 60)})
-    likes = pd.DataFrame({"user": np.where(rng.random(300) < 0.5, 0, rng.integers(1, 12, 300)), "item": rng.integers(0, 60, 300)})
-    a, b = spark.createDataFrame(likes), spark.createDataFrame(items)
-    want = []
-    for user, mine in likes.groupby("user"):
-        got = mine.merge(items, on="item")
-        score = items["p"].map(got["p"].value_counts()).fillna(0) + items["q"].map(got["q"].value_counts()).fillna(0)
-        table = items.assign(score=score)[~items["item"].isin(mine["item"])]
-        best = table[table["score"] > 0].sort_values(["score", "item"], ascending=[False, True]).head(4)
-        want += [(user, i, int(s)) for i, s in zip(best["item"], best["score"])]
-    for limit in (10**6, 0):
-        found = recommend.content_scores(a, b, ["p", "q"], 4, max_combos=limit).collect()
-        assert sorted((r["user"], r["item"], r["score"]) for r in found) == sorted(want)
-
-
 def test_peers_are_others_of_the_same_cluster(spark):
     df = spark.range(100).select(F.col("id").alias("item"), F.when(F.col("id") < 60, 0).when(F.col("id") < 62, 1).otherwise(F.col("id")).alias("c"))
     found = recommend.recommend_peers(df, "item", "c", 3, seed=1).toPandas()
