@@ -31,7 +31,7 @@ def plain_dbscan(points, eps, min_samples):
 
 @pytest.mark.parametrize(
     "dims, eps, min_samples, whole",
-    [(2, 0.05, 5, False), (2, 1.0, 2, True), (3, 0.15, 4, False), (1, 0.004, 6, False)],
+    [(2, 0.05, 5, False), (2, 1.0, 2, True), (3, 0.15, 4, False), (1, 0.004, 6, False), (8, 0.2, 5, False)],
 )
 def test_dbscan_equals_plain_version(spark, dims, eps, min_samples, whole):
     rng = np.random.default_rng(dims)
@@ -48,6 +48,24 @@ def test_dbscan_equals_plain_version(spark, dims, eps, min_samples, whole):
     assert found["cluster"].tolist() == labels.tolist()
 
 
+def test_dbscan_around_a_crowded_cell(spark):
+    """Most points in one cell, loose ones around it: boxes are split, and rows without a place stay noise."""
+    rng = np.random.default_rng(9)
+    points = np.vstack([rng.normal(0, 0.05, (400, 2)), rng.uniform(-1, 1, (60, 2)), np.zeros((30, 2))])
+    pdf = pd.DataFrame(points, columns=["x", "y"])
+    pdf["id"] = np.arange(len(pdf))
+    odd = [(float("nan"), 0.0, 1000), (None, 0.0, 1001), (float("inf"), 0.0, 1002)]
+    df = spark.createDataFrame(pdf).unionByName(spark.createDataFrame(odd, "x double, y double, id long"))
+    found = dbscan(df, "id", ["x", "y"], 0.3, 4).toPandas().sort_values("id")
+    labels, core = plain_dbscan(points, 0.3, 4)
+    assert found["core"].tolist() == core.tolist() + [False] * 3
+    assert found["cluster"].tolist() == labels.tolist() + [-1] * 3
+
+
+def test_dbscan_of_no_rows(spark):
+    assert dbscan(spark.createDataFrame([], "id long, x double"), "id", ["x"], 1.0, 2).count() == 0
+
+
 def plain_ward(points, k):
     clusters = [[i] for i in range(len(points))]
     while len(clusters) > k:
