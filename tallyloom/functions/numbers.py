@@ -58,26 +58,55 @@ def case_bucket(rules: Sequence[tuple[Column, object]], default: object = None)
     return bucket.otherwise(default)
 
 
-# The first primes, tested before any longer search.
-_FIRST_PRIMES = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29)
+# The first primes. As witnesses of a strong test the first four decide every number below 3,215,031,751, all of
+# them every number of 64 bits.
+_FIRST_PRIMES = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37)
+# Squares of numbers up to this one fit into 64 bits.
+_ROOT_OF_LONG = 3_037_000_499
+
+
+def _strong_test(n: Column, witnesses: Sequence[int], kind: str) -> Column:
+    """Whether an odd ``n`` passes the strong test (Miller and Rabin) for all witnesses.
+
+    With n - 1 = d * 2^r and an odd d, a witness w passes if w^d is 1 or one of w^d, w^2d, ... before w^(n-1) is n - 1. The powers
+    come up while w^(n-1) is built from the bits of n - 1, the last r of which are zeros. ``kind`` holds products of two rests.
+    """
+    m = n.cast(kind)
+    size = F.length(F.bin(n - 1))
+    zeros = F.length(F.bin((n - 1).bitwiseAND(-(n - 1)))) - 1
+    places = F.sequence(F.lit(1), size)
+
+    def passes(w: int) -> Column:
+        def step(state: Column, place: Column) -> Column:
+            bit = F.call_function("shiftright", n - 1, size - place).bitwiseAND(F.lit(1).cast("long"))
+            square = (state["x"] * state["x"] % m).cast(kind)
+            x = F.when(bit == 1, (square * F.lit(w).cast(kind) % m).cast(kind)).otherwise(square)
+            left = size - place
+            seen = state["hit"] | ((left == zeros) & (x == 1)) | ((left <= zeros) & (left > 0) & (x == m - 1))
+            return F.struct(x.alias("x"), seen.alias("hit"))
+
+        start = F.struct(F.lit(1).cast(kind).alias("x"), F.lit(False).alias("hit"))
+        return F.aggregate(places, start, step)["hit"]
+
+    out = passes(witnesses[-1])
+    for w in reversed(witnesses[:-1]):
+        out = F.when(passes(w), out).otherwise(F.lit(False))
+    return out
 
 
 def is_prime(col: Column) -> Column:
-    """Trial division: small primes first, then 6k-1 and 6k+1 up to the root.
+    """Small primes by division, all others by a strong test with fixed witnesses, which is exact for 64 bits.
 
-    Only numbers without a small factor reach the search, and no row is compared with another.
+    The work for a number grows with its digits, not with its root.
     """
     n = col.cast("long")
-    root = F.ceil(F.sqrt(n.cast("double"))).cast("long")
-    steps = F.sequence(F.lit(29).cast("long"), F.greatest(root, F.lit(29).cast("long")), F.lit(6).cast("long"))
-    has_none = F.forall(
-        steps, lambda d: (d * d > n) | ((n % d != 0) & (((d + 2) * (d + 2) > n) | (n % (d + 2) != 0)))
-    )
     test = F.when(n.isNull(), F.lit(None).cast("boolean")).when(n < 2, F.lit(False))
     test = test.when(n.isin(*_FIRST_PRIMES), F.lit(True))
     for p in _FIRST_PRIMES:
         test = test.when(n % p == 0, F.lit(False))
-    return test.when(n < 31 * 31, F.lit(True)).otherwise(has_none)
+    test = test.when(n < 41 * 41, F.lit(True))
+    test = test.when(n <= _ROOT_OF_LONG, _strong_test(n, _FIRST_PRIMES[:4], "long"))
+    return test.otherwise(_strong_test(n, _FIRST_PRIMES, "decimal(38,0)"))
 
 
 def power(col: Column, n: int) -> Column:

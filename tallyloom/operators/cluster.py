@@ -18,12 +18,11 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.colour import hex_colour
 from tallyloom.operators.features import _first_by_hash
+from tallyloom.operators.order import enumerate_rows
 from tallyloom.session import cut_lineage
 from tallyloom.sources.generate import unit_hash
 
 Centres = Sequence[Sequence[float]]
-# A silhouette sample may hold this many numbers in all; it is sent to every task.
-SAMPLE_VALUES = 20_000_000
 
 
 def nearest(cols: Sequence[str], centres: Centres) -> Column:
@@ -141,13 +140,11 @@ def fit_kmeans_grouped(
     seed: int = 0,
     max_iter: int = 10,
     tol: float = 1e-4,
-    in_task_values: int = 1_000_000,
 ) -> DataFrame:
     """k-means within every group, for every k, all at once: ``group, k, cluster, <cols>, n, inertia``.
 
     Points are reduced to distinct ones with weights, and each round adds up new centres for all models. The
-    centres go to the tasks while they are at most ``in_task_values`` numbers; with more groups than that they
-    stay a table that is joined. ``inertia`` is that of the model; the best of ``n_init`` starts is kept.
+    centres are a table that is joined. ``inertia`` is that of the model; the best of ``n_init`` starts is kept.
     """
     points = df.select(group, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     points = cut_lineage(points.groupBy(group, *cols).agg(F.count("*").alias("n")), spread=True)
@@ -163,18 +160,16 @@ def fit_kmeans_grouped(
             starts = rows if starts is None else starts.unionByName(rows)
     centres = cut_lineage(starts)
     key = [group, "k", "start", "cluster"]
-    small = centres.count() * len(cols) <= in_task_values
-    assign = _sums_in_tasks if small else _sums_by_join
 
     for _ in range(max_iter):
-        moved = assign(points, centres, group, cols).select(*key, F.transform("sums", lambda v: v / F.col("n")).alias("to"))
+        moved = _sums(points, centres, group, cols).select(*key, F.transform("sums", lambda v: v / F.col("n")).alias("to"))
         step = cut_lineage(centres.join(moved, key, "left"))
         gaps = F.zip_with("centre", F.coalesce("to", "centre"), lambda a, b: (a - b) * (a - b))
         shift = step.agg(F.max(F.array_max(gaps))).first()[0]
         centres = step.select(*key, F.coalesce("to", "centre").alias("centre"))
         if shift is None or shift <= tol * tol:
             break
-    found = cut_lineage(assign(points, centres, group, cols).select(*key, "n", "cost"))
+    found = cut_lineage(_sums(points, centres, group, cols).select(*key, "n", "cost"))
     cost = found.groupBy(group, "k", "start").agg(F.sum("cost").alias("inertia"))
     best = cost.groupBy(group, "k").agg(F.min(F.struct("inertia", "start")).alias("_b"))
     best = best.select(group, "k", F.col("_b.start").alias("start"), F.col("_b.inertia").alias("inertia"))
@@ -182,55 +177,8 @@ def fit_kmeans_grouped(
     return table.select(group, "k", "cluster", *[F.col("centre")[i].alias(c) for i, c in enumerate(cols)], "n", "inertia")
 
 
-def _sums_in_tasks(points: DataFrame, centres: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
-    """``group, k, start, cluster, n, cost, sums``: the centres go to every task, partial sums come back."""
-    kinds = dict(centres.dtypes)
-    table = centres.toPandas()
-    groups = pd.Index(table[group].unique())
-    models = {}
-    for (k, start), part in table.groupby(["k", "start"]):
-        # A group with fewer distinct points than k has fewer centres; the rest lie at infinity.
-        grid = np.full((len(groups), k, len(cols)), np.inf)
-        grid[groups.get_indexer(part[group]), part["cluster"]] = np.stack(part["centre"].to_numpy())
-        models[int(k), int(start)] = grid
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            g = groups.get_indexer(batch[group])
-            x = batch[list(cols)].to_numpy(float)
-            n = batch["n"].to_numpy(float)
-            for (k, start), grid in models.items():
-                gap = np.zeros((len(x), k))
-                for i in range(len(cols)):
-                    gap += (x[:, i, None] - grid[g, :, i]) ** 2
-                cluster = gap.argmin(axis=1)
-                slot = g * k + cluster
-                used, at = np.unique(slot, return_inverse=True)
-                sums = [np.bincount(at, n * x[:, i]) for i in range(len(cols))]
-                yield pd.DataFrame(
-                    {
-                        group: groups[used // k],
-                        "k": k,
-                        "start": start,
-                        "cluster": used % k,
-                        "n": np.bincount(at, n),
-                        "cost": np.bincount(at, n * gap[np.arange(len(x)), cluster]),
-                        "sums": list(np.column_stack(sums)),
-                    }
-                )
-
-    schema = f"`{group}` {kinds[group]}, k int, start int, cluster int, n double, cost double, sums array<double>"
-    parts = points.select(group, *cols, "n").mapInPandas(run, schema)
-    totals = parts.groupBy(group, "k", "start", "cluster").agg(
-        F.sum("n").cast("long").alias("n"),
-        F.sum("cost").alias("cost"),
-        F.array(*[F.sum(F.col("sums")[i]) for i in range(len(cols))]).alias("sums"),
-    )
-    return totals
-
-
-def _sums_by_join(points: DataFrame, centres: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
-    """The same for more groups than tasks can be sent: points meet one row of models per group."""
+def _sums(points: DataFrame, centres: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
+    """``group, k, start, cluster, n, cost, sums``: points meet one row of models per group."""
     models = centres.groupBy(group, "k", "start").agg(F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("m"))
     packed = models.groupBy(group).agg(F.collect_list(F.struct("k", "start", "m")).alias("models"))
     rows = points.join(packed, group).select(group, *cols, "n", F.explode("models").alias("model"))
@@ -249,35 +197,45 @@ def _sums_by_join(points: DataFrame, centres: DataFrame, group: str, cols: Seque
 
 
 def minibatch_step(
-    centres: np.ndarray, counts: np.ndarray, batch: DataFrame, cols: Sequence[str]
+    centres: np.ndarray, counts: np.ndarray, batch: DataFrame, cols: Sequence[str], weight: str | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Move centres towards a batch: each becomes the running mean of all points it has been given."""
-    sums = lloyd_step(batch, cols, centres.tolist()).collect()
+    """Move centres towards a batch: each becomes the running mean of all points it has been given, ``weight`` times."""
+    n = F.col(weight) if weight else F.lit(1)
+    placed = batch.select(*cols, n.alias("_w"), nearest(cols, centres.tolist())["i"].alias("cluster"))
+    sums = placed.groupBy("cluster").agg(*[F.sum(F.col(c) * F.col("_w")).alias(c) for c in cols], F.sum("_w").alias("n")).where("n > 0").collect()
     centres, counts = centres.copy(), counts.copy()
     for row in sums:
         i, n = row["cluster"], row["n"]
         counts[i] += n
-        centres[i] += (np.array([row[c] for c in cols]) - centres[i]) * (n / counts[i])
+        centres[i] += (np.array([row[c] for c in cols]) / n - centres[i]) * (n / counts[i])
     return centres, counts
 
 
+def draw_batches(df: DataFrame, cols: Sequence[str], batch: int, steps: int, seed: int = 0) -> DataFrame:
+    """``<cols>, step, drawn``: how often each different point is in each of ``steps`` batches of about ``batch`` rows.
+
+    A point that occurs n times is expected n * batch / rows times in a batch: the whole part is certain, the rest is drawn by a
+    hash of the point and the step. So batches come out even whichever rows are equal, and do not depend on the layout.
+    """
+    points = cut_lineage(weighted_points(df, cols))
+    rows = points.agg(F.sum("n")).scalar()
+    each = points.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(steps - 1)))).withColumn("_e", F.col("n") * F.least(F.lit(1.0), F.lit(float(batch)) / rows))
+    more = unit_hash(*[F.col(c) for c in cols], F.col("step"), seed=seed) < F.col("_e") - F.floor("_e")
+    return each.select(*cols, "step", (F.floor("_e") + more.cast("long")).alias("drawn")).where("drawn > 0")
+
+
 def fit_minibatch_kmeans(
     df: DataFrame, cols: Sequence[str], k: int, batch: int = 1024, steps: int = 10, seed: int = 0
 ) -> CentreFit:
-    """Mini-batch k-means: the table is read once to draw ``steps`` batches, and once for the final inertia."""
-    points = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    rows = points.count()
-    share = min(1.0, batch * steps / max(rows, 1))
-    # Drawn by the values, so that the layout of the table does not matter; rows that are equal go together.
-    values = [F.col(c) for c in cols]
-    drawn = points.where(unit_hash(*values, seed=seed + 1) < share)
-    drawn = cut_lineage(drawn.withColumn("_step", F.floor(unit_hash(*values, seed=seed + 2) * steps).cast("int")))
+    """Mini-batch k-means: the different points are counted once, and batches are drawn among them by their weight."""
+    drawn = cut_lineage(draw_batches(df, cols, batch, steps, seed + 1))
     spread = drawn.select(*cols).distinct().orderBy(unit_hash(*[F.col(c) for c in cols], seed=seed), *cols).limit(k)
     centres = np.array([[float(v) for v in r] for r in spread.collect()])
     counts = np.zeros(len(centres))
     for step in range(steps):
-        centres, counts = minibatch_step(centres, counts, drawn.where(F.col("_step") == step), cols)
+        centres, counts = minibatch_step(centres, counts, drawn.where(F.col("step") == step), cols, "drawn")
     ordered = tuple(sorted(tuple(float(v) for v in c) for c in centres))
+    points = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
     return CentreFit(tuple(cols), ordered, float(inertia(points, cols, ordered).first()["inertia"]))
 
 
@@ -286,56 +244,63 @@ def as_array(cols: Sequence[str] | str) -> Column:
     return F.col(cols).cast("array<double>") if isinstance(cols, str) else F.array(*[F.col(c).cast("double") for c in cols])
 
 
-def silhouette_values(
-    df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, sample: int = 10_000, seed: int = 0
-) -> DataFrame:
-    """``id, label, a, b, silhouette`` with Euclidean distances on a sample of at most ``sample`` rows.
+def silhouette_values(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, block: int = 1024, wide: int = 8192) -> DataFrame:
+    """``id, label, a, b, silhouette`` of every row with Euclidean distances to all others.
 
-    The sample is bounded by design. It is sent to all tasks, and each task compares its rows with it, so the
-    pairs are never rows of a table. A row alone in its cluster scores 0.
+    Rows are cut into blocks; each pair of a block and a wide block is one task row that adds up the distances per row and
+    cluster, so the pairs of rows are never rows of a table. The work is quadratic by nature. A row alone in its cluster, or with
+    no other cluster, scores 0; rows without a label or a vector take no part.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(label).alias("label"), as_array(cols).alias("v"))
-    total = rows.count()
-    if total > sample:
-        rows = rows.where(_first_by_hash(rows, "id", {0: sample}, F.lit(0), seed))
-    rows = cut_lineage(rows, spread=True)
-    local = rows.select("label", "v").collect()
-    labels = np.array([r["label"] for r in local])
-    points = np.array([r["v"] for r in local], dtype=float)
-    if points.size > SAMPLE_VALUES:
-        raise ValueError(f"a sample of {points.size} numbers is too large; lower `sample`")
-    kinds = np.unique(labels)
-    own = {k: i for i, k in enumerate(kinds)}
-    member = (labels[:, None] == kinds[None, :]).astype(float)
-    sizes = member.sum(axis=0)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start : start + 256]
-                x = np.stack(part["v"].to_numpy())
-                gap = np.zeros((len(x), len(points)))
-                for j in range(x.shape[1]):
-                    gap += (x[:, j, None] - points[None, :, j]) ** 2
-                sums = np.sqrt(gap) @ member
-                mine = np.array([own[v] for v in part["label"]])
-                at = np.arange(len(x))
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    a = sums[at, mine] / (sizes[mine] - 1)
-                    means = sums / sizes
-                means[at, mine] = np.inf
-                b = means.min(axis=1)
-                with np.errstate(invalid="ignore"):
-                    s = np.where(sizes[mine] > 1, (b - a) / np.maximum(a, b), 0.0)
-                yield pd.DataFrame({"id": part["id"], "label": part["label"], "a": a, "b": b, "silhouette": np.nan_to_num(s)})
-
-    kind = dict(rows.dtypes)
-    return rows.mapInPandas(score, f"id {kind['id']}, label {kind['label']}, a double, b double, silhouette double")
-
-
-def silhouette(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, sample: int = 10_000, seed: int = 0) -> DataFrame:
-    """Mean silhouette of the (sampled) rows."""
-    return silhouette_values(df, id_col, cols, label, sample, seed).agg(F.avg("silhouette").alias("silhouette"))
+    rows = df.select(F.col(id_col).alias("id"), F.col(label).alias("label"), as_array(cols).alias("v")).dropna()
+    kinds = cut_lineage(enumerate_rows(rows.groupBy("label").agg(F.count("*").alias("size")), "label", name="kind"))
+    placed = cut_lineage(enumerate_rows(rows.join(kinds.select("label", "kind"), "label"), ["id", "label"], name="n"))
+    held = F.sort_array(F.collect_list(F.struct("n", "kind", "v")))
+
+    def packed(size: int, name: str) -> DataFrame:
+        made = placed.groupBy(F.floor(F.col("n") / size).alias(name)).agg(held.alias("r"))
+        return made.select(name, F.col("r.kind").alias(f"{name}_kinds"), F.flatten("r.v").alias(f"{name}_v"))
+
+    last = placed.agg(F.max("n")).first()[0]
+    small = packed(block, "a").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit((last or 0) // wide)).cast("array<bigint>")))
+    pairs = small.join(cut_lineage(packed(wide, "b")), "b")
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for p in frame.itertuples():
+                x, y = (np.asarray(v, float).reshape(len(k), -1) for v, k in ((p.a_v, p.a_kinds), (p.b_v, p.b_kinds)))
+                there, at = np.unique(np.asarray(p.b_kinds), return_inverse=True)
+                member = (at[:, None] == np.arange(len(there))).astype(float)
+                for lo in range(0, len(x), 128):
+                    part = x[lo : lo + 128]
+                    gap = np.zeros((len(part), len(y)))
+                    for j in range(x.shape[1]):
+                        gap += (part[:, j, None] - y[None, :, j]) ** 2
+                    sums = np.sqrt(gap) @ member
+                    n = p.a * block + lo + np.arange(len(part))
+                    yield pd.DataFrame({"n": np.repeat(n, len(there)), "other": np.tile(there, len(part)), "total": sums.ravel()})
+
+    sums = pairs.repartition(tasks, "a", "b").mapInPandas(add, "n long, other long, total double")
+    sums = sums.groupBy("n", "other").agg(F.sum("total").alias("total")).join(kinds.select(F.col("kind").alias("other"), "size"), "other")
+    sums = sums.join(placed.select("n", "id", "label", "kind"), "n")
+    own = F.col("other") == F.col("kind")
+    a = F.max(F.when(own & (F.col("size") > 1), F.col("total") / (F.col("size") - 1)))
+    b = F.min(F.when(~own, F.col("total") / F.col("size")))
+    found = sums.groupBy("n", "id", "label").agg(a.alias("a"), b.alias("b"))
+    score = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), F.greatest("a", "b"))), F.lit(0.0))
+    return found.select("id", "label", "a", "b", score.alias("silhouette"))
+
+
+def silhouette(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str) -> DataFrame:
+    """Mean silhouette of all rows."""
+    return silhouette_values(df, id_col, cols, label).agg(F.avg("silhouette").alias("silhouette"))
+
+
+def silhouette_sample(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, n: int, seed: int = 0) -> DataFrame:
+    """``silhouette, rows_used``: mean silhouette of a seeded sample of at most ``n`` rows, compared with each other."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(label).alias("label"), as_array(cols).alias("v")).dropna()
+    rows = rows.where(_first_by_hash(rows, "id", {0: n}, F.lit(0), seed))
+    return silhouette_values(rows, "id", "v", "label").agg(F.avg("silhouette").alias("silhouette"), F.count("*").alias("rows_used"))
 
 
 def silhouette_squared(df: DataFrame, cols: Sequence[str] | str, label: str) -> DataFrame:
@@ -345,13 +310,15 @@ def silhouette_squared(df: DataFrame, cols: Sequence[str] | str, label: str) ->
     return df.sparkSession.createDataFrame([(float(value),)], "silhouette double")
 
 
-def quality_table(df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], n_init: int = 1, seed: int = 0) -> DataFrame:
-    """``k, inertia, silhouette, seconds``: one fit per k with its quality and duration."""
+def quality_table(
+    df: DataFrame, id_col: str, cols: Sequence[str], ks: Sequence[int], n_init: int = 1, seed: int = 0, sample: int = 10_000
+) -> DataFrame:
+    """``k, inertia, silhouette, rows_used, seconds``: one fit per k with its quality (of a sample) and duration."""
     rows = []
     for k in ks:
         begun = time.perf_counter()
         fit = fit_kmeans(df, cols, k, n_init, seed)
         seconds = time.perf_counter() - begun
-        score = silhouette(fit.assign(df), id_col, cols, "cluster", seed=seed).first()["silhouette"]
-        rows.append((k, fit.inertia, float(score), seconds))
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, seconds double")
+        score = silhouette_sample(fit.assign(df), id_col, cols, "cluster", sample, seed).first()
+        rows.append((k, fit.inertia, float(score["silhouette"]), score["rows_used"], seconds))
+    return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, rows_used long, seconds double")

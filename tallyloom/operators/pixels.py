@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -118,11 +118,37 @@ def apply_levels(px: DataFrame, levels: DataFrame) -> DataFrame:
     return joined.select("image_id", "x", "y", *[F.col(f"_{b}")[F.col(b)].alias(b) for b in _BANDS])
 
 
+def image_sizes(px: DataFrame) -> DataFrame:
+    """``image_id, width, height`` as far as there are pixels."""
+    return px.groupBy("image_id").agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
+
+
+def resize_to(px: DataFrame, sizes: DataFrame, new_width: int, new_height: int) -> DataFrame:
+    """Bring images of any size (``image_id, width, height``) to one size, larger or smaller.
+
+    Each new pixel is the mean of the old ones it covers, weighted by the area they share, so an image without missing pixels
+    has none afterwards. Areas are whole numbers: a new pixel is ``width`` wide where an old one is ``new_width`` wide. An old
+    pixel gives one row for each new one it touches; rows of one place are averaged; null levels carry no weight.
+    """
+    placed = px.join(sizes.select("image_id", F.col("width").cast("long"), F.col("height").cast("long")), "image_id")
+
+    def touched(at: str, size: str, new: int) -> Column:
+        start, stop = F.col(at) * new, (F.col(at) + 1) * new
+        places = F.sequence(F.floor(start / F.col(size)), F.ceil(stop / F.col(size)) - 1)
+        share = lambda k: F.least(stop, (k + 1) * F.col(size)) - F.greatest(start, k * F.col(size))
+        return F.transform(places, lambda k: F.struct(k.alias("at"), share(k).alias("w")))
+
+    wide = placed.where("x >= 0 AND x < width AND y >= 0 AND y < height").select("image_id", *_BANDS, F.explode(touched("x", "width", new_width)).alias("_x"), "y", "height")
+    both = wide.select("image_id", *_BANDS, "_x", F.explode(touched("y", "height", new_height)).alias("_y"))
+    w = F.col("_x.w") * F.col("_y.w")
+    means = [F.try_divide(F.sum(F.col(b) * w), F.sum(F.when(F.col(b).isNotNull(), w))).alias(b) for b in _BANDS]
+    return both.groupBy("image_id", F.col("_x.at").alias("x"), F.col("_y.at").alias("y")).agg(*means)
+
+
 def resize(px: DataFrame, width: int, height: int, new_width: int, new_height: int) -> DataFrame:
-    """Shrink to a fixed size; each new pixel is the mean of its block."""
-    x = F.floor(F.col("x") * new_width / width).alias("x")
-    y = F.floor(F.col("y") * new_height / height).alias("y")
-    return px.groupBy("image_id", x, y).agg(*[F.avg(b).alias(b) for b in _BANDS])
+    """The same for images of one known size."""
+    sizes = px.select("image_id").distinct().select("image_id", F.lit(width).alias("width"), F.lit(height).alias("height"))
+    return resize_to(px, sizes, new_width, new_height)
 
 
 def intensity_grid(px: DataFrame, block: int) -> DataFrame:

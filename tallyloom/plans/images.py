@@ -117,6 +117,24 @@ def resize_block_mean(t: Tables) -> DataFrame:
     return _round(pixels.resize(views.pixels(t), 64, 64, 16, 16), 6, "r", "g", "b")
 
 
+@query(
+    "resize_any",
+    f"""{_PX}, part AS (SELECT * FROM pixels WHERE x < 50 + 3 * image_id AND y < 30 + 8 * image_id),
+        sizes AS (SELECT image_id, max(x) + 1 AS width, max(y) + 1 AS height FROM part GROUP BY 1),
+        wide AS (SELECT p.*, width, height, unnest(range(CAST(floor(x * 100 / width) AS BIGINT), CAST(ceil((x + 1) * 100 / width) AS BIGINT))) AS nx
+          FROM part p JOIN sizes USING (image_id)),
+        cells AS (SELECT *, unnest(range(CAST(floor(y * 40 / height) AS BIGINT), CAST(ceil((y + 1) * 40 / height) AS BIGINT))) AS ny FROM wide),
+        w AS (SELECT *, (least((x + 1) * 100, (nx + 1) * width) - greatest(x * 100, nx * width))
+          * (least((y + 1) * 40, (ny + 1) * height) - greatest(y * 40, ny * height)) AS area FROM cells)
+        SELECT image_id, nx AS x, ny AS y, round(sum(r * area) / sum(area), 9) AS r, round(sum(g * area) / sum(area), 9) AS g,
+          round(sum(b * area) / sum(area), 9) AS b FROM w GROUP BY ALL""",
+)
+def resize_any(t: Tables) -> DataFrame:
+    """Images of different sizes, all brought to 100 x 40: wider, and lower for some."""
+    px = views.pixels(t).where(F.expr("x < 50 + 3 * image_id AND y < 30 + 8 * image_id"))
+    return _round(pixels.resize_to(px, pixels.image_sizes(px), 100, 40), 9, "r", "g", "b")
+
+
 @query(
     "intensity_extremes",
     f"""{_PX}, {_LEVEL} SELECT (SELECT image_id FROM level ORDER BY brightness DESC, image_id LIMIT 1) AS brightest,

@@ -31,6 +31,12 @@ def _finish(done: bool) -> None:
         raise TimeoutError("the stream did not end in time")
 
 
+def _running(t: Tables, counts: DataFrame, schema: str, keys: list[str]) -> DataFrame:
+    out, mark = _places(t, "out", "checkpoint")
+    _finish(consume.run_updates(counts, out, mark, schema, keys))
+    return consume.latest(t.spark, out, schema, keys)
+
+
 def _log_files(t: Tables, path: str) -> None:
     write_lines(views.log_lines(t).repartition(4), path)
 
@@ -75,6 +81,22 @@ def stream_dead_letter(t: Tables) -> DataFrame:
     return good.select(F.lit("good").alias("kind"), "n").union(left.select(F.lit("bad"), "n"))
 
 
+@query(
+    "stream_failing_work",
+    """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE 1000 // (event_id % 10) END AS result,
+         CASE WHEN event_id % 10 = 0 THEN 'ZeroDivisionError' END AS error FROM events""",
+)
+def stream_failing_work(t: Tables) -> DataFrame:
+    """Messages whose work raises are set aside, the others have a result; the events arrive in four files."""
+    source, out, mark = _places(t, "in", "out", "checkpoint")
+    t.events.select("event_id").repartition(4, "event_id").write.parquet(source)
+    stream = sources.stream_table(t.spark, source, t.spark.read.parquet(source).schema, max_files=1)
+    _finish(consume.consume_each(stream, lambda m: 1000 // (m["event_id"] % 10), "long", out, mark))
+    fine = consume.worked(t.spark, out, "event_id long", "long", False).withColumn("error", F.lit(None).cast("string"))
+    bad = consume.worked(t.spark, out, "event_id long", "long", True).withColumn("result", F.lit(None).cast("long"))
+    return fine.unionByName(bad).select("event_id", "result", F.substring_index("error", ":", 1).alias("error"))
+
+
 @query(
     "stream_prime_summary",
     """WITH p AS (SELECT event_id AS v, event_id > 1 AND NOT EXISTS (SELECT 1 FROM range(2, 2000) d(d) WHERE d.d * d.d <= event_id
@@ -82,9 +104,7 @@ def stream_dead_letter(t: Tables) -> DataFrame:
        SELECT is_prime, count(*) AS n, max(v) AS largest FROM p GROUP BY is_prime""",
 )
 def stream_prime_summary(t: Tables) -> DataFrame:
-    out, mark = _places(t, "out", "checkpoint")
-    _finish(consume.run_updates(running.prime_stream(_stream(t, "events"), "event_id"), out, mark))
-    return consume.latest(t.spark, out, "is_prime boolean, n long, largest long", ["is_prime"])
+    return _running(t, running.prime_stream(_stream(t, "events"), "event_id"), "is_prime boolean, n long, largest long", ["is_prime"])
 
 
 @query(
@@ -106,16 +126,12 @@ def stream_error_logs(t: Tables) -> DataFrame:
          FROM conversations) GROUP BY word""",
 )
 def stream_word_count(t: Tables) -> DataFrame:
-    out, mark = _places(t, "out", "checkpoint")
-    _finish(consume.run_updates(running.running_word_count(_stream(t, "conversations"), "text"), out, mark))
-    return consume.latest(t.spark, out, "word string, n long", ["word"])
+    return _running(t, running.running_word_count(_stream(t, "conversations"), "text"), "word string, n long", ["word"])
 
 
 @query("stream_value_count", "SELECT event_type AS value, count(*) AS n FROM events GROUP BY event_type")
 def stream_value_count(t: Tables) -> DataFrame:
-    out, mark = _places(t, "out", "checkpoint")
-    _finish(consume.run_updates(running.running_value_count(_stream(t, "events"), "event_type"), out, mark))
-    return consume.latest(t.spark, out, "value string, n long", ["value"])
+    return _running(t, running.running_value_count(_stream(t, "events"), "event_type"), "value string, n long", ["value"])
 
 
 @query("stream_perceptron")

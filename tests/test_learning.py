@@ -116,22 +116,54 @@ def test_minibatch_comes_close(blobs):
     assert whole.inertia <= fit.inertia * 1.0001
 
 
-def test_grouped_kmeans_paths_agree(blobs):
+def test_grouped_kmeans_reaches_a_fixed_point(blobs):
     rows = blobs.select((F.col("id") % 2).alias("g"), *"abcd")
-    got = [
-        cluster.fit_kmeans_grouped(rows, "g", list("abcd"), [2, 3], n_init=2, max_iter=3, in_task_values=limit)
-        .orderBy("g", "k", "cluster").toPandas()
-        for limit in (10**6, 0)
-    ]
-    pd.testing.assert_frame_equal(got[0], got[1], check_dtype=False)
-    assert got[0].groupby(["g", "k"])["n"].sum().tolist() == [120, 120, 120, 120]
+    got = cluster.fit_kmeans_grouped(rows, "g", list("abcd"), [2, 3], n_init=2, max_iter=30).toPandas()
+    assert got.groupby(["g", "k"])["n"].sum().tolist() == [120, 120, 120, 120]
+    points = rows.toPandas()
+    for (g, k), model in got.groupby(["g", "k"]):
+        x, centres = points.loc[points["g"] == g, list("abcd")].to_numpy(), model.sort_values("cluster")[list("abcd")].to_numpy()
+        gap = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2)
+        np.testing.assert_allclose([x[gap.argmin(axis=1) == i].mean(axis=0) for i in range(k)], centres, atol=1e-3)
+        assert model["inertia"].iat[0] == pytest.approx(gap.min(axis=1).sum(), rel=1e-3)
+
+
+def plain_silhouette(x, label):
+    gap = np.sqrt(((x[:, None, :] - x[None]) ** 2).sum(axis=2))
+    out = []
+    for i, own in enumerate(label):
+        mine = label == own
+        if mine.sum() == 1 or mine.all():
+            out.append(0.0)
+            continue
+        a = gap[i, mine].sum() / (mine.sum() - 1)
+        b = min(gap[i, label == o].mean() for o in set(label) if o != own)
+        out.append((b - a) / max(a, b))
+    return np.array(out)
+
+
+def test_silhouette_of_all_rows_by_blocks(blobs, spark):
+    pdf = blobs.toPandas()
+    pdf.loc[0, "label"] = 9  # alone in its cluster
+    want = plain_silhouette(pdf[list("abcd")].to_numpy(), pdf["label"].to_numpy())
+    df = spark.createDataFrame(pdf).repartition(5)
+    for block, wide in ((1024, 8192), (16, 50)):
+        got = cluster.silhouette_values(df, "id", list("abcd"), "label", block, wide).toPandas().sort_values("id")
+        np.testing.assert_allclose(got["silhouette"], want[np.argsort(pdf["id"])], atol=1e-12)
+    assert cluster.silhouette_values(df.withColumn("label", F.lit(1)), "id", list("abcd"), "label").agg(F.max("silhouette")).first()[0] == 0
+    assert cluster.silhouette(df.limit(0), "id", list("abcd"), "label").first()[0] is None
+    full = cluster.silhouette(blobs, "id", list("abcd"), "label").first()[0]
+    part = cluster.silhouette_sample(blobs, "id", list("abcd"), "label", 100).first()
+    assert part["rows_used"] == 100 and part["silhouette"] == pytest.approx(full, abs=0.1)
 
 
-def test_silhouette_sample(blobs):
-    full = cluster.silhouette(blobs, "id", list("abcd"), "label").first()[0]
-    part = cluster.silhouette_values(blobs, "id", list("abcd"), "label", sample=100)
-    assert part.count() == 100
-    assert part.agg(F.avg("silhouette")).first()[0] == pytest.approx(full, abs=0.1)
+def test_batches_are_even_when_most_rows_are_equal(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") < 18_000, 0).otherwise(F.col("id")).alias("x"), F.lit(1).alias("y"))
+    for seed in range(3):
+        sizes = cluster.draw_batches(df, ["x", "y"], 2000, 4, seed).groupBy("step").agg(F.sum("drawn").alias("n")).collect()
+        assert len(sizes) == 4 and all(abs(r["n"] - 2000) < 100 for r in sizes)
+    fits = [cluster.fit_minibatch_kmeans(df.repartition(n), ["x", "y"], 3, 500, 4) for n in (1, 6)]
+    np.testing.assert_allclose(fits[0].centres, fits[1].centres, rtol=1e-9)
 
 
 def test_peers_are_others_of_the_same_cluster(spark):

@@ -50,17 +50,28 @@ def test_enumerate_with_one_repeated_key(spark):
     assert [r["id"] for r in placed[:3]] == [0, 3, 6]
 
 
-@pytest.mark.parametrize("limit", [10**6, 1])
-def test_quantiles(spark, limit):
+def test_quantiles(spark):
     rng = np.random.default_rng(1)
-    pdf = pd.DataFrame({"a": rng.integers(0, 9, 501).astype(float), "b": rng.normal(size=501)})
+    pdf = pd.DataFrame({"a": rng.integers(-4, 9, 501).astype(float), "b": rng.normal(size=501), "c": np.where(rng.random(501) < 0.9, 7.5, rng.normal(0, 1e9, 501))})
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = exact_quantiles(spark.createDataFrame(pdf), ["a", "b"], probs, in_memory_rows=limit).collect()
+    df = spark.createDataFrame(pdf).repartition(4).withColumn("none", F.lit(None).cast("double"))
+    got = exact_quantiles(df, ["a", "b", "c", "none"], probs).collect()
     found = {(r["column"], r["prob"]): r["value"] for r in got}
-    assert len(found) == 12
-    for c in "ab":
+    assert len(found) == 18
+    for c in "abc":
         for p in probs:
-            assert found[c, p] == pytest.approx(pdf[c].quantile(p))
+            assert found[c, p] == pytest.approx(pdf[c].quantile(p), rel=1e-12, abs=1e-12)
+
+
+def test_quantiles_of_odd_values(spark):
+    inf, nan = float("inf"), float("nan")
+    for values in ([-0.0, 0.0, 1.0], [nan, 1.0, 2.0, nan], [-inf, inf, 3.0], [5e-324, -5e-324, 1.7e308], [None, 4.0, None]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        for p in (0.0, 0.5, 1.0):
+            want = df.agg(F.percentile("v", p)).first()[0]
+            got = exact_quantiles(df, ["v"], [p]).first()["value"]
+            assert got == want or (np.isnan(got) and np.isnan(want)), (values, p)
+    assert exact_quantiles(spark.createDataFrame([], "v double"), ["v"], [0.5]).count() == 0
 
 
 def test_components(spark):

@@ -110,3 +110,13 @@ def test_equalised_levels_are_applied(spark, folder):
     assert out.count() == px.count()
     small = out.where("image_id = 'small.png'").agg(F.min("r"), F.max("r")).first()
     assert tuple(small) == (0, 255)
+
+
+def test_primes_by_segments(spark):
+    def plain(lo, hi):
+        return [n for n in range(max(lo, 2), hi) if all(n % d for d in range(2, int(n**0.5) + 1))]
+
+    for lo, hi in ((0, 2000), (-5, 3), (500_000, 530_000), (10**9, 10**9 + 300), (7, 7), (9, 8)):
+        found = sorted(r["value"] for r in generate.primes_between(spark, lo, hi, 3).collect())
+        assert found == plain(lo, hi)
+    assert generate.count_primes(spark, 0, 1_200_000).first()["primes"] == 92938

@@ -57,11 +57,53 @@ def test_running_counts_keep_their_state_over_restarts(spark, tmp_path, place):
     for name, lines in (("a.txt", ["The cat", "the dog"]), ("b.txt", ["THE end"])):
         put(spark, inbox, name, lines)
         counts = running.running_word_count(sources.stream_lines(spark, str(inbox)))
-        assert consume.run_updates(counts, place("out"), place("mark"), 120)
+        assert consume.run_updates(counts, place("out"), place("mark"), "word string, n long", ["word"], 120)
     got = {r["word"]: r["n"] for r in consume.latest(spark, place("out"), "word string, n long", ["word"]).collect()}
     assert got == {"the": 3, "cat": 1, "dog": 1, "end": 1}
 
 
+def test_state_is_folded_and_old_batches_are_not_read(spark, tmp_path, place):
+    """Ten batches of one file each, a restart in the middle, snapshots every third batch."""
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    schema, keys = "word string, n long", ["word"]
+    for start in (0, 5):
+        for i in range(start, start + 5):
+            put(spark, inbox, f"{i}.txt", ["often", f"word{i % 4}", f"only{i}"])
+        counts = running.running_word_count(sources.stream_lines(spark, str(inbox), max_files=1))
+        assert consume.run_updates(counts, place("out"), place("mark"), schema, keys, 240, every=3)
+    want = {"often": 10, **{f"word{i}": 3 if i < 2 else 2 for i in range(4)}, **{f"only{i}": 1 for i in range(10)}}
+    got = lambda: {r["word"]: r["n"] for r in consume.latest(spark, place("out"), schema, keys, every=3).collect()}
+    assert got() == want
+    # The first batches could be gone: what they held is in the last snapshot.
+    for batch in range(9):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{place('out')}/batch={batch}")
+    assert got() == want
+
+
+def test_work_that_raises_sets_its_message_aside(spark, tmp_path, place):
+    def work(message):
+        value = message["value"]
+        if value == "boom":
+            raise ValueError("no use")
+        return {"n": int(value)} if value != "text" else "no struct"
+
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    kind = "struct<n:bigint>"
+    for run, names in enumerate((("a", "b"), ("c", "d"))):
+        for i, name in enumerate(names):
+            put(spark, inbox, f"{name}.txt", [str(10 * run + i), "boom", "text", "x"])
+        stream = sources.stream_lines(spark, str(inbox), max_files=1)
+        assert consume.consume_each(stream, work, kind, place("out"), place("mark"), 120)
+    fine = consume.worked(spark, place("out"), "value string", kind, False)
+    assert sorted(r["result"]["n"] for r in fine.collect()) == [0, 1, 10, 11]
+    assert fine.select("batch").distinct().count() == 4
+    bad = consume.worked(spark, place("out"), "value string", kind, True).collect()
+    assert len(bad) == 12 and {r["error"].split(":")[0] for r in bad if r["value"] == "boom"} == {"ValueError"}
+    assert all(r["error"] for r in bad)
+
+
 def test_task_stream(spark, place):
     tasks = sources.task_stream(spark, n=5, per_second=50)
     running_query = tasks.writeStream.format("memory").queryName("tasks").start()
