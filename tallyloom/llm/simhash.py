@@ -167,7 +167,9 @@ def numbered_links(prints: DataFrame, radius: int, bits: int, tile: int = TILE)
                     u, v = np.array(out).T
                     yield pd.DataFrame({"u": nodes[u], "v": nodes[v]})
 
-    links = pairs.select("tile", "other", "a", "b").repartition(F.col("tile"), F.col("other")).mapInPandas(compare, "u long, v long")
+    # Adaptive execution would put pairs of tiles together by their few bytes; comparing them costs time, not bytes.
+    tasks = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), prints.sparkSession.sparkContext.defaultParallelism)
+    links = pairs.select("tile", "other", "a", "b").repartition(tasks, "tile", "other").mapInPandas(compare, "u long, v long")
     return placed.drop("_ones"), links
 
 
@@ -198,6 +200,35 @@ def simhash_classes(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: in
     return prints.join(_rooted(prints, radius, bits), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def drop_linked(docs: DataFrame, radius: int = 3, shingle: int = 3, seed: int = 42, bits: int = 64) -> DataFrame:
+    """The rows of ``docs`` without all but one of each class of ``simhash_classes``: the row with the smallest ``doc_id``
+    stays (null is largest; among equal ids the one with the smaller hash of its text, among equal rows one). Same columns.
+
+    Fingerprints are kept with the id and a 128-bit hash of the text, not with the text; the rows that stay are found again by
+    these three.
+    """
+    key = ["_d", "_h1", "_h2"]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Null and empty texts have the same fingerprint; the first hash tells them apart.
+    hashes = [F.xxhash64("text").alias("_h1"), F.xxhash64(F.lit(1), text).alias("_h2")]
+    named = docs.select(F.col("doc_id").alias("_d"), *hashes, F.col("text").alias("text"))
+    prints = cut_lineage(fingerprints(named, key, shingle, seed, bits))
+    rooted = _rooted(prints.select(F.col("_d").alias("doc_id"), "fingerprint"), radius, bits)
+    place = F.struct(F.col("_d").isNull().alias("none"), *key)
+    firsts = prints.join(rooted.select("fingerprint", "root"), "fingerprint").groupBy("root").agg(F.min(place).alias("p"))
+    firsts = firsts.select("p._d", "p._h1", "p._h2")
+    same = lambda a, b: a["_d"].eqNullSafe(b["_d"]) & (a["_h1"] == b["_h1"]) & (a["_h2"] == b["_h2"])
+    counts = prints.groupBy(*key).agg(F.count("*").alias("_n"))
+    stay = cut_lineage(firsts.join(counts, same(firsts, counts)).select(*[firsts[c] for c in key], "_n"))
+    keyed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("_d"), *hashes)
+    once, often = stay.where("_n = 1"), stay.where("_n > 1")
+    single = keyed.join(once, same(keyed, once), "left_semi").select("doc")
+    # Rows that are there several times: each task keeps one before they meet.
+    met = keyed.join(often, same(keyed, often), "left_semi")
+    first = F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64("doc")))
+    return single.unionByName(met.withColumn("_at", first).where("_at = 1").select("doc")).select("doc.*")
+
+
 def _set_prints(docs: DataFrame, shingle: int, seed: int, bits: int, strip: int = 16_384) -> DataFrame:
     """``doc, doc_id`` and of the set of different shingles of ``doc.text``: ``key``, which tells sets apart, ``fingerprint``
     (null for sets of up to ``SHORT`` shingles), ``own`` and ``less``: see ``signatures``."""

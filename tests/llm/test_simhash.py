@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.queries import QUERIES
 from tallyloom.llm.shingle_sets import verified_components
-from tallyloom.llm.simhash import _set_prints, classes, drop_near_duplicates
+from tallyloom.llm.simhash import _set_prints, classes, drop_linked, drop_near_duplicates
 
 
 def plain_print(text):
@@ -132,3 +132,20 @@ def test_links_behind_refuted_ones_are_found(docs_of):
         for i, k in enumerate(plain_similar(texts)):
             want[k].add(i)
         assert sorted(map(sorted, found.values())) == sorted(sorted(c) for c in want.values() if len(c) > 1)
+
+
+def test_one_row_of_linked_fingerprints_stays(docs_of, odd):
+    rng = random.Random(21)
+    base = [" ".join(rng.choices("ab cd ef gh ij kl".split(), k=rng.randint(50, 300))) for _ in range(20)]
+    rows = [(100 + i, t, "s") for i, t in enumerate(base + base[:8] + [b + " tail" for b in base])] + [(101, base[1], "t"), (101, base[1], "s"), *odd]
+    got = drop_linked(docs_of(rows)).collect()
+    prints = {}
+    for i, t, _ in rows:
+        prints.setdefault((t or "", t is None), plain_print(t))
+    by_text = plain_classes(prints)
+    want = {}
+    for i, t, _ in rows:
+        root = by_text[t or "", t is None]
+        want[root] = min(want.get(root, (True, 0)), (i is None, i or 0))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted(want.values())
+    assert len(got) < len(rows) - 8
