@@ -72,13 +72,16 @@ def overlaps(
     Found means: along one diagonal, some ``window`` neighbouring words of the item (all words of a shorter item) agree in at
     least the share ``agree`` with the document; ``n_words`` is the largest number of words that agree along one diagonal.
     Items of ``window`` words or more are found by ``masks``, shorter ones by ``short_masks`` of their length, so an item of up to
-    four words is found where all of its words follow each other. Items without a word are not looked for. A row of ``docs`` gives a row for each item; rows that
+    four words is found where all of its words follow each other. Items without a word are not looked for; an item without an id
+    is found as any other. A row of ``docs`` gives a row for each item; rows that
     are equal in id and text give one.
     """
     item = cut_lineage(
         benchmark.select(F.col("item_id").alias("item_id"), F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("item"))
         .where(F.size("item") > 0)
         .dropDuplicates()
+        # Ids may be null or stand for several texts: hits are joined by a key of their own.
+        .withColumn("_item", F.xxhash64(F.col("item_id").isNull(), "item_id", "item"))
     )
     # At most ``window`` - 1 numbers; documents get seeds only for the lengths there are.
     lengths = item.select(F.size("item").alias("n")).where(F.col("n") < window).distinct().collect()
@@ -88,9 +91,7 @@ def overlaps(
         own = F.when(F.size("item") == n, _seeds(F.col("item"), some)).otherwise(own)
     every = sorted({*masks, *(mask for some in short.values() for mask in some)})
     probes = cut_lineage(
-        item.select("item_id", F.explode(own).alias("s")).select(
-            "item_id", F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed")
-        )
+        item.select("_item", F.explode(own).alias("s")).select("_item", F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed"))
     )
     if probes.count() <= BROADCAST_SEEDS:
         probes = F.broadcast(probes)
@@ -101,15 +102,15 @@ def overlaps(
     )
     # One row for each diagonal, however many seeds hit it and however many copies a text has.
     hits = cut_lineage(
-        found.join(probes, "seed").select("_k1", "_k2", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+        found.join(probes, "seed").select("_k1", "_k2", "_item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     )
     beside = texts.join(hits, ["_k1", "_k2"]).select(
-        "doc_id", "_k1", "_k2", "item_id", "shift", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("codes")
+        "doc_id", "_k1", "_k2", "_item", "shift", F.transform(_words(F.col("text")), lambda w: F.xxhash64(w)).alias("codes")
     )
     same = F.transform(
         F.col("item"), lambda w, i: F.when((F.col("shift") + i >= 0) & (F.get("codes", F.col("shift") + i) == w), 1).otherwise(0)
     )
-    checked = beside.join(item, "item_id").select("doc_id", "_k1", "_k2", "item_id", same.alias("same"))
+    checked = beside.join(item, "_item").select("doc_id", "_k1", "_k2", "item_id", same.alias("same"))
     width = F.least(F.lit(window), F.size("same"))
     enough = F.exists(
         F.sequence(F.lit(1), F.size("same") - width + 1),

@@ -73,3 +73,16 @@ def test_allowed_substitutions_leave_a_seed():
             kept = [i not in lost for i in range(n)]
             places = [(m, at) for m in short_masks(n, 0.8) for at in range(n - len(m) + 1)]
             assert any(all(kept[at + i] for i, c in enumerate(m) if c == "1") for m, at in places)
+
+
+def test_items_without_an_id_and_clashing_names(docs_of, spark):
+    from pyspark.sql import functions as F
+
+    leak = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
+    bench = spark.createDataFrame([(None, leak), (7, "one two three four five six"), (7, "ten nine eight seven six five")], "item_id long, text string")
+    docs = docs_of([(1, f"so {leak} it", "s"), (2, "one two three four five six", "s"), (3, "ten nine eight seven six five", "s"), (4, "clean", "s")])
+    docs = docs.withColumns({c: F.lit("x") for c in ("item_id", "item", "_k1", "_k2", "shift", "codes", "same")})
+    found = {(r["doc_id"], r["item_id"]) for r in overlaps(docs, bench).collect()}
+    assert found == {(1, None), (2, 7), (3, 7)}
+    kept = decontaminate(docs, bench)
+    assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [4]
