@@ -66,10 +66,12 @@ def train(
     """Fit vectors (buckets x ``dim``) and softmax (``dim`` x 2) by Adam on the cross entropy.
 
     ``scale`` multiplies averages, as a few telling words are a small share of a long text. The order of the batches depends
-    only on ``seed``.
+    only on ``seed``. With labels of one class only, or none, every text gets the share of class 1 with one more label of
+    each class and one more of class 0: 1/3 without labels, so that no text is rejected on no evidence.
     """
-    if len(texts) == 0:
-        return Model(np.zeros(BUCKETS, "f4"), 0.0)
+    found = np.array([np.sum(labels == c) for c in (0, 1)])
+    if not found.all():
+        return Model(np.zeros(BUCKETS, "f4"), float(np.log((found[1] + 1.0) / (found[0] + 2.0))))
     bags = [bag(t) for t in texts]
     rng = np.random.default_rng(seed)
     vectors = (rng.standard_normal((BUCKETS, dim)) * 0.01).astype("f4")
@@ -113,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 9000) -> Model:
     """Train on at most about ``sample`` labelled documents, chosen by a hash of the id, in one task.
 
     ``labels`` has ``doc_id, toxic``; null ids and labels other than 0 and 1 are left out, as are held-out rows; of several
-    labels of an id the largest counts. Without any label the model gives 0.5 for all texts.
+    labels of an id the largest counts. With labels of one class only, or none, nothing tells texts apart: see ``train``.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
     single = cut_lineage(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -129,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 9000) -> Model:
         yield pd.DataFrame({"gain": [model.gain.tobytes()], "bias": [model.bias]})
 
     got = cut_lineage(rows.repartition(1).mapInPandas(learn, "gain binary, bias double")).first()
-    return Model(np.frombuffer(got["gain"], "f4"), got["bias"]) if got else Model(np.zeros(BUCKETS, "f4"), 0.0)
+    return Model(np.frombuffer(got["gain"], "f4"), got["bias"]) if got else train([], np.empty(0, "i8"))
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:

@@ -67,3 +67,15 @@ def test_empty_tables(docs_of, folder_of, spark):
     folder = folder_of(documents=docs_of([]), labels=spark.createDataFrame([], LABELS))
     for name in ("op1_lm_score", "op6_quality", "op7_toxicity"):
         assert QUERIES[name](spark, folder).count() == 0
+
+
+def test_labels_of_one_class_reject_nothing_else(docs_of, spark, odd):
+    from tallyloom.llm import toxicity
+
+    docs = docs_of(odd)
+    for rows, want in (([], 1 / 3), ([(1, 1, 0), (2, 1, 0), (7, 1, 0)], None), ([(1, 0, 1), (2, 0, 1), (7, 1, 1)], None)):
+        labels = spark.createDataFrame(rows, LABELS)
+        usable = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+        ones = sum(r[2] for r in usable)
+        scores = {round(r["score"], 6) for r in toxicity.score(docs, toxicity.fit(docs, labels), ["doc_id"]).collect()}
+        assert scores == {round((ones + 1) / (len(usable) + 3), 6)} and (want is None or scores == {round(want, 6)})
