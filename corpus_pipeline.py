@@ -12,9 +12,8 @@ from tallyloom.llm import decontaminate, mixing, simhash, token_files, toxicity
 from tallyloom.llm.queries import END_ID, table, token_file_path
 from tallyloom.session import cut_lineage, scratch_path
 
-# Of 256 bits, sets of more than 8 shingles with a similarity (intersection by union) of 0.8 differ in at most 41.25 on average,
-# with a deviation of 5.9 (enumerated for all sizes up to 79): 72 bits are five deviations more. Links are checked afterwards.
-BITS, RADIUS = 256, 72
+# Shingles of three words, and fingerprints that differ in at most three of 64 bits are linked.
+SHINGLE, RADIUS = 3, 3
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +22,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates (similarity of at least 0.8 of their sets of five-word shingles) the document with the
-    smallest id stays."""
-    return simhash.drop_near_duplicates(docs, RADIUS, shingle=5, bits=BITS)
+    """Of each class of linked fingerprints the document with the smallest id stays."""
+    return simhash.drop_linked(docs, RADIUS, SHINGLE)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
