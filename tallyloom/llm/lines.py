@@ -34,7 +34,7 @@ def _shifts(edits: int) -> list[tuple[int, int, int]]:
 
 
 def _signatures(lines: DataFrame, places: list[tuple[int, int, int]], edits: int, side: str) -> DataFrame:
-    """``sig`` and the columns of ``lines`` but ``line``, prefixed, for each place that is inside of the line.
+    """``sig``, ``id`` and ``counts``, prefixed, for each place that is inside of the line.
 
     The places are rows, not columns: one short expression for all of them is compiled, many long ones are not.
     """
@@ -44,7 +44,7 @@ def _signatures(lines: DataFrame, places: list[tuple[int, int, int]], edits: int
     placed = lines.withColumn("at", F.explode(at)).withColumns({"other": other, "lo": lo + F.col("at.shift"), "size": hi - lo})
     sig = F.xxhash64("other", "at.i", F.substring(F.col("line"), F.col("lo") + 1, F.col("size")))
     inside = (F.col("lo") >= 0) & (F.col("lo") + F.col("size") <= F.col("length"))
-    return placed.where(inside).select(sig.alias("sig"), *[F.col(c).alias(f"{side}_{c}") for c in ("id", "length", "counts")])
+    return placed.where(inside).select(sig.alias("sig"), *[F.col(c).alias(f"{side}_{c}") for c in ("id", "counts")])
 
 
 # Counted one by one; all other characters are counted together. Which ones is of no consequence for the result.
@@ -119,27 +119,25 @@ def line_links(docs: DataFrame, edits: int = 2, min_chars: int = 24) -> DataFram
     """
     if min_chars <= edits:
         raise ValueError("lines must be longer than the edits allowed")
-    lines = cut_lineage(
-        _split(docs, min_chars).select("line").distinct().select(
-            F.xxhash64("line").alias("id"), F.char_length("line").alias("length"), _counts(F.col("line")).alias("counts"), "line"
-        )
-    )
+    # Both sides of the join are made from one shuffle of the different lines, which is not written a second time.
+    each = _split(docs, min_chars).select("id", "line")
+    lines = each.select("id", "line", F.char_length("line").alias("length"), _counts(F.col("line")).alias("counts")).distinct()
     index = _signatures(lines, [(0, i, 0) for i in range(edits + 1)], edits, "v")
     probe = _signatures(lines, _shifts(edits), edits, "u")
-    # Of two lines of equal length each finds the other; one of the two is enough. The count filter is part of the join:
-    # variants of one line that share a segment but differ elsewhere make no row.
-    met = (F.col("u_length") > F.col("v_length")) | (F.col("u_id") > F.col("v_id"))
-    met &= (F.col("u_id") != F.col("v_id")) & _may_be_close("u_counts", "v_counts", edits)
-    pairs = cut_lineage(probe.join(index, "sig").where(met).select(F.col("u_id").alias("u"), F.col("v_id").alias("v")).distinct())
+    # The count filter is part of the join: variants of one line that share a segment but differ elsewhere make no row. Lines of
+    # equal length find each other; the pair counts once.
+    met = (F.col("u_id") != F.col("v_id")) & _may_be_close("u_counts", "v_counts", edits)
+    joined = probe.join(index, "sig").where(met)
+    pairs = cut_lineage(joined.select(F.greatest("u_id", "v_id").alias("u"), F.least("u_id", "v_id").alias("v")).distinct())
     wanted = cut_lineage(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct())
     if wanted.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
-    texts = cut_lineage(lines.select("id", "line").join(wanted, "id", "left_semi"))
+    texts = cut_lineage(each.join(wanted, "id", "left_semi").distinct())
     sides = {c: texts.select(F.col("id").alias(c), F.col("line").alias(f"{c}_line")) for c in ("u", "v")}
     # Adaptive execution would put pairs together by their few bytes; verification costs time, not bytes.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = pairs.repartition(tasks, "u", "v").join(sides["u"], "u").join(sides["v"], "v").where(within("u_line", "v_line", edits))
-    return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    return found.select("u", "v")
 
 
 def repeated_lines(docs: DataFrame, edits: int = 2, min_chars: int = 24) -> DataFrame:
