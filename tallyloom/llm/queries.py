@@ -128,7 +128,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op9_repeats")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     rows = repeats.remove_repeats(table(spark, folder, "documents"), ["doc_id"])
-    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    # The remaining bytes as text; a character that a removal cut through is replaced.
+    left = F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text")
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), left)
 
 
 @_query("op1_lm_score")

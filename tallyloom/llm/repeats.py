@@ -2,9 +2,10 @@
 
 Every string of ``length`` bytes holds, among its grams of ``gram`` bytes, one with the smallest hash (the first such): its
 anchor. Equal strings have equal anchors, so only suffixes that start at anchors have to be kept, about one in a hundred.
-They are put into buckets by their gram, and buckets are refined by the bucket identifiers of later offsets: identifiers of
-100 bytes combine to those of 200 and these to those of 400, and each level reuses the one before. A level looks only at
-what is still open: first all strings of an anchor together, then slices of neighbouring strings, then single strings.
+They are put into buckets by their gram, and buckets are refined level by level, each of which looks only at what is still
+open: first all strings of an anchor together, then slices of neighbouring strings, then single strings. This differs from
+refinement of stored identifiers: a level's identifiers are hashed anew from the text by prefix sums, and only those of single
+strings are put together from halves (100 bytes to 200 to 400).
 Identifiers are 64-bit hashes instead of sorted ranks, so that refining is a grouped minimum and maximum over all tables and
 never a list of a bucket; two strings are taken for equal if these agree.
 """
@@ -25,8 +26,8 @@ LENGTH = 400
 GRAM = 100
 # Neighbouring strings of an anchor that are looked at together.
 SLICE = 12
-# Tables of side information up to this many rows are sent to every task; beyond, the join is left to shuffles.
-BROADCAST_ROWS = 1_000_000
+# Tables of side information up to this many bytes, counted, are sent to every task; beyond, the join is left to shuffles.
+BROADCAST_BYTES = 32_000_000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _CODE = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype="u8")
@@ -113,10 +114,11 @@ def _over(texts: DataFrame, each: Callable, fields: list[tuple[str, pa.DataType]
     return texts.mapInArrow(run, ddl)
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """A written table, marked for broadcast if it has few rows."""
+def _sized(df: DataFrame, many: str | None = None, each: int = 64) -> DataFrame:
+    """A written table, marked for broadcast if its rows, or the entries of its list column ``many``, take few bytes."""
     df = cut_lineage(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    entries = F.coalesce(F.sum(F.size(many) + 1), F.lit(0)) if many else F.count("*")
+    return F.broadcast(df) if df.agg(entries.alias("n")).first()["n"] * each <= BROADCAST_BYTES else df
 
 
 def _shared(rows: DataFrame, name: str) -> DataFrame:
@@ -159,7 +161,7 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     def asked(rows: DataFrame, *columns: str) -> DataFrame:
         """The texts that have such rows, each with a list of them (no more than the anchors of the text)."""
         lists = rows.groupBy("key", "size").agg(F.collect_list(F.struct(*columns)).alias("asked"))
-        return long_enough.join(_sized(lists), ["key", "size"]).select("key", "size", "text", "asked")
+        return long_enough.join(_sized(lists, "asked"), ["key", "size"]).select("key", "size", "text", "asked")
 
     def slices(data: bytes, rows: list[dict]):
         names = Names(data)
@@ -209,7 +211,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = LENGTH, gram:
     do not cross documents. Null is an empty text; texts shorter than ``length`` stay whole. Each row gives one row.
     """
     ranges = repeated_starts(_keyed(docs), length, gram)
-    lists = _sized(ranges.distinct().groupBy("key", "size").agg(F.collect_list(F.struct("first", "last")).alias("ranges")))
+    lists = _sized(ranges.distinct().groupBy("key", "size").agg(F.collect_list(F.struct("first", "last")).alias("ranges")), "ranges")
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(*keep, F.xxhash64(text).alias("_key"), F.octet_length(text).alias("_size"), text.alias("_text"))
     lists = lists.select(F.col("key").alias("_key"), F.col("size").alias("_size"), "ranges")
