@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.quantiles import exact_quantiles
+from tallyloom.session import cut_lineage
 
 
 def total_chars(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -221,6 +222,18 @@ def set_popularity(df: DataFrame, set_col: str) -> DataFrame:
     return held.select("element", "n", (F.col("n") == rows).alias("in_all"), (F.col("n") == 1).alias("in_one"))
 
 
+def rows_by_set(df: DataFrame, id_col: str, set_col: str) -> DataFrame:
+    """Who shares a set: ``id, members, set_key, n, first`` for each row, however many share it.
+
+    ``set_key`` is the same for equal sets, ``n`` counts their rows and ``first`` is the smallest id among them. A row a set,
+    never a list of the rows that share it; ``members`` as in ``equal_sets``. Null is a set of its own.
+    """
+    sets = df.select(F.col(id_col).alias("id"), F.sort_array(F.array_distinct(set_col)).alias("_set"))
+    keyed = cut_lineage(sets.select("id", F.array_join("_set", ",").alias("members"), F.sha2(F.to_json(F.struct("_set")), 256).alias("set_key")))
+    sizes = keyed.groupBy("set_key").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    return keyed.join(cut_lineage(sizes), "set_key").select("id", "members", "set_key", "n", "first")
+
+
 def equal_sets(df: DataFrame, set_col: str) -> DataFrame:
     """How many rows share each set: ``members, n``; members are sorted and joined by commas.
 

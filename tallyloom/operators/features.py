@@ -12,17 +12,18 @@ from pyspark.sql import functions as F
 from tallyloom.operators.order import Order, enumerate_rows
 
 
-
-
 def label_codes(df: DataFrame, col: str) -> DataFrame:
     """``value, code``: the distinct values in code-point order, numbered from 0."""
     values = df.where(F.col(col).isNotNull()).select(F.col(col).alias("value")).distinct()
     return enumerate_rows(values, "value", name="code")
 
 
-def encode_with(df: DataFrame, col: str, codes: DataFrame, name: str | None = None) -> DataFrame:
-    """Add the code of a column; a value without a code raises when the row is computed."""
+def encode_with(df: DataFrame, col: str, codes: DataFrame, name: str | None = None, unseen: int | None = None) -> DataFrame:
+    """Add the code of a column; a value without one gets ``unseen``, or raises when the row is computed. Null stays null."""
     keyed = codes.select(F.col("value").alias(col), F.col("code").alias("_code"))
+    if unseen is not None:
+        known = F.when(F.col(col).isNull(), F.lit(None)).otherwise(F.coalesce("_code", F.lit(unseen).cast("long")))
+        return df.join(keyed, col, "left").withColumn(name or f"{col}_code", known).drop("_code")
     unknown = F.raise_error(F.concat(F.lit(f"unseen value in {col}: "), F.col(col).cast("string"))).cast("long")
     code = F.when(F.col("_code").isNotNull() | F.col(col).isNull(), F.col("_code")).otherwise(unknown)
     return df.join(keyed, col, "left").withColumn(name or f"{col}_code", code).drop("_code")

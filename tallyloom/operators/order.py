@@ -1,8 +1,7 @@
 """Row order: positions, top-k, runs and windows that survive one very long series.
 
-A window partitioned by a series key puts the whole series into one task. The operators here check the
-longest series first; beyond ``block_rows`` they number all rows, cut them into blocks of that many rows
-and carry what a block needs from the one before.
+A window partitioned by a series key puts the whole series into one task. The operators here number all rows, cut them into
+blocks of ``block_rows`` rows and carry what a block needs from the one before.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.session import cut_lineage
 
-# A window or a task may hold this many rows of one series.
+# Rows of a block: a window holds no more of a series.
 BLOCK_ROWS = 1_000_000
 
 Order = str | Column
@@ -120,12 +119,6 @@ def range_top_groups(df: DataFrame, key: Column, lo: object, hi: object, k: int,
     return top_k(sizes, [F.desc("n"), F.asc(name)], k)
 
 
-def _fits(df: DataFrame, part: Sequence[str], block_rows: int) -> bool:
-    """True if no series is longer than a block."""
-    longest = df.groupBy(*part).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"]
-    return (longest or 0) <= block_rows
-
-
 def _blocked(df: DataFrame, part: Sequence[str], order: Order | Sequence[Order], block_rows: int) -> DataFrame:
     """Rows numbered over all series (``_pos``) and cut into blocks (``_block``)."""
     numbered = enumerate_rows(df, [*[F.col(p) for p in part], *_cols(order)], name="_pos")
@@ -154,9 +147,6 @@ def running_sum(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Cumulative sum within each series."""
-    if _fits(df, part, block_rows):
-        span = W.partitionBy(*part).orderBy(*_cols(order), _tie(df)).rowsBetween(W.unboundedPreceding, 0)
-        return df.withColumn(name, F.sum(col).over(span))
     blocked = _blocked(df, part, order, block_rows)
     return _running_blocked(blocked, part, col, name).drop("_pos", "_block")
 
@@ -169,34 +159,16 @@ def consecutive_groups(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Runs of equal neighbouring keys: the series columns, ``run`` (from 0), the key and ``n`` rows."""
-    if _fits(df, part, block_rows):
-        w = W.partitionBy(*part).orderBy(*_cols(order), _tie(df))
-        changed = F.coalesce((~F.col(key).eqNullSafe(F.lag(key).over(w))).cast("long"), F.lit(0))
-        first = F.row_number().over(w) == 1
-        flagged = df.select(
-            *part, key, *_order_aliases(order), _tie(df).alias("_tie"), F.when(first, 0).otherwise(changed).alias("_new")
-        )
-        span = W.partitionBy(*part).orderBy(*[F.col(c) for c in _order_names(order)], "_tie")
-        runs = flagged.withColumn("run", F.sum("_new").over(span.rowsBetween(W.unboundedPreceding, 0)))
-    else:
-        blocked = _with_halo(_blocked(df, part, order, block_rows), 1, block_rows)
-        w = W.partitionBy("_block", *part).orderBy("_pos")
-        start = F.row_number().over(w) == 1
-        flag = F.when(start, 0).otherwise((~F.col(key).eqNullSafe(F.lag(key).over(w))).cast("long"))
-        own = blocked.withColumn("_new", flag).where("NOT _halo").drop("_halo")
-        runs = _running_blocked(own, part, "_new", "run")
+    blocked = _with_halo(_blocked(df, part, order, block_rows), 1, block_rows)
+    w = W.partitionBy("_block", *part).orderBy("_pos")
+    start = F.row_number().over(w) == 1
+    flag = F.when(start, 0).otherwise((~F.col(key).eqNullSafe(F.lag(key).over(w))).cast("long"))
+    own = blocked.withColumn("_new", flag).where("NOT _halo").drop("_halo")
+    runs = _running_blocked(own, part, "_new", "run")
     # Counted with partial sums, so a long run does not gather its rows.
     return runs.groupBy(*part, "run", key).agg(F.count("*").alias("n"))
 
 
-def _order_names(order: Order | Sequence[Order]) -> list[str]:
-    return [f"_o{i}" for i in range(len(_cols(order)))]
-
-
-def _order_aliases(order: Order | Sequence[Order]) -> list[Column]:
-    return [c.alias(n) for c, n in zip(_cols(order), _order_names(order))]
-
-
 def _with_halo(blocked: DataFrame, rows: int, block_rows: int) -> DataFrame:
     """Give each block the ``rows`` rows before it, marked ``_halo``, from as many blocks as they fill."""
     last = F.floor((F.col("_pos") + rows) / block_rows)
@@ -215,10 +187,6 @@ def sliding_window(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The last k values up to each row as an array; rows without k values behind them are left out."""
-    if _fits(df, part, block_rows):
-        w = W.partitionBy(*part).orderBy(*_cols(order), _tie(df)).rowsBetween(-(k - 1), 0)
-        found = df.withColumn(name, F.collect_list(F.struct(F.col(col).alias("v"))).over(w)).where(F.size(name) == k)
-        return found.withColumn(name, F.col(name)["v"])
     blocked = _with_halo(_blocked(df, part, order, block_rows), k - 1, block_rows)
     w = W.partitionBy("_block", *part).orderBy("_pos").rowsBetween(-(k - 1), 0)
     # Structs, as a list of plain values would leave out nulls.

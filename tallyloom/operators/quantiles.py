@@ -53,8 +53,10 @@ def _digits(wide: DataFrame, prefixes: list[list[int]], level: int) -> dict[tupl
 
     parts = wide.mapInPandas(count, "c int, p string, digit int, n long")
     out: dict[tuple[int, int], np.ndarray] = {}
-    for r in parts.groupBy("c", "p", "digit").agg(F.sum("n").alias("n")).collect():
-        out.setdefault((r["c"], int(r["p"])), np.zeros(1 << DIGIT, "i8"))[r["digit"]] = r["n"]
+    table = parts.groupBy("c", "p", "digit").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    for (c, p), rows in table.groupby(["c", "p"]):
+        out[c, int(p)] = np.zeros(1 << DIGIT, "i8")
+        out[c, int(p)][rows["digit"]] = rows["n"]
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.operators.classify import MlFit, fit_svm, fit_tree
-from tallyloom.operators.features import label_encode
+from tallyloom.operators.features import encode_with, label_encode
 from tallyloom.operators.order import enumerate_rows
 from tallyloom.operators.products import largest_products
 from tallyloom.session import cut_lineage
@@ -54,6 +54,14 @@ def fit_favourite(
     return fit, coded, codes
 
 
+def predict_favourite(fit: MlFit, codes: dict[str, DataFrame], items: DataFrame, name: str = "prediction") -> DataFrame:
+    """The prediction for items that were not there when the fit was made; a value never seen has the code -1."""
+    coded = items
+    for attr, table in codes.items():
+        coded = encode_with(coded, attr, table, unseen=-1)
+    return fit.predict(coded, name).select(*items.columns, name)
+
+
 def _long(df: DataFrame, ids: Sequence[str], attrs: Sequence[str]) -> DataFrame:
     return df.unpivot(list(ids), list(attrs), "attr", "value")
 

@@ -289,6 +289,17 @@ def equal_sets(t: Tables) -> DataFrame:
     return aggregate.equal_sets(rows, "s")
 
 
+@query(
+    "shared_sets",
+    """WITH h AS (SELECT l_partkey % 5000 AS id, l_suppkey % 10 AS hobby FROM lineitem GROUP BY 1, 2),
+            s AS (SELECT id, string_agg(CAST(hobby AS VARCHAR), ',' ORDER BY hobby) AS members FROM h GROUP BY 1)
+       SELECT id, members, count(*) OVER w AS n, min(id) OVER w AS first FROM s WINDOW w AS (PARTITION BY members)""",
+)
+def shared_sets(t: Tables) -> DataFrame:
+    rows = t.lineitem.groupBy((c("l_partkey") % 5000).alias("id")).agg(F.collect_set((c("l_suppkey") % 10).cast("string")).alias("s"))
+    return aggregate.rows_by_set(rows, "id", "s").drop("set_key")
+
+
 _MONTHS = """m AS (SELECT CAST(month(o_orderdate) AS INTEGER) AS month, sum(o_totalprice) AS total FROM orders GROUP BY 1)"""
 
 

@@ -190,12 +190,42 @@ def silhouette_exact(t: Tables) -> DataFrame:
     return _round(cluster.silhouette(t.embeddings, "vec_id", "embedding", "label"), 6, "silhouette")
 
 
-@query("silhouette_squared")
+@query(
+    "silhouette_squared",
+    """WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+       u AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
+       s AS (SELECT label, i, sum(x) AS y FROM u GROUP BY 1, 2),
+       k AS (SELECT label, list(y ORDER BY i) AS y FROM s GROUP BY 1),
+       n AS (SELECT label, count(*) AS n, sum(list_dot_product(v, v)) AS psi FROM e GROUP BY 1),
+       d AS (SELECT vec_id, e.label AS own, k.label AS other, n, list_dot_product(v, v) + psi / n - 2 * list_dot_product(v, y) / n AS d
+         FROM e, k JOIN n USING (label)),
+       m AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN d * n / (n - 1) END) AS a, min(CASE WHEN own <> other THEN d END) AS b
+         FROM d GROUP BY 1)
+       SELECT round(avg(CASE WHEN a < b THEN 1 - a / b WHEN a > b THEN b / a - 1 ELSE 0 END), 6) AS silhouette FROM m""",
+)
 def silhouette_squared(t: Tables) -> DataFrame:
-    return cluster.silhouette_squared(t.embeddings, "embedding", "label")
+    return _round(cluster.silhouette_squared(t.embeddings, "embedding", "label"), 6, "silhouette")
+
 
+@query("silhouette_sample")
+def silhouette_sample(t: Tables) -> DataFrame:
+    """The silhouette of at most 2000 rows, with the number of rows used."""
+    return cluster.silhouette_sample(t.embeddings, "vec_id", "embedding", "label", 2000, seed=1)
 
-@query("dbscan")
+
+@query(
+    "dbscan",
+    """WITH RECURSIVE p AS (SELECT c_custkey AS id, c_acctbal / 100 AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer),
+       near AS (SELECT a.id AS u, b.id AS v FROM p a, p b WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 1.0),
+       core AS (SELECT u AS id FROM near GROUP BY u HAVING count(*) >= 4),
+       edge AS (SELECT u, v FROM near WHERE u IN (SELECT id FROM core) AND v IN (SELECT id FROM core)),
+       reach AS (SELECT id, id AS r FROM core UNION SELECT reach.id, v FROM reach JOIN edge ON u = r),
+       comp AS (SELECT id, min(r) AS c FROM reach GROUP BY id),
+       num AS (SELECT id, dense_rank() OVER (ORDER BY c) - 1 AS k FROM comp),
+       border AS (SELECT u AS id, min(k) AS k FROM near JOIN num ON num.id = v WHERE u NOT IN (SELECT id FROM core) GROUP BY u)
+       SELECT p.id, coalesce(num.k, border.k, -1) AS cluster, num.id IS NOT NULL AS core
+       FROM p LEFT JOIN num ON num.id = p.id LEFT JOIN border ON border.id = p.id""",
+)
 def dbscan_customers(t: Tables) -> DataFrame:
     rows = t.customer.select("c_custkey", (c("c_acctbal") / 100).alias("balance"), c("c_nationkey").cast("double").alias("nation"))
     return dbscan(rows, "c_custkey", ["balance", "nation"], eps=1.0, min_samples=4)
@@ -218,8 +248,20 @@ def recommend_cluster(t: Tables) -> DataFrame:
 def recommend_class(t: Tables) -> DataFrame:
     bought = t.lineitem.groupBy(c("l_partkey").alias("item")).agg(F.sum("l_quantity").alias("q"))
     rows = views.items(t).join(bought, "item").withColumn("favourite", (c("q") > 750).cast("int"))
-    fit, coded, _ = recommend.fit_favourite(rows, ["p_brand", "p_type", "p_size"], "favourite", model="tree")
-    return metrics.classification_report(fit.predict(coded), "favourite", "prediction")
+    # Learnt from four fifths of the items, judged on the others.
+    train, test = features.split_random(cut_lineage(rows), "item", 0.2, seed=1)
+    fit, _, codes = recommend.fit_favourite(train, _ATTRS, "favourite", model="tree")
+    return metrics.classification_report(recommend.predict_favourite(fit, codes, test), "favourite", "prediction")
+
+
+@query("recommend_new_item")
+def recommend_new_item(t: Tables) -> DataFrame:
+    """How every part would be judged in a type that no part has: ``item, prediction``."""
+    bought = t.lineitem.groupBy(c("l_partkey").alias("item")).agg(F.sum("l_quantity").alias("q"))
+    rows = views.items(t).join(bought, "item").withColumn("favourite", (c("q") > 750).cast("int"))
+    fit, _, codes = recommend.fit_favourite(rows, _ATTRS, "favourite", model="tree")
+    new = views.items(t).withColumn("p_type", F.lit("NEW KIND"))
+    return recommend.predict_favourite(fit, codes, new).select("item", "prediction")
 
 
 _ATTRS = ["p_brand", "p_type", "p_size"]

@@ -67,7 +67,12 @@ def text_normalise(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.normalise_text(c("text")).alias("clean"))
 
 
-@query("title_case")
+@query(
+    "title_case",
+    r"""SELECT doc_id, list_aggregate(list_transform(regexp_extract_all(text, '(\p{L}+|[^\p{L}]+)'),
+          lambda p: CASE substr(p, 1, 1) WHEN 'ß' THEN 'SS' ELSE upper(substr(p, 1, 1)) END || lower(substr(p, 2))), 'string_agg', '')
+          AS title FROM documents""",
+)
 def title_case(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.title_case(c("text")).alias("title"))
 

@@ -81,3 +81,13 @@ def test_als_proposes_unseen_items_only(spark):
         ranks.setdefault(r["user"], []).append(r["rank"])
     assert len(ranks) == 21 and all(sorted(v) == [1, 2, 3] for v in ranks.values())
     assert not {(r["user"], r["item"]) for r in got} & set(pairs)
+
+
+def test_who_shares_a_set(spark):
+    from tallyloom.operators.aggregate import rows_by_set
+
+    rows = [(1, ["a", "b"]), (2, ["b", "a", "a"]), (3, ["a,b"]), (4, []), (5, None), (6, [None, "a"]), (7, ["a", None]), (None, [])]
+    got = rows_by_set(spark.createDataFrame(rows, "id long, s array<string>"), "id", "s").collect()
+    assert {r["id"]: (r["n"], r["first"]) for r in got} == {1: (2, 1), 2: (2, 1), 3: (1, 3), 4: (2, 4), 5: (1, 5), 6: (2, 6), 7: (2, 6), None: (2, 4)}
+    keys = {r["id"]: r["set_key"] for r in got}
+    assert keys[1] == keys[2] != keys[3] and keys[4] == keys[None]

@@ -78,3 +78,12 @@ def test_content_scores_without_attributes_or_likes(spark):
     found = recommend.content_scores(likes, items, ["p", "q"], 5).where(F.col("user").isNotNull()).collect()
     assert [(r["user"], r["item"], r["score"]) for r in found] == [(1, 3, 2)]
     assert recommend.content_scores(likes.limit(0), items, ["p", "q"], 5).count() == 0
+
+
+def test_an_item_never_seen_is_judged(spark):
+    rows = [(c, s, int(c == "red")) for c in ("red", "blue", "green") for s in ("big", "small")] * 5
+    fit, _, codes = recommend.fit_favourite(spark.createDataFrame(rows, ["color", "size", "label"]), ["color", "size"], "label", model="tree")
+    new = spark.createDataFrame([("red", "huge"), ("blue", "huge"), ("green", "small")], ["color", "size"])
+    found = recommend.predict_favourite(fit, codes, new)
+    assert found.columns == ["color", "size", "prediction"]
+    assert {(r["color"], r["size"]): r["prediction"] for r in found.collect()} == {("red", "huge"): 1, ("blue", "huge"): 0, ("green", "small"): 0}
