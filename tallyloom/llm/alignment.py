@@ -15,8 +15,10 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,8 +33,8 @@ from tallyloom.session import cut_lineage
 STRIDE = 256
 # Words that are aligned at once, and id pairs (different ones of each row) of a chunk of rows: what a task holds is bounded.
 PORTION, CHUNK_PAIRS = 65_536, 1_000_000
-# A task keeps the tokens of this many different words at hand.
-WORDS_KEPT = 300_000
+# A task keeps the tokens of twice this many different words at hand.
+WORDS_KEPT = 250_000
 # Before a space or line feed that stands between two other characters that are no white space.
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _SPACE = "▁"
@@ -73,19 +75,44 @@ class Pair:
         apart = level.get("type") == "ByteLevel" and level.get("use_regex") and not kind["normalizer"]
         whole = any(_SPACE in p.lstrip(_SPACE) or "\n" in p for p in pieces)
         self.cuts = bool(apart and not whole and self.space >= 0)
-        # Of each word the ids of A, then of B, 32 bits each. Words whose bytes do not come back are in ``broken``.
+        # Of each word the ids of A, then of B, 32 bits each; those of the generation before in ``before``. Words whose bytes do
+        # not come back are in ``broken``.
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.before: dict[str, tuple[bytes, bytes]] = {}
         self.broken: set[str] = set()
 
+    def _same(self, raw: list[bytes], ids: list[list[int]], names: list[bytes], sizes: np.ndarray) -> bool:
+        """Whether the tokens of all words give back their bytes, word by word."""
+        counts = np.array([len(x) for x in ids])
+        flat = list(chain.from_iterable(ids))
+        if not counts.all() or b"".join(map(names.__getitem__, flat)) != b"".join(raw):
+            return False
+        return bool((np.add.reduceat(sizes[flat], np.cumsum(counts) - counts) == [len(x) for x in raw]).all())
+
     def _learn(self, words: list[str]) -> None:
-        theirs = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
-        for w, code, b in zip(words, self.a.encode_batch_fast(words, add_special_tokens=False), theirs):
-            raw, a = w.encode(), code.ids
-            if w[0] != " " and b[:1] == [self.space]:
-                b = b[1:]
-            if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
-                self.broken.add(w)
-            self.known[w] = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes())
+        ids_b = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
+        ids_b = [b[1:] if w[0] != " " and b[:1] == [self.space] else b for w, b in zip(words, ids_b)]
+        ids_a = [code.ids for code in self.a.encode_batch_fast(words, add_special_tokens=False)]
+        raw = [w.encode() for w in words]
+        if not (self._same(raw, ids_a, self.a_bytes, self.a_len) and self._same(raw, ids_b, self.b_bytes, self.b_len)):
+            for w, x, a, b in zip(words, raw, ids_a, ids_b):
+                if b"".join([self.a_bytes[i] for i in a]) != x or b"".join([self.b_bytes[i] for i in b]) != x:
+                    self.broken.add(w)
+        for w, a, b in zip(words, ids_a, ids_b):
+            self.known[w] = (array("I", a).tobytes(), array("I", b).tobytes())
+
+    def _know(self, words: set[str]) -> None:
+        """Brings the words into ``known``. When that is full a new generation begins; words still in use come over from the
+        one before."""
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > WORDS_KEPT:
+            self.before, self.known, new = self.known, {}, words
+            self.broken &= self.before.keys() | words
+        old = [w for w in new if w in self.before]
+        self.known.update((w, self.before[w]) for w in old)
+        new = list(new.difference(old))
+        for lo in range(0, len(new), 2048):
+            self._learn(new[lo : lo + 2048])
 
     def portions(self, text: str | None) -> Iterator[tuple[bytes, bytes, bool]]:
         """The ids of A and of B for the next words, and whether these are the last ones of the text.
@@ -93,11 +120,8 @@ class Pair:
         Nothing, once, if the text is empty or its bytes do not come back.
         """
         words = [] if not text else _CUT.split(" " + text) if self.cuts else [" " + text]
-        if new := list(set(words).difference(self.known)):
-            if len(self.known) + len(new) > WORDS_KEPT:
-                self.known, self.broken, new = {}, set(), list(set(words))
-            for lo in range(0, len(new), 2048):
-                self._learn(new[lo : lo + 2048])
+        if not self.known.keys() >= (different := set(words)):
+            self._know(different)
         if self.broken and not self.broken.isdisjoint(words):
             words = []
         for lo in range(0, max(1, len(words)), PORTION):

@@ -115,6 +115,16 @@ def test_small_portions_and_chunks_change_nothing(docs_of, spark, monkeypatch):
     assert {r["doc_id"]: tuple(r[c] for c in COLUMNS) for r in rows} == dict(enumerate(want))
 
 
+def test_generations_of_known_words_change_nothing(monkeypatch):
+    texts = [f"word{i} again and word{i % 7}, " * 3 + ("▁ broken" if i % 5 == 0 else "") for i in range(60)]
+    want = [w[0] for w in plain_alignment(texts)]
+    for kept in (5, 40, 10_000):
+        monkeypatch.setattr(alignment, "WORDS_KEPT", kept)
+        pair = Pair(A, B)
+        got = [r["n_a"] for _, r in aligned(pair, texts, written_ids(pair), held_bytes=1)]
+        assert got == want and 0 in want and len(pair.known) <= max(kept, 30)
+
+
 def test_counts_of_pairs(docs_of):
     rows, counts = alignment.align(docs_of([(1, "word word word", "s"), (2, "word", "s")]), A, B)
     assert counts.agg(F.sum("total")).first()[0] == rows.agg(F.sum("n_links")).first()[0]
