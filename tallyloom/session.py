@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     """Folder for scratch tables and stream checkpoints, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Where that is unset, as in tests, a folder in the warehouse, which all executors can reach as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -19,9 +18,7 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="tallyloom-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tallyloom-scratch"
     return root
 
 
