@@ -1,6 +1,7 @@
 """Compare registered queries with their SQL from the command line: ``run_oracle.py FOLDER [name ...]``."""
 
 import sys
+import tempfile
 import time
 import traceback
 from pathlib import Path
@@ -24,6 +25,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="oracle-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
