@@ -59,7 +59,7 @@ def case_bucket(rules: Sequence[tuple[Column, object]], default: object = None)
 
 
 # The first primes. As witnesses of a strong test the first four decide every number below 3,215,031,751, all of
-# them every number of 64 bits.
+# them every number of 64 bits; the first two decide every number below 1,373,653.
 _FIRST_PRIMES = (2, 3, 5, 7, 11, 13, 17, 19, 23, 29, 31, 37)
 # Squares of numbers up to this one fit into 64 bits.
 _ROOT_OF_LONG = 3_037_000_499
@@ -105,6 +105,7 @@ def is_prime(col: Column) -> Column:
     for p in _FIRST_PRIMES:
         test = test.when(n % p == 0, F.lit(False))
     test = test.when(n < 41 * 41, F.lit(True))
+    test = test.when(n < 1_373_653, _strong_test(n, _FIRST_PRIMES[:2], "long"))
     test = test.when(n <= _ROOT_OF_LONG, _strong_test(n, _FIRST_PRIMES[:4], "long"))
     return test.otherwise(_strong_test(n, _FIRST_PRIMES, "decimal(38,0)"))
 

@@ -244,7 +244,7 @@ def as_array(cols: Sequence[str] | str) -> Column:
     return F.col(cols).cast("array<double>") if isinstance(cols, str) else F.array(*[F.col(c).cast("double") for c in cols])
 
 
-def silhouette_values(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, block: int = 1024, wide: int = 8192) -> DataFrame:
+def silhouette_values(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, block: int = 256, wide: int = 8192) -> DataFrame:
     """``id, label, a, b, silhouette`` of every row with Euclidean distances to all others.
 
     Rows are cut into blocks; each pair of a block and a wide block is one task row that adds up the distances per row and
