@@ -1,9 +1,13 @@
 """Scores of texts under a language model: online logistic context mixing.
 
 A text is its words, A-Z lower-cased, with a space between them and a line feed at the end. Each byte is a few binary decisions
-along a prefix code of the training bytes. Several predictors look up the decision in tables hashed by their context; their
-log odds are added with weights that a gate chooses, a further map refines the outcome, and while a text is read its own
-errors adapt the weights. The sum of the costs of all decisions is the total in bits.
+along a prefix code of the training bytes. Several predictors look up the decision by a hash of their context; one more follows
+the text's own last occurrence of the context. Their log odds are added with weights that a gate chooses, and a further map
+refines the outcome. Every text starts from the tuned weights and map; while it is read, all weights of the gates it passes and
+its refinement learn from each window of bytes behind. The sum of the costs of all decisions is the total in bits.
+
+Counts live in Spark tables only and grow with the corpus: the contexts of every packed row go to buckets of the hash, where they
+are added up over all rows, and each row gets back the log odds of just the contexts it holds.
 
 Training documents are dealt into two parts by their id: one of 49 parts tunes weights and refinement, all others are counted.
 """
@@ -27,18 +31,23 @@ from pyspark.sql import functions as F
 from tallyloom.llm.texts import words_of
 from tallyloom.session import cut_lineage
 
-# Contexts: so many bytes before, or (0) the word so far.
+# Contexts: so many bytes before, or (0) the whole word so far. Contexts of MATCH bytes also find their last place in the text.
 ORDERS = (2, 3, 5, 0)
-SLOT_BITS = 21
-SEGMENT_BITS = 17
+MATCH = ORDERS.index(5)
 PAD = 8
-# Bytes of text that are packed into one row, and read between two adaptations of the weights.
-CHUNK = 8 << 20
-STEP = 256
-LANES = 256
+# Bytes of text that are packed into one row, and that share a bucket of contexts.
+CHUNK = 4 << 20
+BUCKET_BYTES = 8 << 20
+# Bytes a text goes on between two updates, texts that are read side by side, rates of the weights and of the refinement.
+STEP = 64
+LANES = 2048
 RATE = 0.002
-GATES = 9
+REFINE_RATE = 0.02
+GATES = 27
 BUCKETS = 25
+# Log odds are kept in these parts of one.
+SCALE = 12
+SLICE = 1 << 18
 END = b"\n"
 COUNTED, TUNING, HELD_OUT = 0, 1, 2
 
@@ -70,126 +79,216 @@ class Code:
                 todo += [(child, [*path, (at - 256, bit)]) for bit, child in enumerate(children[at - 256])]
         self.length = np.array([len(paths[s]) for s in range(256)])
         deep = self.length.max()
-        self.nodes, self.bits = np.zeros((256, deep), "u4"), np.zeros((256, deep), "u1")
+        self.nodes, self.bits = np.zeros((256, deep), "i4"), np.zeros((256, deep), "i1")
         self.begin = np.arange(256) * deep
         for s, path in paths.items():
             for d, (node, bit) in enumerate(path):
                 self.nodes[s, d], self.bits[s, d] = node, bit
+        # For two bytes the depth at which their paths part.
+        self.parting = np.zeros((256, 256), "i2")
+        for s in range(256):
+            n = self.length[s]
+            same = (self.nodes[:, :n] == self.nodes[s, :n]) & (self.bits[:, :n] == self.bits[s, :n]) & (np.arange(n) < self.length[:, None])
+            self.parting[:, s] = np.cumprod(same, axis=1).sum(axis=1)
+
+    def spread(self, begins: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """``begins[i], begins[i] + 1, …`` for ``n[i]`` places, one after the other."""
+        ends = np.cumsum(n)
+        out = np.repeat(begins - ends + n, n)
+        out += np.arange(len(out))
+        return out
+
 
-    def expand(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each decision: which symbol it belongs to, its node and its bit."""
-        n = self.length[symbols]
-        row = np.repeat(np.arange(len(symbols)), n)
-        # Place in the flat tables: that of the symbol plus the depth.
-        at = np.repeat(self.begin[symbols] - np.cumsum(n) + n, n)
-        at += np.arange(len(row))
-        return row, self.nodes.ravel().take(at), self.bits.ravel().take(at)
-
-
-def contexts(stream: np.ndarray) -> list[np.ndarray]:
-    """Hashes of the contexts before each byte of a stream; ``PAD`` zeros precede each text."""
-    before = []
-    for d in range(1, PAD + 1):
-        b = np.zeros(len(stream), "u4")
-        b[d:] = stream[:-d]
-        before.append(b)
-    out = []
-    for n, order in enumerate(ORDERS):
-        h = np.full(len(stream), 0x9E3779B1 * (n + 1) & 0xFFFFFFFF, "u4")
-        if order:
-            for b in before[:order]:
-                h = (h + b + np.uint32(1)) * np.uint32(0x85EBCA6B)
-                h ^= h >> np.uint32(15)
-        else:  # the word so far, up to its last eight bytes
-            inside = np.ones(len(stream), bool)
-            for b in before:
-                inside &= b > 32
-                h = np.where(inside, (h ^ b) * np.uint32(0xC2B2AE35) + (h >> np.uint32(13)), h)
-        out.append(h)
-    return out
-
-
-def slots(h: np.ndarray, row: np.ndarray, node: np.ndarray) -> np.ndarray:
-    x = node * np.uint32(0x9E3779B1)
-    x ^= h.take(row)
-    x *= np.uint32(0x85EBCA6B)
-    x ^= x >> np.uint32(16)
-    x *= np.uint32(0xC2B2AE35)
-    x >>= np.uint32(32 - SLOT_BITS)
-    return x
+def context_hashes(stream: np.ndarray, order: int) -> np.ndarray:
+    """64-bit hashes of the contexts before each byte of a stream; ``PAD`` zeros precede each text."""
+    if order:
+        h = np.zeros(len(stream), "u8")
+        for d in range(1, order + 1):
+            h <<= np.uint64(8)
+            h[d:] |= stream[:-d]
+    else:
+        # Sums of byte times power; the difference of two, divided by the power at the begin of the word, names the word so far.
+        base = 0x9E3779B97F4A7C15
+        power, undo = np.full(len(stream), base, "u8"), np.full(len(stream), pow(base, -1, 1 << 64), "u8")
+        power[:1] = undo[:1] = 1
+        power, undo = np.cumprod(power, dtype="u8"), np.cumprod(undo, dtype="u8")
+        sums = np.cumsum((stream.astype("u8") + np.uint64(1)) * power, dtype="u8")
+        sums = np.concatenate([np.zeros(1, "u8"), sums[:-1]])
+        begin = np.zeros(len(stream), "i8")
+        begin[1:] = np.where(stream[:-1] <= 32, np.arange(1, len(stream)), 0)
+        begin = np.maximum.accumulate(begin)
+        h = (sums - sums[begin]) * undo[begin]
+    h ^= np.uint64(order + 1 << 56)  # above the bytes, so that no two orders share a context
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+class Reading:
+    """The texts of a packed row with the places of all their contexts.
+
+    ``keys``: the different pairs of context and byte, ascending, the byte in the last eight bits; ``n``: how often they occur;
+    ``codes``: for each predictor and byte of text the place of its pair in ``keys``.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        stream = np.frombuffer(b"".join(bytes(PAD) + t for t in texts), "u1")
+        self.sizes = np.array([len(t) for t in texts], "i8")
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        # The padding is told by its place; a zero byte of a text is text.
+        places = np.arange(self.sizes.sum()) + np.repeat(PAD * (np.arange(len(texts)) + 1), self.sizes)
+        self.symbols = stream[places]
+        found = []
+        for order in ORDERS:
+            h = context_hashes(stream, order)[places]
+            h &= np.uint64(0xFFFFFFFFFFFFFF00)
+            h |= self.symbols
+            codes, different = pd.factorize(h)
+            found.append((codes.astype("i4"), different, np.bincount(codes, minlength=len(different))))
+        keys = np.concatenate([f[1] for f in found])
+        by_key = np.argsort(keys)
+        rank = np.empty(len(keys), "i4")
+        rank[by_key] = np.arange(len(keys), dtype="i4")
+        self.keys, self.n = keys[by_key], np.concatenate([f[2] for f in found])[by_key].astype("i4")
+        at, self.codes = 0, []
+        for codes, different, _ in found:
+            self.codes.append(rank[at : at + len(different)][codes])
+            at += len(different)
+
+    def prepare(self, code: Code, odds: np.ndarray) -> Reading:
+        """``odds``: for each key its log odds along the path of its byte, see ``answer``. Adds what the text's own past says."""
+        n = code.length[(self.keys & np.uint64(255)).astype("i8")]
+        self.odds, self.begin = odds, np.cumsum(n) - n
+        context = np.cumsum(np.diff(self.keys >> np.uint64(8), prepend=self.keys[:1] >> np.uint64(8)) > 0)
+        group = context[self.codes[MATCH]] * len(self.sizes) + np.repeat(np.arange(len(self.sizes)), self.sizes)
+        by_group = np.argsort(group, kind="stable")
+        again = np.flatnonzero(group[by_group[1:]] == group[by_group[:-1]])
+        last = np.full(len(group), -1, "i4")
+        last[by_group[again + 1]] = by_group[again]
+        self.seen = last >= 0
+        self.foretold = self.symbols[last]
+        # How long the last place and this one have gone along with each other.
+        place = np.arange(len(last), dtype="i4")
+        goes_on = np.zeros(len(last), bool)
+        goes_on[1:] = self.seen[1:] & (last[1:] == last[:-1] + 1) & self.seen[:-1]
+        run = place - np.maximum.accumulate(np.where(goes_on, 0, place))
+        self.trust = np.log1p(run, dtype="f4") + np.float32(0.5)
+        return self
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by planes of bytes, most of which compress well."""
+    return zstandard.compress(keys.view("u1").reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpack_keys(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(blob), "u1").reshape(8, -1).T).view("u8").ravel()
+
+
+def answer(code: Code, requests: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
+    """For each request the log odds, towards the byte of the key, of all decisions on the path of each key, one after the other.
+
+    A request is ascending keys without repeats; all keys of a context are in one call.
+    """
+    keys = np.unique(np.concatenate(requests))
+    at = [np.searchsorted(keys, r) for r in requests]
+    n = np.zeros(len(keys), "i8")
+    for a, c in zip(at, counts):
+        n[a] += c
+    symbols = (keys & np.uint64(255)).astype("i8")
+    context = np.cumsum(np.diff(keys >> np.uint64(8), prepend=keys[:1] >> np.uint64(8)) > 0)
+    lengths = code.length[symbols]
+    out = np.empty(lengths.sum(), "i1")
+    done = lo = 0
+    while lo < len(keys):
+        # A context is not cut in two; it has 256 keys at most.
+        hi = len(keys) if lo + SLICE >= len(keys) else int(np.searchsorted(context, context[lo + SLICE]))
+        size = lengths[lo:hi]
+        place = code.spread(code.begin[symbols[lo:hi]], size)
+        node, bit = code.nodes.ravel()[place], code.bits.ravel()[place]
+        which = pd.factorize(np.repeat(context[lo:hi], size) * 256 + node)[0]
+        weight = np.repeat(n[lo:hi], size).astype("f8")
+        both, ones = np.bincount(which, weight), np.bincount(which, weight * bit)
+        odds = np.log((ones + 0.3) / (both - ones + 0.3))[which] * (2.0 * bit - 1.0)
+        out[done : done + len(odds)] = np.rint(np.clip(odds * SCALE, -127, 127))
+        done, lo = done + len(odds), hi
+    begin = np.cumsum(lengths) - lengths
+    return [out[code.spread(begin[a], lengths[a])] for a in at]
 
 
 @dataclass
 class Model:
+    """Everything here has a fixed size: the code, weights by gate and predictor, and the refinement by node and bucket."""
+
     code: Code
-    tables: list[np.ndarray]  # log odds of a 1 in steps of 1/1024, 0 where nothing was seen
-    weights: np.ndarray = field(default_factory=lambda: np.tile(np.array([0.3] * len(ORDERS) + [0.0], "f4"), (GATES, 1)))
-    refined: np.ndarray | None = None
-
-    def inputs(self, hashes: list[np.ndarray], at: np.ndarray, symbols: np.ndarray):
-        """Of the bytes at the places ``at``: row, node, bit, log odds (predictors x decisions) and gate of each decision."""
-        row, node, bit = self.code.expand(symbols)
-        odds = np.empty((len(ORDERS), len(row)), "f4")
-        for p, table in enumerate(self.tables):
-            odds[p] = table.take(slots(hashes[p].take(at), row, node))
-        odds *= np.float32(1 / 1024)
-        sure = [np.abs(odds[p]) for p in (-2, -1)]
-        gate = ((sure[0] > 0).view("i1") + (sure[0] > 2)) * np.int8(3) + (sure[1] > 0) + (sure[1] > 2)
-        return row, node, bit, odds, gate.astype("i8")
-
-    def mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        by_input = np.ascontiguousarray(self.weights.T)
-        z = by_input[-1].take(gate)
-        for p in range(len(ORDERS)):
-            part = by_input[p].take(gate)
-            part *= odds[p]
-            z += part
-        return z
-
-    def refine(self, z: np.ndarray, node: np.ndarray) -> np.ndarray:
-        if self.refined is None:
-            return z
-        at = bucket(z)
-        at += node.astype("i4") * np.int32(BUCKETS)
-        return (z + self.refined.ravel().take(at)) * np.float32(0.5)
-
-    def costs(self, texts: list[bytes]) -> np.ndarray:
+    weights: np.ndarray = field(default_factory=lambda: np.full((GATES, len(ORDERS) + 1), 0.3, "f4"))
+    refined: np.ndarray = field(default_factory=lambda: np.tile((np.arange(BUCKETS, dtype="f4") - BUCKETS // 2) / np.float32(1.5), (256, 1)))
+
+    def decisions(self, r: Reading, at: np.ndarray):
+        """Of the bytes at the places ``at``: decisions each, node, sign of the bit, log odds towards it by predictor, gate."""
+        symbols = r.symbols[at].astype("i8")
+        n = self.code.length[symbols]
+        ends = np.cumsum(n)
+        count = np.arange(ends[-1])
+        place = np.repeat(self.code.begin[symbols] - ends + n, n) + count
+        node = self.code.nodes.ravel().take(place)
+        sign = self.code.bits.ravel().take(place) * np.float32(2) - np.float32(1)
+        inputs = []
+        for codes in r.codes:
+            x = r.odds.take(np.repeat(r.begin[codes[at]] - ends + n, n) + count).astype("f4")
+            x *= np.float32(1 / SCALE)
+            inputs.append(x)
+        parting = np.where(r.seen[at], self.code.parting[r.foretold[at], symbols], -1)
+        # Below zero: the foretold path goes on, zero: it parts here, above: it has parted.
+        beyond = count - np.repeat(ends - n + parting, n)
+        beyond[np.repeat(parting < 0, n)] = 1
+        trust = np.repeat(r.trust[at], n)
+        inputs.append(np.where(beyond < 0, trust, np.where(beyond == 0, -trust, np.float32(0))))
+        sure = [np.abs(inputs[p]) for p in (MATCH, ORDERS.index(0))]
+        level = [(s > 0).astype("i8") + (s > 2) for s in sure]
+        told = (beyond <= 0).astype("i8") + ((beyond <= 0) & (trust > 2.5))
+        return n, node, sign, inputs, (level[0] * 3 + level[1]) * 3 + told
+
+    def costs(self, r: Reading) -> np.ndarray:
         """The natural logarithm of the probability of each text. A text is read on its own: nothing passes to another."""
-        out = np.zeros(len(texts))
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        out = np.zeros(len(r.sizes))
+        order = np.argsort(-r.sizes, kind="stable")
         for lo in range(0, len(order), LANES):
-            group = order[lo : lo + LANES]
-            for i, cost in zip(group, self._lanes([texts[i] for i in group])):
-                out[i] = cost
+            out[order[lo : lo + LANES]] = self._side_by_side(r, order[lo : lo + LANES])
         return out
 
-    def _lanes(self, texts: list[bytes]) -> np.ndarray:
-        stream = np.frombuffer(b"".join(bytes(PAD) + t for t in texts), "u1")
-        hashes = contexts(stream)
-        sizes = np.array([len(t) for t in texts])
-        starts = np.cumsum(sizes + PAD) - sizes
-        own = np.zeros((len(ORDERS), len(texts)), "f4")
+    def _side_by_side(self, r: Reading, texts: np.ndarray) -> np.ndarray:
+        sizes, starts = r.sizes[texts], r.starts[texts]
+        weights = [np.tile(w, len(texts)) for w in self.weights.T]
+        own = np.zeros(len(texts) * BUCKETS, "f4")
         total = np.zeros(len(texts))
-        for done in range(0, sizes[0], STEP):
-            active = int((sizes > done).sum())
+        for done in range(0, int(sizes[0]), STEP):
+            active = int(np.searchsorted(-sizes, -done))
             width = np.minimum(sizes[:active] - done, STEP)
-            lane = np.repeat(np.arange(active), width)
-            at = np.arange(len(lane)) - np.repeat(np.cumsum(width) - width, width) + starts[lane] + done
-            row, node, bit, odds, gate = self.inputs(hashes, at, stream[at])
-            lanes = lane.take(row)
-            begins = np.searchsorted(lanes, np.arange(active))
-            z = self.mixed(odds, gate)
-            for p in range(len(ORDERS)):
-                part = own[p].take(lanes)
-                part *= odds[p]
-                z += part
-            sign = np.float32(1) - bit.astype("f4") * np.float32(2)
-            wrong = np.exp(np.minimum(sign * self.refine(z, node), np.float32(80)))
-            wrong += np.float32(1)
-            total[:active] -= np.add.reduceat(np.log(wrong), begins, dtype="f8")
-            error = bit - np.float32(1) / (np.float32(1) + np.exp(np.minimum(-z, np.float32(80))))
-            for p in range(len(ORDERS)):
-                own[p, :active] += np.float32(RATE) * np.add.reduceat(error * odds[p], begins)
+            n, node, sign, inputs, gate = self.decisions(r, self.code.spread(starts[:active] + done, width))
+            each = np.add.reduceat(n, np.cumsum(width) - width)
+            begins = np.cumsum(each) - each
+            lane = np.repeat(np.arange(active), each)
+            gate += lane * GATES
+            z = np.zeros(len(node), "f4")
+            for w, x in zip(weights, inputs):
+                z += w.take(gate) * x
+            cell = bucket(z * sign)
+            mine = lane * BUCKETS + cell
+            final = (self.refined.ravel().take(node * BUCKETS + cell) + own.take(mine)) * sign
+            final += z
+            final *= np.float32(-0.5)
+            np.exp(np.minimum(final, np.float32(80)), out=final)
+            total[:active] -= np.add.reduceat(np.log1p(final), begins, dtype="f8")
+            if done + STEP >= sizes[0]:
+                break
+            missed = final / (np.float32(1) + final)
+            own[: active * BUCKETS] += np.bincount(mine, missed * sign, active * BUCKETS) * REFINE_RATE
+            missed = np.float32(RATE) / (np.float32(1) + np.exp(np.minimum(z, np.float32(80))))
+            for w, x in zip(weights, inputs):
+                w[: active * GATES] += np.bincount(gate, missed * x, active * GATES)
         return total
 
 
@@ -229,10 +328,11 @@ def pack(docs: DataFrame) -> DataFrame:
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 kind = kind_of(doc_id)
-                held[kind].append((doc_id, b" ".join(words_of(text)) + END))
-                size[kind] += len(held[kind][-1][1])
-                if size[kind] >= CHUNK:
+                words = b" ".join(words_of(text)) + END
+                if held[kind] and size[kind] + len(words) > CHUNK:
                     yield row(kind)
+                held[kind].append((doc_id, words))
+                size[kind] += len(words)
         for kind in held:
             if held[kind]:
                 yield row(kind)
@@ -241,59 +341,72 @@ def pack(docs: DataFrame) -> DataFrame:
     return cut_lineage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ddl))
 
 
-def fit(packed: DataFrame) -> Model:
-    """Count contexts over all counted documents, then tune weights and refinement on the tuning documents.
+def look_up(packed: DataFrame, code: Code) -> DataFrame:
+    """``chunk, answers``: for each packed row the log odds of its own contexts, counted over all counted documents.
 
-    Tasks hand over their tables in segments that are added on the executors. The driver gets sums of a fixed size: the finished
-    tables (predictors x 2^``SLOT_BITS``), a few numbers a gate, and the refinement.
+    A row sends each of its different contexts once, however often it occurs, in a blob for each bucket, so a frequent context
+    is a hot key nowhere. The number of buckets follows the bytes of text; there are never more blobs than contexts.
     """
-    spark = packed.sparkSession
-    seen = packed.where(F.col("kind") != HELD_OUT).select("counts").rdd.map(lambda r: np.frombuffer(r["counts"], "i8")).treeAggregate(np.zeros(256, "i8"), np.add, np.add)
-    code = Code(seen)
-    parts = 1 << (SLOT_BITS - SEGMENT_BITS)
+    size = packed.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, s: a + s))).first()[0] or 0
+    buckets = min(1 + size // BUCKET_BYTES, 1 << 24)
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = np.zeros((len(ORDERS), 2 << SLOT_BITS), "i4")
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for _, texts in _texts(frame):
-                for lo in range(0, len(texts), LANES):
-                    stream = np.frombuffer(b"".join(bytes(PAD) + t for t in texts[lo : lo + LANES]), "u1")
-                    hashes, at = contexts(stream), np.flatnonzero(stream)
-                    for cut in range(0, len(at), 1 << 19):
-                        some = at[cut : cut + (1 << 19)]
-                        row, node, bit = code.expand(stream[some])
-                        for p, h in enumerate(hashes):
-                            tables[p] += np.bincount(slots(h[some], row, node).astype("i8") * 2 + bit, minlength=2 << SLOT_BITS).astype("i4")
-        for p, table in enumerate(tables):
-            yield pd.DataFrame({"key": p * parts + np.arange(parts), "n": [zlib.compress(s.tobytes(), 1) for s in table.reshape(parts, -1)]})
-
-    def plus(a: bytes, b: bytes) -> bytes:
-        return zlib.compress((np.frombuffer(zlib.decompress(a), "i4") + np.frombuffer(zlib.decompress(b), "i4")).tobytes(), 1)
-
-    def odds(packed_counts: bytes) -> np.ndarray:
-        zero, one = np.frombuffer(zlib.decompress(packed_counts), "i4").reshape(-1, 2).T
-        return np.rint(np.clip(np.log((one + 0.3) / (zero + 0.3)) * 1024, -32000, 32000)).astype("i2")
-
-    counted = packed.where(F.col("kind") == COUNTED).select("sizes", "blob").mapInPandas(count, "key int, n binary")
-    done = dict(counted.rdd.map(lambda r: (r["key"], bytes(r["n"]))).reduceByKey(plus).mapValues(odds).collect())
-    empty = np.zeros(1 << SEGMENT_BITS, "i2")
-    model = Model(code, [np.concatenate([done.get(p * parts + s, empty) for s in range(parts)]) for p in range(len(ORDERS))])
-    tuning = packed.where(F.col("kind") == TUNING).select("sizes", "blob")
-    shared = spark.sparkContext.broadcast(model)
-    width = len(ORDERS) + 1
-
-    def decisions(frame: pd.DataFrame, weights: np.ndarray):
-        now = Model(code, shared.value.tables, weights)
-        for _, texts in _texts(frame):
-            for lo in range(0, len(texts), LANES // 2):
-                stream = np.frombuffer(b"".join(bytes(PAD) + t for t in texts[lo : lo + LANES // 2]), "u1")
-                hashes, at = contexts(stream), np.flatnonzero(stream)
-                for cut in range(0, len(at), 1 << 17):
-                    some = at[cut : cut + (1 << 17)]
-                    _, node, bit, odd, gate = now.inputs(hashes, some, stream[some])
-                    yield node, bit, odd, gate, now.mixed(odd, gate)
-
-    def summed(rows: DataFrame, each, shape: tuple[int, ...]) -> np.ndarray:
+            for r, texts in _texts(frame):
+                reading = Reading(texts)
+                n = reading.n if r.kind == COUNTED else np.zeros_like(reading.n)
+                goes_to = ((reading.keys >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype("i8")
+                begins = np.flatnonzero(np.diff(goes_to, prepend=-1))
+                cuts = list(zip(begins, [*begins[1:], len(goes_to)]))
+                yield pd.DataFrame(
+                    {
+                        "bucket": goes_to[begins],
+                        "chunk": r.chunk,
+                        "keys": [pack_keys(reading.keys[a:b]) for a, b in cuts],
+                        "n": [zstandard.compress(n[a:b].tobytes(), 1) for a, b in cuts],
+                    }
+                )
+
+    def reply(frame: pd.DataFrame) -> pd.DataFrame:
+        counts = [np.frombuffer(zstandard.decompress(n), "i4") for n in frame["n"]]
+        odds = answer(code, [unpack_keys(k) for k in frame["keys"]], counts)
+        return pd.DataFrame({"chunk": frame["chunk"], "bucket": frame["bucket"], "odds": [zstandard.compress(o.tobytes(), 1) for o in odds]})
+
+    sent = packed.select("kind", "chunk", "sizes", "blob").mapInPandas(send, "bucket long, chunk long, keys binary, n binary")
+    replies = cut_lineage(sent.groupBy("bucket").applyInPandas(reply, "chunk long, bucket long, odds binary"))
+    return replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "odds"))).alias("answers"))
+
+
+def read(code: Code, row, texts: list[bytes]) -> Reading:
+    """The texts of a packed row with the answers it got."""
+    odds = b"".join(zstandard.decompress(a["odds"]) for a in row.answers)
+    return Reading(texts).prepare(code, np.frombuffer(odds, "i1"))
+
+
+def byte_code(packed: DataFrame) -> Code:
+    """A prefix code of the bytes of all training documents."""
+    seen = packed.where(F.col("kind") != HELD_OUT).select("counts").rdd.map(lambda r: np.frombuffer(r["counts"], "i8"))
+    return Code(seen.treeAggregate(np.zeros(256, "i8"), np.add, np.add))
+
+
+def tune(packed: DataFrame, answers: DataFrame, code: Code) -> Model:
+    """The weights and the refinement each text starts from, fitted on the tuning documents, none of which is counted.
+
+    The driver gets sums of a fixed size: a small matrix a gate, and two numbers a cell of the refinement.
+    """
+    model, width = Model(code), len(ORDERS) + 1
+    rows = cut_lineage(packed.where(F.col("kind") == TUNING).select("chunk", "sizes", "blob").join(answers, "chunk"))
+
+    def decisions(frame: pd.DataFrame, model: Model):
+        for r, texts in _texts(frame):
+            reading = read(code, r, texts)
+            for lo in range(0, len(reading.symbols), 1 << 17):
+                at = np.arange(lo, min(lo + (1 << 17), len(reading.symbols)))
+                _, node, sign, inputs, gate = model.decisions(reading, at)
+                x = np.vstack(inputs)
+                yield node, sign, x, gate, np.einsum("pi,ip->i", x, model.weights[gate])
+
+    def summed(each, shape: tuple[int, ...]) -> np.ndarray:
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = sum((each(f) for f in frames), np.zeros(shape))
             yield pd.DataFrame({"sums": [total.tobytes()]})
@@ -301,35 +414,32 @@ def fit(packed: DataFrame) -> Model:
         out = rows.mapInPandas(run, "sums binary").rdd.map(lambda r: np.frombuffer(r["sums"]))
         return out.treeAggregate(np.zeros(int(np.prod(shape))), np.add, np.add).reshape(shape)
 
-    for _ in range(3):  # Newton steps of a logistic regression for each gate
+    for _ in range(4):  # Newton steps of a logistic regression for each gate
 
-        def curvature(frame: pd.DataFrame, weights=model.weights) -> np.ndarray:
+        def curvature(frame: pd.DataFrame, model=model) -> np.ndarray:
             total = np.zeros((GATES, width, width + 1))
-            for _, bit, odd, gate, z in decisions(frame, weights):
-                x = np.vstack([odd, np.ones((1, odd.shape[1]), "f4")])
-                p = 1 / (1 + np.exp(-z))
+            for _, _, x, gate, z in decisions(frame, model):
+                missed = 1 / (1 + np.exp(np.clip(z, -80, 80)))
                 for g in range(GATES):
                     mine = gate == g
-                    xs = x[:, mine].astype("f8")
-                    total[g, :, :-1] += (xs * (p * (1 - p))[mine]) @ xs.T
-                    total[g, :, -1] += xs @ (bit - p)[mine]
+                    xs, m = x[:, mine].astype("f8"), missed[mine]
+                    total[g, :, :-1] += (xs * (m * (1 - m))) @ xs.T
+                    total[g, :, -1] += xs @ m
             return total
 
-        sums = summed(tuning, curvature, (GATES, width, width + 1))
+        sums = summed(curvature, (GATES, width, width + 1))
         step = [np.linalg.solve(s[:, :-1] + 2.0 * np.eye(width), s[:, -1]) for s in sums]
-        model.weights = (model.weights + np.clip(step, -0.5, 0.5)).astype("f4")
+        model = Model(code, (model.weights + np.clip(step, -0.5, 0.5)).astype("f4"))
 
-    def outcomes(frame: pd.DataFrame, weights=model.weights) -> np.ndarray:
-        total = np.zeros((255 * BUCKETS, 2))
-        for node, bit, _, _, z in decisions(frame, weights):
-            total += np.bincount((node.astype("i8") * BUCKETS + bucket(z)) * 2 + bit, minlength=510 * BUCKETS).reshape(-1, 2)
+    def outcomes(frame: pd.DataFrame) -> np.ndarray:
+        total = np.zeros((256 * BUCKETS, 2))
+        for node, sign, _, _, z in decisions(frame, model):
+            total += np.bincount((node.astype("i8") * BUCKETS + bucket(z * sign)) * 2 + (sign > 0), minlength=512 * BUCKETS).reshape(-1, 2)
         return total
 
-    zero, one = summed(tuning, outcomes, (255 * BUCKETS, 2)).T
-    middle = (np.arange(BUCKETS) - BUCKETS // 2) / 1.5
-    prior = np.tile(1 / (1 + np.exp(-middle)), 255)
-    model.refined = np.log((one + 20 * prior) / (zero + 20 * (1 - prior))).reshape(255, BUCKETS).astype("f4")
-    return model
+    zero, one = summed(outcomes, (256 * BUCKETS, 2)).T
+    prior = np.tile(1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS // 2) / 1.5)), 256)
+    return Model(code, model.weights, np.log((one + 20 * prior) / (zero + 20 * (1 - prior))).reshape(256, BUCKETS).astype("f4"))
 
 
 def word_counts(packed: DataFrame) -> DataFrame:
@@ -358,11 +468,13 @@ def score_texts(docs: DataFrame) -> DataFrame:
     counts = cut_lineage(words.groupBy("word").agg(F.sum("n").alias("c")))
     sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     n, v = sums["n"], sums["v"]
-    shared = docs.sparkSession.sparkContext.broadcast(fit(packed))
+    code = byte_code(packed)
+    answers = look_up(packed, code)
+    shared = docs.sparkSession.sparkContext.broadcast(tune(packed, answers, code))
     # The counts a row needs: no more than its different words. A frequent word is in many rows; both sides are tables, so
     # that adaptive execution can split it.
     near = words.select("chunk", "word").join(counts, "word").groupBy("chunk").agg(F.collect_list("word").alias("words"), F.collect_list("c").alias("cs"))
-    joined = packed.select("kind", "chunk", "ids", "sizes", "blob").join(near, "chunk")
+    joined = packed.select("kind", "chunk", "ids", "sizes", "blob").join(near, "chunk").join(answers, "chunk")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
@@ -372,7 +484,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 logs = {w: np.log10(k + 1) for w, k in c.items()}
                 floor = np.log10(n + v + 1)
                 rows = []
-                for doc_id, text, cost in zip(r.ids, texts, model.costs(texts)):
+                for doc_id, text, cost in zip(r.ids, texts, model.costs(read(model.code, r, texts))):
                     tokens = [*text.split(), END]
                     known = sum(1 for w in tokens if c[w])
                     base = sum(map(logs.__getitem__, tokens)) - len(tokens) * floor

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from tallyloom.llm.lm_scoring import Code
+from tallyloom.llm.lm_scoring import MATCH, ORDERS, Code, Model, Reading, answer, context_hashes, pack_keys, unpack_keys
 from tallyloom.llm.quality import isotonic
 from tallyloom.llm.queries import QUERIES
 
@@ -79,3 +79,76 @@ def test_labels_of_one_class_reject_nothing_else(docs_of, spark, odd):
         ones = sum(r[2] for r in usable)
         scores = {round(r["score"], 6) for r in toxicity.score(docs, toxicity.fit(docs, labels), ["doc_id"]).collect()}
         assert scores == {round((ones + 1) / (len(usable) + 3), 6)} and (want is None or scores == {round(want, 6)})
+
+
+def toy_model(seed=3):
+    rng = np.random.default_rng(seed)
+    model = Model(Code(np.bincount(np.frombuffer(b"abracadabra\x00 abc\n" * 5, "u1"), minlength=256)))
+    model.weights = rng.normal(0.3, 0.2, model.weights.shape).astype("f4")
+    model.refined = model.refined + rng.normal(0, 0.3, model.refined.shape).astype("f4")
+    return model
+
+
+def test_chances_of_the_next_byte_add_up_to_one():
+    """Also after windows that have changed the text's own weights, with bytes foretold by its own past, and with zero bytes."""
+    counted = Reading([b"abra cadabra\n", b"abracadabra\x00abra\n", b"bar bar bar\n"])
+    model = toy_model()
+    for begin in (b"", b"abra abra abr", b"cadabra abra \x00" * 12):
+        texts = [begin + bytes([s]) for s in range(256)] + [begin + b"\n"]
+        r = Reading(texts)
+        odds = answer(model.code, [counted.keys, r.keys], [counted.n, 0 * r.n])[1]
+        costs = model.costs(r.prepare(model.code, odds))
+        # The bytes of the begin cost the same in all texts, so that their cost can be told from the text by one byte less.
+        if begin:
+            b = Reading([begin])
+            before = model.costs(b.prepare(model.code, answer(model.code, [counted.keys, b.keys], [counted.n, 0 * b.n])[1]))[0]
+        else:
+            before = 0.0
+        assert abs(np.exp(costs[:256] - before).sum() - 1) < 1e-3
+        assert costs[256] == costs[10]  # nothing passes from text to text
+
+
+def test_log_odds_against_counting():
+    rng = random.Random(4)
+    parts = [[bytes(rng.choices(b"ab \x00c", k=rng.randint(1, 40))) for _ in range(20)] for _ in range(3)]
+    code = toy_model().code
+    readings = [Reading(t) for t in parts]
+    odds = answer(code, [r.keys for r in readings], [r.n for r in readings])
+    seen = Counter()
+    for texts in parts:
+        for t in texts:
+            for i, s in enumerate(t):
+                for d in range(code.length[s]):
+                    word = i - len(t[:i].split(b"\x00")[-1].split(b" ")[-1])
+                    for p, order in enumerate(ORDERS):
+                        context = (bytes(8) + t)[8 + i - order : 8 + i] if order else t[word:i]
+                        seen[p, context, int(code.nodes[s, d]), int(code.bits[s, d])] += 1
+    r, o = readings[1], odds[1]
+    r.prepare(code, o)
+    at = 0
+    for t in parts[1]:
+        for i, s in enumerate(t):
+            word = i - len(t[:i].split(b"\x00")[-1].split(b" ")[-1])
+            for p, order in enumerate(ORDERS):
+                context = (bytes(8) + t)[8 + i - order : 8 + i] if order else t[word:i]
+                for d in range(code.length[s]):
+                    node, bit = int(code.nodes[s, d]), int(code.bits[s, d])
+                    want = math.log((seen[p, context, node, bit] + 0.3) / (seen[p, context, node, 1 - bit] + 0.3))
+                    assert abs(o[r.begin[r.codes[p][at]] + d] / 12 - want) < 0.05
+            # The last place of the same five bytes in this text.
+            before = [j for j in range(i) if (bytes(8) + t)[3 + j : 8 + j] == (bytes(8) + t)[3 + i : 8 + i]]
+            assert bool(r.seen[at]) == bool(before)
+            assert not before or r.foretold[at] == t[before[-1]]
+            at += 1
+
+
+def test_word_contexts_have_no_greatest_length():
+    one, other = b"x" + b"y" * 40, b"z" + b"y" * 40
+    h = context_hashes(np.frombuffer(bytes(8) + one + b" " + bytes(8) + other + b" " + bytes(8) + one + b" ", "u1"), 0)
+    ends = [8 + 41, 8 + 42 + 8 + 41, 8 + 42 + 8 + 42 + 8 + 41]
+    assert h[ends[0]] == h[ends[2]] != h[ends[1]] and ORDERS[MATCH] == 5
+
+
+def test_keys_round_trip():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype("u8"))
+    assert (unpack_keys(pack_keys(keys)) == keys).all()
