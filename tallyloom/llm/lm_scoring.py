@@ -40,7 +40,7 @@ CHUNK = 4 << 20
 BUCKET_BYTES = 8 << 20
 # Bytes a text goes on between two updates, texts that are read side by side, rates of the weights and of the refinement.
 STEP = 64
-LANES = 2048
+LANES = 1024
 RATE = 0.002
 REFINE_RATE = 0.02
 GATES = 27
@@ -133,40 +133,42 @@ class Reading:
     ``codes``: for each predictor and byte of text the place of its pair in ``keys``.
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], bits: int = 56):
         stream = np.frombuffer(b"".join(bytes(PAD) + t for t in texts), "u1")
         self.sizes = np.array([len(t) for t in texts], "i8")
         self.starts = np.cumsum(self.sizes) - self.sizes
         # The padding is told by its place; a zero byte of a text is text.
         places = np.arange(self.sizes.sum()) + np.repeat(PAD * (np.arange(len(texts)) + 1), self.sizes)
         self.symbols = stream[places]
-        found = []
+        parts, n, self.codes = [], [], []
         for order in ORDERS:
-            h = context_hashes(stream, order)[places]
-            h &= np.uint64(0xFFFFFFFFFFFFFF00)
-            h |= self.symbols
-            codes, different = pd.factorize(h)
-            found.append((codes.astype("i4"), different, np.bincount(codes, minlength=len(different))))
-        keys = np.concatenate([f[1] for f in found])
-        by_key = np.argsort(keys)
-        rank = np.empty(len(keys), "i4")
-        rank[by_key] = np.arange(len(keys), dtype="i4")
-        self.keys, self.n = keys[by_key], np.concatenate([f[2] for f in found])[by_key].astype("i4")
-        at, self.codes = 0, []
-        for codes, different, _ in found:
-            self.codes.append(rank[at : at + len(different)][codes])
-            at += len(different)
+            keys = (context_hashes(stream, order)[places] >> np.uint64(64 - bits)) << np.uint64(8)
+            keys |= self.symbols
+            codes, different = pd.factorize(keys)
+            self.codes.append(codes.astype("i4"))
+            n.append(np.bincount(codes, minlength=len(different)))
+            parts.append(different)
+        # A key that two orders share, by chance, has one place and the counts of both.
+        self.keys, rank = np.unique(np.concatenate(parts), return_inverse=True)
+        self.n = np.bincount(rank, np.concatenate(n), len(self.keys)).astype("i4")
+        at, rank = 0, rank.astype("i4")
+        for p, part in enumerate(parts):
+            self.codes[p] = rank[at : at + len(part)][self.codes[p]]
+            at += len(part)
 
     def prepare(self, code: Code, odds: np.ndarray) -> Reading:
         """``odds``: for each key its log odds along the path of its byte, see ``answer``. Adds what the text's own past says."""
         n = code.length[(self.keys & np.uint64(255)).astype("i8")]
         self.odds, self.begin = odds, np.cumsum(n) - n
         context = np.cumsum(np.diff(self.keys >> np.uint64(8), prepend=self.keys[:1] >> np.uint64(8)) > 0)
-        group = context[self.codes[MATCH]] * len(self.sizes) + np.repeat(np.arange(len(self.sizes)), self.sizes)
-        by_group = np.argsort(group, kind="stable")
-        again = np.flatnonzero(group[by_group[1:]] == group[by_group[:-1]])
-        last = np.full(len(group), -1, "i4")
-        last[by_group[again + 1]] = by_group[again]
+        size = len(self.symbols)
+        order = context[self.codes[MATCH]] * size + np.arange(size)
+        order.sort()
+        context, place = np.divmod(order, size)
+        text = np.repeat(np.arange(len(self.sizes), dtype="i4"), self.sizes)[place]
+        again = np.flatnonzero((context[1:] == context[:-1]) & (text[1:] == text[:-1]))
+        last = np.full(size, -1, "i4")
+        last[place[again + 1]] = place[again]
         self.seen = last >= 0
         self.foretold = self.symbols[last]
         # How long the last place and this one have gone along with each other.
@@ -179,12 +181,25 @@ class Reading:
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
-    """Ascending keys by planes of bytes, most of which compress well."""
-    return zstandard.compress(keys.view("u1").reshape(-1, 8).T.tobytes(), 1)
+    """Ascending keys as steps of the context and bytes, by planes of bytes, most of which compress well."""
+    context = keys >> np.uint64(8)
+    context[1:] -= context[:-1].copy()
+    planes = [context.view("u1").reshape(-1, 8).T, (keys & np.uint64(255)).astype("u1")[None]]
+    return zstandard.compress(np.concatenate(planes).tobytes(), 1)
 
 
 def unpack_keys(blob: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(blob), "u1").reshape(8, -1).T).view("u8").ravel()
+    planes = np.frombuffer(zstandard.decompress(blob), "u1").reshape(9, -1)
+    steps = np.ascontiguousarray(planes[:8].T).view("u8").ravel()
+    return np.cumsum(steps, dtype="u8") << np.uint64(8) | planes[8]
+
+
+def pack_counts(n: np.ndarray) -> bytes:
+    return zstandard.compress(n.astype("i8").view("u1").reshape(-1, 8).T.tobytes(), 3)
+
+
+def unpack_counts(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(blob), "u1").reshape(8, -1).T).view("i8").ravel()
 
 
 def answer(code: Code, requests: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
@@ -341,46 +356,57 @@ def pack(docs: DataFrame) -> DataFrame:
     return cut_lineage(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ddl))
 
 
-def look_up(packed: DataFrame, code: Code) -> DataFrame:
-    """``chunk, answers``: for each packed row the log odds of its own contexts, counted over all counted documents.
+def check_bits(size: int) -> int:
+    """Bits of a context's hash: enough that of ``size`` contexts one in some 4000 meets another."""
+    return min(56, 12 + max(size, 1 << 20).bit_length())
+
+
+def look_up(packed: DataFrame, code: Code, size: int) -> DataFrame:
+    """``kind, chunk, bucket, odds``: for each packed row the log odds of its own contexts, counted over all counted documents.
+
+    ``size``: bytes of all texts.
 
     A row sends each of its different contexts once, however often it occurs, in a blob for each bucket, so a frequent context
     is a hot key nowhere. The number of buckets follows the bytes of text; there are never more blobs than contexts.
     """
-    size = packed.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, s: a + s))).first()[0] or 0
-    buckets = min(1 + size // BUCKET_BYTES, 1 << 24)
+    buckets, bits = min(1 + size // BUCKET_BYTES, 1 << 24), check_bits(size)
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for r, texts in _texts(frame):
-                reading = Reading(texts)
+                reading = Reading(texts, bits)
                 n = reading.n if r.kind == COUNTED else np.zeros_like(reading.n)
-                goes_to = ((reading.keys >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype("i8")
+                goes_to = ((reading.keys >> np.uint64(bits - 16)) * np.uint64(buckets) >> np.uint64(24)).astype("i8")
                 begins = np.flatnonzero(np.diff(goes_to, prepend=-1))
                 cuts = list(zip(begins, [*begins[1:], len(goes_to)]))
                 yield pd.DataFrame(
                     {
                         "bucket": goes_to[begins],
+                        "kind": r.kind,
                         "chunk": r.chunk,
                         "keys": [pack_keys(reading.keys[a:b]) for a, b in cuts],
-                        "n": [zstandard.compress(n[a:b].tobytes(), 1) for a, b in cuts],
+                        "n": [pack_counts(n[a:b]) for a, b in cuts],
                     }
                 )
 
     def reply(frame: pd.DataFrame) -> pd.DataFrame:
-        counts = [np.frombuffer(zstandard.decompress(n), "i4") for n in frame["n"]]
+        counts = [unpack_counts(n) for n in frame["n"]]
         odds = answer(code, [unpack_keys(k) for k in frame["keys"]], counts)
-        return pd.DataFrame({"chunk": frame["chunk"], "bucket": frame["bucket"], "odds": [zstandard.compress(o.tobytes(), 1) for o in odds]})
+        return frame[["kind", "chunk", "bucket"]].assign(odds= [zstandard.compress(o.tobytes(), 1) for o in odds])
+
+    sent = packed.select("kind", "chunk", "sizes", "blob").mapInPandas(send, "bucket long, kind int, chunk long, keys binary, n binary")
+    return cut_lineage(sent.groupBy("bucket").applyInPandas(reply, "kind int, chunk long, bucket long, odds binary"))
+
 
-    sent = packed.select("kind", "chunk", "sizes", "blob").mapInPandas(send, "bucket long, chunk long, keys binary, n binary")
-    replies = cut_lineage(sent.groupBy("bucket").applyInPandas(reply, "chunk long, bucket long, odds binary"))
+def by_chunk(replies: DataFrame) -> DataFrame:
+    """``chunk, answers``: all a packed row got, in the order of its keys."""
     return replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "odds"))).alias("answers"))
 
 
-def read(code: Code, row, texts: list[bytes]) -> Reading:
+def read(code: Code, bits: int, row, texts: list[bytes]) -> Reading:
     """The texts of a packed row with the answers it got."""
     odds = b"".join(zstandard.decompress(a["odds"]) for a in row.answers)
-    return Reading(texts).prepare(code, np.frombuffer(odds, "i1"))
+    return Reading(texts, bits).prepare(code, np.frombuffer(odds, "i1"))
 
 
 def byte_code(packed: DataFrame) -> Code:
@@ -389,17 +415,18 @@ def byte_code(packed: DataFrame) -> Code:
     return Code(seen.treeAggregate(np.zeros(256, "i8"), np.add, np.add))
 
 
-def tune(packed: DataFrame, answers: DataFrame, code: Code) -> Model:
+def tune(packed: DataFrame, replies: DataFrame, code: Code, bits: int) -> Model:
     """The weights and the refinement each text starts from, fitted on the tuning documents, none of which is counted.
 
     The driver gets sums of a fixed size: a small matrix a gate, and two numbers a cell of the refinement.
     """
     model, width = Model(code), len(ORDERS) + 1
+    answers = by_chunk(replies.where(F.col("kind") == TUNING))
     rows = cut_lineage(packed.where(F.col("kind") == TUNING).select("chunk", "sizes", "blob").join(answers, "chunk"))
 
     def decisions(frame: pd.DataFrame, model: Model):
         for r, texts in _texts(frame):
-            reading = read(code, r, texts)
+            reading = read(code, bits, r, texts)
             for lo in range(0, len(reading.symbols), 1 << 17):
                 at = np.arange(lo, min(lo + (1 << 17), len(reading.symbols)))
                 _, node, sign, inputs, gate = model.decisions(reading, at)
@@ -414,17 +441,19 @@ def tune(packed: DataFrame, answers: DataFrame, code: Code) -> Model:
         out = rows.mapInPandas(run, "sums binary").rdd.map(lambda r: np.frombuffer(r["sums"]))
         return out.treeAggregate(np.zeros(int(np.prod(shape))), np.add, np.add).reshape(shape)
 
-    for _ in range(4):  # Newton steps of a logistic regression for each gate
+    for _ in range(3):  # Newton steps of a logistic regression for each gate
 
         def curvature(frame: pd.DataFrame, model=model) -> np.ndarray:
             total = np.zeros((GATES, width, width + 1))
             for _, _, x, gate, z in decisions(frame, model):
                 missed = 1 / (1 + np.exp(np.clip(z, -80, 80)))
-                for g in range(GATES):
-                    mine = gate == g
-                    xs, m = x[:, mine].astype("f8"), missed[mine]
-                    total[g, :, :-1] += (xs * (m * (1 - m))) @ xs.T
-                    total[g, :, -1] += xs @ m
+                bend = missed * (1 - missed)
+                for p in range(width):
+                    total[:, p, -1] += np.bincount(gate, x[p] * missed, GATES)
+                    bent = x[p] * bend
+                    for q in range(p, width):
+                        total[:, p, q] += np.bincount(gate, bent * x[q], GATES)
+                        total[:, q, p] = total[:, p, q]
             return total
 
         sums = summed(curvature, (GATES, width, width + 1))
@@ -442,18 +471,44 @@ def tune(packed: DataFrame, answers: DataFrame, code: Code) -> Model:
     return Model(code, model.weights, np.log((one + 20 * prior) / (zero + 20 * (1 - prior))).reshape(256, BUCKETS).astype("f4"))
 
 
-def word_counts(packed: DataFrame) -> DataFrame:
-    """``chunk, word, n``: the different words of each packed row and how often training documents in it hold them."""
+def word_counts(packed: DataFrame, size: int) -> DataFrame:
+    """``chunk, bucket, n, total, new``: how often training documents hold each word of a packed row, in the order of the row's
+    words (by bucket, then by their bytes). ``total`` and ``new``: all tokens and different words that training documents have
+    in the bucket, given on one row of it and 0 on the others. The words go the way of the contexts, see ``look_up``.
+    """
+    buckets = 1 + size // BUCKET_BYTES
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for r, texts in _texts(frame):
                 counts = Counter(w for t in texts for w in t.split())
                 counts[END] = len(texts)
-                keep = 0 if r.kind == HELD_OUT else 1
-                yield pd.DataFrame({"chunk": r.chunk, "word": list(counts), "n": np.fromiter(counts.values(), "i8") * keep})
+                rows = []
+                for b, words in by_bucket(counts, buckets):
+                    n = np.array([counts[w] if r.kind != HELD_OUT else 0 for w in words])
+                    rows.append((b, r.chunk, zstandard.compress(b" ".join(words), 3), pack_counts(n)))
+                yield pd.DataFrame(rows, columns=["bucket", "chunk", "words", "n"])
+
+    def reply(frame: pd.DataFrame) -> pd.DataFrame:
+        requests = [zstandard.decompress(w).split(b" ") for w in frame["words"]]
+        sums: Counter = Counter()
+        for words, n in zip(requests, frame["n"]):
+            for w, c in zip(words, unpack_counts(n).tolist()):
+                sums[w] += c
+        out = frame[["chunk", "bucket"]].assign(n=[pack_counts(np.array([sums[w] for w in words])) for words in requests], total=0, new=0)
+        out.iloc[0, 3:] = sums.total(), sum(c > 0 for c in sums.values())
+        return out
+
+    sent = packed.select("kind", "chunk", "sizes", "blob").mapInPandas(send, "bucket long, chunk long, words binary, n binary")
+    return cut_lineage(sent.groupBy("bucket").applyInPandas(reply, "chunk long, bucket long, n binary, total long, new long"))
 
-    return cut_lineage(packed.select("kind", "chunk", "sizes", "blob").mapInPandas(run, "chunk long, word binary, n long"))
+
+def by_bucket(words, buckets: int) -> list[tuple[int, list[bytes]]]:
+    """Different words by bucket, sorted within; a word holds no white space, but for the end, which is a line feed."""
+    out: dict[int, list[bytes]] = {}
+    for w in sorted(words):
+        out.setdefault(zlib.crc32(w) % buckets, []).append(w)
+    return sorted(out.items())
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -464,27 +519,26 @@ def score_texts(docs: DataFrame) -> DataFrame:
     an empty text, which has just the end. Each row is scored on its own, so rows that are equal have equal scores.
     """
     packed = pack(docs)
-    words = word_counts(packed)
-    counts = cut_lineage(words.groupBy("word").agg(F.sum("n").alias("c")))
-    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    size = packed.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, s: a + s))).first()[0] or 0
+    counts = word_counts(packed, size)
+    sums = counts.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("new"), F.lit(0)).alias("v")).first()
     n, v = sums["n"], sums["v"]
-    code = byte_code(packed)
-    answers = look_up(packed, code)
-    shared = docs.sparkSession.sparkContext.broadcast(tune(packed, answers, code))
-    # The counts a row needs: no more than its different words. A frequent word is in many rows; both sides are tables, so
-    # that adaptive execution can split it.
-    near = words.select("chunk", "word").join(counts, "word").groupBy("chunk").agg(F.collect_list("word").alias("words"), F.collect_list("c").alias("cs"))
-    joined = packed.select("kind", "chunk", "ids", "sizes", "blob").join(near, "chunk").join(answers, "chunk")
+    code, bits, word_buckets = byte_code(packed), check_bits(size), 1 + size // BUCKET_BYTES
+    replies = look_up(packed, code, size)
+    shared = docs.sparkSession.sparkContext.broadcast(tune(packed, replies, code, bits))
+    near = counts.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("cs"))
+    joined = packed.select("kind", "chunk", "ids", "sizes", "blob").join(near, "chunk").join(by_chunk(replies), "chunk")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for frame in frames:
             for r, texts in _texts(frame):
-                c = dict(zip(map(bytes, r.words), r.cs))
+                words = by_bucket({w for t in texts for w in t.split()} | {END}, word_buckets)
+                c = {w: k for (_, ws), got in zip(words, r.cs) for w, k in zip(ws, unpack_counts(got["n"]).tolist())}
                 logs = {w: np.log10(k + 1) for w, k in c.items()}
                 floor = np.log10(n + v + 1)
                 rows = []
-                for doc_id, text, cost in zip(r.ids, texts, model.costs(read(model.code, r, texts))):
+                for doc_id, text, cost in zip(r.ids, texts, model.costs(read(model.code, bits, r, texts))):
                     tokens = [*text.split(), END]
                     known = sum(1 for w in tokens if c[w])
                     base = sum(map(logs.__getitem__, tokens)) - len(tokens) * floor
