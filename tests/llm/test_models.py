@@ -152,3 +152,14 @@ def test_word_contexts_have_no_greatest_length():
 def test_keys_round_trip():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 1000).astype("u8"))
     assert (unpack_keys(pack_keys(keys)) == keys).all()
+
+
+def test_scores_of_no_documents(docs_of, folder_of, spark):
+    assert QUERIES["op1_lm_score"](spark, folder_of(documents=docs_of([]))).collect() == []
+
+
+def test_scores_without_training_documents(docs_of, folder_of, spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    (row,) = QUERIES["op1_lm_score"](spark, folder_of(documents=docs_of([(held, "a b a", "s")]))).collect()
+    assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (True, 4, 0, 0, 0.0)
+    assert row["score"] < 0
