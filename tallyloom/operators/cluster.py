@@ -143,56 +143,95 @@ def fit_kmeans_grouped(
 ) -> DataFrame:
     """k-means within every group, for every k, all at once: ``group, k, cluster, <cols>, n, inertia``.
 
-    Points are reduced to distinct ones with weights, and each round adds up new centres for all models. The
-    centres are a table that is joined. ``inertia`` is that of the model; the best of ``n_init`` starts is kept.
+    Points are reduced to distinct ones with weights and packed into blocks of one group. Each round joins the
+    blocks with the centres of their group, adds up new centres for all models block by block, and then over all
+    blocks. ``inertia`` is that of the model; the best of ``n_init`` starts is kept. A null group has no model.
     """
     points = df.select(group, *[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-    points = cut_lineage(points.groupBy(group, *cols).agg(F.count("*").alias("n")), spread=True)
+    points = cut_lineage(points.groupBy(group, *cols).agg(F.count("*").alias("n")))
+    sizes = points.where(F.col(group).isNotNull()).groupBy(group).agg(F.count("*").alias("_size"))
+    # Groups of any type go by their number.
+    groups = cut_lineage(enumerate_rows(sizes, group, name="_g"))
     centre = F.array(*cols)
     starts = None
     for start in range(n_init):
         pick = F.row_number().over(W.partitionBy(group).orderBy(unit_hash(*[F.col(c) for c in cols], seed=seed + start), *cols))
         ranked = points.select(group, centre.alias("centre"), pick.alias("rank")).where(F.col("rank") <= max(ks))
-        for k in ks:
-            rows = ranked.where(F.col("rank") <= k).select(
-                group, F.lit(k).alias("k"), F.lit(start).alias("start"), (F.col("rank") - 1).alias("cluster"), "centre"
-            )
-            starts = rows if starts is None else starts.unionByName(rows)
+        ranked = ranked.withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks]))).where(F.col("rank") <= F.col("k"))
+        rows = ranked.join(groups, group).select("_g", "k", F.lit(start).alias("start"), (F.col("rank") - 1).alias("cluster"), "centre")
+        starts = rows if starts is None else starts.unionByName(rows)
     centres = cut_lineage(starts)
-    key = [group, "k", "start", "cluster"]
+    blocks = _point_blocks(points, groups, group, cols)
+    key = ["_g", "k", "start", "cluster"]
 
     for _ in range(max_iter):
-        moved = _sums(points, centres, group, cols).select(*key, F.transform("sums", lambda v: v / F.col("n")).alias("to"))
+        moved = _sums(blocks, centres, len(cols)).select(*key, F.transform("sums", lambda v: v / F.col("n")).alias("to"))
         step = cut_lineage(centres.join(moved, key, "left"))
         gaps = F.zip_with("centre", F.coalesce("to", "centre"), lambda a, b: (a - b) * (a - b))
         shift = step.agg(F.max(F.array_max(gaps))).first()[0]
         centres = step.select(*key, F.coalesce("to", "centre").alias("centre"))
         if shift is None or shift <= tol * tol:
             break
-    found = cut_lineage(_sums(points, centres, group, cols).select(*key, "n", "cost"))
-    cost = found.groupBy(group, "k", "start").agg(F.sum("cost").alias("inertia"))
-    best = cost.groupBy(group, "k").agg(F.min(F.struct("inertia", "start")).alias("_b"))
-    best = best.select(group, "k", F.col("_b.start").alias("start"), F.col("_b.inertia").alias("inertia"))
-    table = centres.join(best, [group, "k", "start"]).join(found.drop("cost"), key, "left").fillna(0, ["n"])
+    found = cut_lineage(_sums(blocks, centres, len(cols)).select(*key, "n", "cost"))
+    cost = found.groupBy("_g", "k", "start").agg(F.sum("cost").alias("inertia"))
+    best = cost.groupBy("_g", "k").agg(F.min(F.struct("inertia", "start")).alias("_b"))
+    best = best.select("_g", "k", F.col("_b.start").alias("start"), F.col("_b.inertia").alias("inertia"))
+    table = centres.join(best, ["_g", "k", "start"]).join(found.drop("cost"), key, "left").fillna(0, ["n"]).join(groups, "_g")
     return table.select(group, "k", "cluster", *[F.col("centre")[i].alias(c) for i, c in enumerate(cols)], "n", "inertia")
 
 
-def _sums(points: DataFrame, centres: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
-    """``group, k, start, cluster, n, cost, sums``: points meet one row of models per group."""
-    models = centres.groupBy(group, "k", "start").agg(F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("m"))
-    packed = models.groupBy(group).agg(F.collect_list(F.struct("k", "start", "m")).alias("models"))
-    rows = points.join(packed, group).select(group, *cols, "n", F.explode("models").alias("model"))
+def _point_blocks(points: DataFrame, groups: DataFrame, group: str, cols: Sequence[str], block: int = 256) -> DataFrame:
+    """``_g, x, w``: about ``block`` points of one group, coordinate by coordinate, and their weights."""
+    part = F.pmod(F.xxhash64(*cols), F.ceil(F.col("_size") / block)).alias("_part")
+    dealt = points.join(groups, group).select("_g", part, F.struct(*[F.col(c).alias(f"x{i}") for i, c in enumerate(cols)], "n").alias("p"))
+    packed = dealt.groupBy("_g", "_part").agg(F.collect_list("p").alias("p"))
+    x = F.concat(*[F.col(f"p.x{i}") for i in range(len(cols))])
+    return cut_lineage(packed.select("_g", x.alias("x"), F.col("p.n").alias("w")), spread=True)
 
-    def gap(o: Column) -> Column:
-        parts = [(F.col(c) - o["centre"][i]) * (F.col(c) - o["centre"][i]) for i, c in enumerate(cols)]
-        return F.struct(sum(parts[1:], parts[0]).alias("d"), o["cluster"].alias("cluster"))
-
-    best = F.array_min(F.transform("model.m", gap))
-    placed = rows.select(group, "model.k", "model.start", *cols, "n", best.alias("_best"))
-    return placed.groupBy(group, "k", "start", F.col("_best.cluster").alias("cluster")).agg(
-        F.sum("n").alias("n"),
-        F.sum(F.col("_best.d") * F.col("n")).alias("cost"),
-        F.array(*[F.sum(F.col(c) * F.col("n")) for c in cols]).alias("sums"),
+
+def _closest(gap: np.ndarray) -> np.ndarray:
+    """Index of the smallest number of each row (ties: first one); NaN, the gap of infinite numbers, is the largest."""
+    best = gap.argmin(axis=1)
+    for i in np.flatnonzero(np.isnan(gap[np.arange(len(gap)), best])):
+        best[i] = min(range(gap.shape[1]), key=lambda j: (np.isnan(gap[i, j]), gap[i, j]))
+    return best
+
+
+def _sums(blocks: DataFrame, centres: DataFrame, width: int) -> DataFrame:
+    """``_g, k, start, cluster, n, cost, sums``: blocks of points meet one row of all centres of their group."""
+    models = centres.groupBy("_g").agg(F.sort_array(F.collect_list(F.struct("k", "start", "cluster", "centre"))).alias("m"))
+    models = models.select("_g", F.col("m.k").alias("k"), F.col("m.start").alias("start"), F.col("m.cluster").alias("cluster"), F.flatten("m.centre").alias("c"))
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            made = []
+            for p in frame.itertuples(index=False):
+                x, w, c = np.asarray(p.x, float).reshape(width, -1), np.asarray(p.w, float), np.asarray(p.c, float).reshape(-1, width)
+                with np.errstate(invalid="ignore", over="ignore"):
+                    gap = (x[0][:, None] - c[None, :, 0]) ** 2
+                    for i in range(1, width):
+                        gap += (x[i][:, None] - c[None, :, i]) ** 2
+                    first = np.flatnonzero(np.r_[True, (np.diff(p.k) != 0) | (np.diff(p.start) != 0)])
+                    at = np.stack([lo + _closest(gap[:, lo:hi]) for lo, hi in zip(first, np.r_[first[1:], len(c)])])
+                    slot = at.ravel()
+
+                    def total(values: np.ndarray, slot: np.ndarray = slot, n: int = len(c)) -> np.ndarray:
+                        return np.bincount(slot, values.ravel(), n)
+
+                    each = np.broadcast_to(w, at.shape)
+                    cost = total(gap[np.arange(len(w)), at] * w)
+                    sums = [total(np.broadcast_to(x[i] * w, at.shape)) for i in range(width)]
+                n = total(each)
+                some = n > 0
+                made.append((np.full(some.sum(), p[0]), *(np.asarray(v)[some] for v in (p.k, p.start, p.cluster, n, cost, *sums))))
+            if made:
+                yield pd.DataFrame({name: np.concatenate(v) for name, v in zip(names, zip(*made))})
+
+    names = ["_g", "k", "start", "cluster", "n", "cost", *[f"s{i}" for i in range(width)]]
+    kinds = "_g long, k int, start int, cluster int, n long, cost double, " + ", ".join(f"s{i} double" for i in range(width))
+    found = blocks.join(models, "_g").select("_g", "x", "w", "k", "start", "cluster", "c").mapInPandas(add, kinds)
+    return found.groupBy("_g", "k", "start", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(f"s{i}") for i in range(width)]).alias("sums")
     )
 
 

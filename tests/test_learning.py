@@ -128,6 +128,29 @@ def test_grouped_kmeans_reaches_a_fixed_point(blobs):
         assert model["inertia"].iat[0] == pytest.approx(gap.min(axis=1).sum(), rel=1e-3)
 
 
+def test_points_of_a_group_are_packed_into_blocks(spark):
+    rng = np.random.default_rng(6)
+    rows = pd.DataFrame({"g": rng.choice(["a", "b"], 900, p=[0.9, 0.1]), "x": rng.integers(0, 40, 900).astype(float), "y": rng.integers(0, 40, 900).astype(float)})
+    df = spark.createDataFrame(rows).unionByName(spark.createDataFrame([(None, 1.0, 1.0), ("c", None, 2.0), ("d", 3.0, 4.0)], "g string, x double, y double"))
+    points = df.dropna(subset=["x", "y"]).groupBy("g", "x", "y").agg(F.count("*").alias("n"))
+    groups = spark.createDataFrame([("a", 0, 700), ("b", 1, 90), ("d", 2, 1)], "g string, _g long, _size long")
+    blocks = cluster._point_blocks(points, groups, "g", ["x", "y"], 50).collect()
+    assert len(blocks) <= 17 and max(len(b["w"]) for b in blocks) < 100
+    found = sorted((b["_g"], *p) for b in blocks for p in zip(b["x"][: len(b["w"])], b["x"][len(b["w"]) :], b["w"]))
+    want = points.join(groups, "g").select("_g", "x", "y", "n").collect()
+    assert found == sorted(map(tuple, want))
+    got = cluster.fit_kmeans_grouped(df, "g", ["x", "y"], [1, 3], n_init=2).toPandas()
+    assert got.groupby(["g", "k"])["n"].sum().to_dict() == {(g, k): n for g, n in [*rows["g"].value_counts().items(), ("d", 1)] for k in (1, 3)}
+    one = got[got["k"] == 1].set_index("g")
+    np.testing.assert_allclose(one.loc[["a", "b"], ["x", "y"]], rows.groupby("g")[["x", "y"]].mean())
+
+
+def test_a_gap_that_is_no_number_is_the_largest():
+    nan, inf = float("nan"), float("inf")
+    gaps = np.array([[nan, inf, inf], [nan, 2, 2], [nan, nan, nan], [3, 1, nan]])
+    assert cluster._closest(gaps).tolist() == [1, 1, 0, 1]
+
+
 def plain_silhouette(x, label):
     gap = np.sqrt(((x[:, None, :] - x[None]) ** 2).sum(axis=2))
     out = []
