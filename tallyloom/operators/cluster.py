@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -62,21 +64,26 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, n_init: int = 1, seed
     return _fit_many(df, cols, [k], n_init, seed, max_iter)[0]
 
 
-def _fit_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int], n_init: int, seed: int, max_iter: int) -> list[CentreFit]:
+def _fit_many(
+    df: DataFrame, cols: Sequence[str], ks: Sequence[int], n_init: int, seed: int, max_iter: int, parallel: int = 3
+) -> list[CentreFit]:
     points = cut_lineage(weighted_points(df, cols), spread=True)
     made = VectorAssembler(inputCols=list(cols), outputCol="features").transform(points)
     # Not cached here: each fit caches its own unpacked vectors, which is much faster to iterate over.
     data = made.select("features", "n")
-    fits = []
-    for k in ks:
+
+    def fit(k: int) -> CentreFit:
         best = None
         for start in range(n_init):
             model = KMeans(k=k, seed=seed + start, maxIter=max_iter, weightCol="n").fit(data)
             if best is None or model.summary.trainingCost < best.summary.trainingCost:
                 best = model
         centres = sorted(tuple(float(v) for v in c) for c in best.clusterCenters())
-        fits.append(CentreFit(tuple(cols), tuple(centres), float(best.summary.trainingCost)))
-    return fits
+        return CentreFit(tuple(cols), tuple(centres), float(best.summary.trainingCost))
+
+    # The fits are independent: the waits between the many short jobs of one are filled by others.
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(inheritable_thread_target(fit), ks))
 
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int], n_init: int = 1, seed: int = 0, max_iter: int = 20) -> DataFrame:

@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -110,6 +112,20 @@ def test_kmeans_finds_two_columns(spark):
     assert table[0]["inertia"] > table[1]["inertia"] and 0 < table[0]["silhouette"] < 1
 
 
+def test_fits_of_an_elbow_run_side_by_side(spark, monkeypatch):
+    met = threading.Barrier(2)
+
+    class Meeting(cluster.KMeans):
+        def fit(self, data):
+            met.wait(60)
+            return super().fit(data)
+
+    alone = [cluster.fit_kmeans(two_columns(spark), ["x", "y"], k).inertia for k in (2, 3)]
+    monkeypatch.setattr(cluster, "KMeans", Meeting)
+    found = cluster.elbow(two_columns(spark), ["x", "y"], [2, 3]).collect()
+    assert [(r["k"], r["inertia"]) for r in found] == [(2, pytest.approx(alone[0])), (3, pytest.approx(alone[1]))]
+
+
 def test_minibatch_comes_close(blobs):
     fit = cluster.fit_minibatch_kmeans(blobs, list("abcd"), 3, batch=100, steps=6, seed=2)
     whole = cluster.fit_kmeans(blobs, list("abcd"), 3, n_init=3)
