@@ -290,41 +290,66 @@ def as_array(cols: Sequence[str] | str) -> Column:
     return F.col(cols).cast("array<double>") if isinstance(cols, str) else F.array(*[F.col(c).cast("double") for c in cols])
 
 
-def silhouette_values(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, block: int = 256, wide: int = 8192) -> DataFrame:
+def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of ``x`` to all rows of ``y``.
+
+    A matrix product gives them but for pairs so close, or so odd, that it loses digits: these are compared once more.
+    """
+    whole = x[np.isfinite(x).all(axis=1)]
+    middle = whole.mean(axis=0) if len(whole) else np.zeros(x.shape[1])
+    with np.errstate(invalid="ignore", over="ignore"):
+        p, q = x - middle, y - middle
+        size = (p * p).sum(axis=1)[:, None] + (q * q).sum(axis=1)
+        gap = p @ q.T
+        gap *= -2
+        gap += size
+        size *= 1e-4
+        rows, cols = np.nonzero(~(gap > size))
+        for lo in range(0, len(rows), 8192):
+            r, c = rows[lo : lo + 8192], cols[lo : lo + 8192]
+            gap[r, c] = ((x[r] - y[c]) ** 2).sum(axis=1)
+        return np.sqrt(gap, out=gap)
+
+
+def silhouette_values(df: DataFrame, id_col: str, cols: Sequence[str] | str, label: str, block: int = 256, wide: int | None = None) -> DataFrame:
     """``id, label, a, b, silhouette`` of every row with Euclidean distances to all others.
 
-    Rows are cut into blocks; each pair of a block and a wide block is one task row that adds up the distances per row and
-    cluster, so the pairs of rows are never rows of a table. The work is quadratic by nature. A row alone in its cluster, or with
+    Rows are cut into wide blocks; each pair of them is one task row that adds up the distances per row and cluster, for the
+    rows of both, ``block`` rows at a time, so the pairs of rows are never rows of a table. A wide block is a 16th of the rows,
+    within bounds that keep a pair in a task's memory. The work is quadratic by nature. A row alone in its cluster, or with
     no other cluster, scores 0; rows without a label or a vector take no part.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(label).alias("label"), as_array(cols).alias("v")).dropna()
     kinds = cut_lineage(enumerate_rows(rows.groupBy("label").agg(F.count("*").alias("size")), "label", name="kind"))
     placed = cut_lineage(enumerate_rows(rows.join(kinds.select("label", "kind"), "label"), ["id", "label"], name="n"))
+    last = placed.agg(F.max("n")).first()[0] or 0
+    wide = wide or min(32768, max(2048, last // 16 + 1))
     held = F.sort_array(F.collect_list(F.struct("n", "kind", "v")))
-
-    def packed(size: int, name: str) -> DataFrame:
-        made = placed.groupBy(F.floor(F.col("n") / size).alias(name)).agg(held.alias("r"))
-        return made.select(name, F.col("r.kind").alias(f"{name}_kinds"), F.flatten("r.v").alias(f"{name}_v"))
-
-    last = placed.agg(F.max("n")).first()[0]
-    small = packed(block, "a").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit((last or 0) // wide)).cast("array<bigint>")))
-    pairs = small.join(cut_lineage(packed(wide, "b")), "b")
-    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+    packed = placed.groupBy(F.floor(F.col("n") / wide).alias("a")).agg(held.alias("r"))
+    packed = cut_lineage(packed.select("a", F.col("r.kind").alias("a_kinds"), F.flatten("r.v").alias("a_v")))
+    other = packed.toDF("b", "b_kinds", "b_v")
+    count = last // wide + 1
+    # Each pair of blocks once, and few of them in a task.
+    pairs = packed.withColumn("b", F.explode(F.sequence("a", F.lit(count - 1).cast("bigint")))).join(other, "b")
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism, count * (count + 1) // 2)
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for p in frame.itertuples():
-                x, y = (np.asarray(v, float).reshape(len(k), -1) for v, k in ((p.a_v, p.a_kinds), (p.b_v, p.b_kinds)))
-                there, at = np.unique(np.asarray(p.b_kinds), return_inverse=True)
-                member = (at[:, None] == np.arange(len(there))).astype(float)
-                for lo in range(0, len(x), 128):
-                    part = x[lo : lo + 128]
-                    gap = np.zeros((len(part), len(y)))
-                    for j in range(x.shape[1]):
-                        gap += (part[:, j, None] - y[None, :, j]) ** 2
-                    sums = np.sqrt(gap) @ member
-                    n = p.a * block + lo + np.arange(len(part))
-                    yield pd.DataFrame({"n": np.repeat(n, len(there)), "other": np.tile(there, len(part)), "total": sums.ravel()})
+                (x, own), (y, far) = ((np.asarray(v, float).reshape(len(k), -1), np.unique(k, return_inverse=True)) for v, k in ((p.a_v, p.a_kinds), (p.b_v, p.b_kinds)))
+                mine, theirs = ((at[:, None] == np.arange(len(there))).astype(float) for there, at in (own, far))
+                back = np.zeros((len(y), len(own[0])))
+                for lo in range(0, len(x), block):
+                    part = slice(lo, lo + block)
+                    gap = _distances(x[part], y)
+                    sums = gap @ theirs
+                    n = p.a * wide + lo + np.arange(len(sums))
+                    yield pd.DataFrame({"n": np.repeat(n, len(far[0])), "other": np.tile(far[0], len(sums)), "total": sums.ravel()})
+                    if p.a != p.b:
+                        back += gap.T @ mine[part]
+                if p.a != p.b:
+                    n = p.b * wide + np.arange(len(y))
+                    yield pd.DataFrame({"n": np.repeat(n, len(own[0])), "other": np.tile(own[0], len(y)), "total": back.ravel()})
 
     sums = pairs.repartition(tasks, "a", "b").mapInPandas(add, "n long, other long, total double")
     sums = sums.groupBy("n", "other").agg(F.sum("total").alias("total")).join(kinds.select(F.col("kind").alias("other"), "size"), "other")

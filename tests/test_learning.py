@@ -167,6 +167,15 @@ def test_a_gap_that_is_no_number_is_the_largest():
     assert cluster._closest(gaps).tolist() == [1, 1, 0, 1]
 
 
+def test_distances_keep_their_digits_far_from_zero():
+    rng = np.random.default_rng(7)
+    x = rng.normal(1e6, 1.0, (60, 5))
+    y = np.vstack([rng.normal(1e6, 1.0, (70, 5)), x[:9], x[9:12] + 1e-7, np.full((1, 5), np.nan), [[np.inf, 0, 0, 0, 0]]])
+    want = np.sqrt(((x[:, None, :] - y[None]) ** 2).sum(axis=2))
+    np.testing.assert_allclose(cluster._distances(x, y), want, rtol=1e-9, atol=0)
+    assert (cluster._distances(x, x).diagonal() == 0).all()
+
+
 def plain_silhouette(x, label):
     gap = np.sqrt(((x[:, None, :] - x[None]) ** 2).sum(axis=2))
     out = []
