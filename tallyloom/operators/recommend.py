@@ -86,28 +86,34 @@ def _combos(items: DataFrame, attrs: Sequence[str]) -> DataFrame:
     return cut_lineage(enumerate_rows(grouped, list(attrs), name="combo"))
 
 
-def _candidates(score: np.ndarray, left: np.ndarray, gone: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows (users) and columns (combinations) that can hold one of a user's n best unseen items.
+def _candidates(score: np.ndarray, out: tuple[np.ndarray, np.ndarray], gone: tuple[np.ndarray, np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (combinations, by their first item) and columns (users) that can hold one of a user's n best unseen items.
 
-    Every combination with unseen items holds at least one, so those below the n-th best score are out. Among equal scores
-    the items with the smallest numbers win: a combination whose first unseen item comes after n others cannot win, and
-    ``gone`` says where the first item is seen.
+    Every combination with unseen items holds at least one, so those below the n-th best score are out; ``out`` says where
+    all items are seen. Among equal scores the items with the smallest numbers win: a combination whose first unseen item
+    comes after n others cannot win, and ``gone`` says where the first item is seen. Only scores from the n-th best maximum
+    of 32 combinations up are looked at one by one, as the n-th best of all is no smaller.
     """
-    usable = np.where(left > 0, score, 0)
-    least = np.zeros(len(score), score.dtype) if score.shape[1] <= n else np.partition(usable, -n, axis=1)[:, -n]
-    better = (usable > least[:, None]) & (usable > 0)
-    rows, cols = np.nonzero(better)
-    equal_rows, equal_cols = np.nonzero((usable == least[:, None]) & (usable > 0))
-    if len(equal_rows):
-        order = np.lexsort((first[equal_cols], equal_rows))
-        equal_rows, equal_cols = equal_rows[order], equal_cols[order]
-        starts = np.flatnonzero(np.r_[True, equal_rows[1:] != equal_rows[:-1]])
-        sizes = np.diff(np.r_[starts, len(equal_rows)])
-        rank = np.arange(len(equal_rows)) - np.repeat(starts, sizes)
-        more = np.repeat(np.add.reduceat(gone[equal_rows, equal_cols], starts), sizes)
-        keep = rank < n + more
-        rows, cols = np.r_[rows, equal_rows[keep]], np.r_[cols, equal_cols[keep]]
-    return rows, cols
+    score[out] = 0
+    tops = np.maximum.reduceat(score, np.arange(0, len(score), 32), axis=0)
+    least = np.partition(tops, -n, axis=0)[-n] if len(tops) >= n else np.zeros(score.shape[1], score.dtype)
+    rows, cols = np.nonzero(score >= np.maximum(least, 1))
+    if not len(rows):
+        return rows, cols
+    # By user and falling score; equal scores stay in the order of their first items.
+    order = np.lexsort((-score[rows, cols], cols))
+    rows, cols = rows[order], cols[order]
+    value = score[rows, cols].astype("i8")
+    place = np.arange(len(rows))
+    new_user = np.r_[True, cols[1:] != cols[:-1]]
+    new_level = new_user | np.r_[True, value[1:] != value[:-1]]
+    level = np.flatnonzero(new_level)
+    user_start, level_start = np.flatnonzero(new_user)[np.cumsum(new_user) - 1], level[np.cumsum(new_level) - 1]
+    taken = np.zeros(score.shape, bool)
+    taken[gone] = True
+    more = np.add.reduceat(taken[rows, cols].astype("i8"), level)[np.cumsum(new_level) - 1]
+    keep = (level_start - user_start < n) & (place - level_start < n + more)
+    return rows[keep], cols[keep]
 
 
 def _block_scores(profile: DataFrame, seen: DataFrame, combos: DataFrame, attrs: Sequence[str], n: int, users: int, width: int) -> DataFrame:
@@ -140,30 +146,45 @@ def _block_scores(profile: DataFrame, seen: DataFrame, combos: DataFrame, attrs:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for p in frame.itertuples():
-                slots = np.asarray(p.slots, int).reshape(-1, arity)
-                size, first = np.asarray(p.sizes, "i8"), np.asarray(p.firsts)
-                us = np.asarray(p.us, int)
-                held = np.unique(us)
-                at = np.searchsorted(held, us)
-                matrix = np.zeros((len(held), int(slots.max()) + 1), "i8")
-                matrix[at, np.asarray(p.at_slots, int)] = np.asarray(p.ns, "i8")
-                score = sum(matrix[:, slots[:, k]] for k in range(arity))
-                left, gone = np.broadcast_to(size, score.shape).copy(), np.zeros(score.shape, bool)
+                slots, first = np.asarray(p.slots, int).reshape(-1, arity), np.asarray(p.firsts)
+                by_first = np.argsort(first, kind="stable")
+                # Values that nobody in the block likes share one row of zeros.
+                liked, row = np.unique(np.asarray(p.at_slots, int), return_inverse=True)
+                place = np.full(int(slots.max()) + 1, len(liked))
+                place[liked] = np.arange(len(liked))
+                slots = place[slots[by_first]]
+                held, at = np.unique(np.asarray(p.us, int), return_inverse=True)
+                ns = np.asarray(p.ns, "i8")
+                kind = "i4" if int(ns.max()) * arity < 2**31 else "i8"
+                hr = hc = hn = np.zeros(0, int)
+                hf = np.zeros(0, bool)
                 if p.hu is not None:
                     hu = np.asarray(p.hu, int)
                     some = np.isin(hu, held)
-                    hr, hc = np.searchsorted(held, hu[some]), np.asarray(p.hc, int)[some]
-                    left[hr, hc] -= np.asarray(p.hn, "i8")[some]
-                    gone[hr, hc] = np.asarray(p.hf, bool)[some]
-                rows, cols = _candidates(score, left, gone, np.argsort(np.argsort(first)), n)
-                yield pd.DataFrame({"ub": p.ub, "u": held[rows], "combo": p.cb * width + cols, "score": score[rows, cols], "first": first[cols]})
+                    back = np.argsort(by_first)
+                    hr, hc = np.searchsorted(held, hu[some]), back[np.asarray(p.hc, int)[some]]
+                    hn, hf = np.asarray(p.hn, "i8")[some], np.asarray(p.hf, bool)[some]
+                spent = np.asarray(p.sizes, "i8")[by_first][hc] <= hn
+                # So few users at a time that their scores stay in the processor's caches.
+                step = max(16, 2**20 // len(slots))
+                for lo in range(0, len(held), step):
+                    here, now = (at >= lo) & (at < lo + step), (hr >= lo) & (hr < lo + step)
+                    matrix = np.zeros((len(liked) + 1, min(step, len(held) - lo)), kind)
+                    matrix[row[here], at[here] - lo] = ns[here]
+                    score = matrix[slots[:, 0]]
+                    for k in range(1, arity):
+                        score += matrix[slots[:, k]]
+                    out, gone = ((hc[now & x], hr[now & x] - lo) for x in (spent, hf))
+                    rows, cols = _candidates(score, out, gone, n)
+                    which = by_first[rows]
+                    yield pd.DataFrame({"ub": p.ub, "u": held[lo + cols], "combo": p.cb * width + which, "score": score[rows, cols].astype("i8"), "first": first[which]})
 
     kind = dict(combos.dtypes)["first"]
     found = pairs.mapInPandas(run, f"ub long, u int, combo long, score long, first {kind}")
     return found.join(numbered, ["ub", "u"]).select("user", "combo", "score", "first")
 
 
-def content_scores(likes: DataFrame, items: DataFrame, attrs: Sequence[str], n: int, user_block: int = 512, combo_block: int = 2048) -> DataFrame:
+def content_scores(likes: DataFrame, items: DataFrame, attrs: Sequence[str], n: int, user_block: int = 512, combo_block: int = 16384) -> DataFrame:
     """``user, item, score, rank``: the n best unseen items of each user.
 
     The score adds up how often the user liked each attribute value of the item; items scoring 0 are left out,

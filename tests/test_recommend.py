@@ -72,6 +72,21 @@ def test_content_scores_with_a_user_who_took_nearly_all(spark, blocks):
     assert sorted((r["user"], r["item"], r["score"]) for r in found) == plain_content(likes, items, list("pqs"), 4)
 
 
+def test_candidates_hold_the_best_unseen_items():
+    rng = np.random.default_rng(8)
+    score = rng.integers(0, 6, (300, 40)).astype("i4")
+    score[:, 0], score[:, 1] = 0, 1
+    spent, seen = rng.random(score.shape) < 0.05, rng.random(score.shape) < 0.2
+    rows, cols = recommend._candidates(score.copy(), np.nonzero(spent), np.nonzero(seen), 7)
+    for user in range(40):
+        found = rows[cols == user]
+        usable = np.where(spent[:, user], 0, score[:, user])
+        least = max(np.sort(usable)[-7], 1)
+        equal = np.flatnonzero(usable == least)
+        assert {*np.flatnonzero(usable > least), *equal[: 7 + seen[equal, user].sum()]} - set(found) == set()
+        assert (usable[found] >= least).all() and len(found) == len(set(found)) <= 13 + seen[equal, user].sum()
+
+
 def test_content_scores_without_attributes_or_likes(spark):
     items = spark.createDataFrame([(1, "a", None), (2, "a", "b"), (3, "a", "b")], "item long, p string, q string")
     likes = spark.createDataFrame([(1, 2), (None, 3), (4, 99)], "user long, item long")
