@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.cluster import as_array, nearest
 from tallyloom.operators.features import kfold_assign
 from tallyloom.operators.networks import labelled_vectors, minibatches, perceptron_pass
-from tallyloom.session import scratch_path
+from tallyloom.session import cut_lineage, scratch_path
 
 Features = str | Sequence[str]
 
@@ -138,8 +138,13 @@ def fit_svm(
 ) -> MlFit:
     """Support vector machine with a linear, ``rbf`` (random features) or ``poly`` (expanded) kernel.
 
-    More than two classes are handled one against the rest.
+    More than two classes are handled one against the rest. The fits pass over the rows some hundred times, and each task
+    reports to the driver: so they start from a written table, not from the steps before, in a number of parts that
+    depends on the cluster and not on the rows.
     """
+    names = [features] if isinstance(features, str) else list(features)
+    df = cut_lineage(df.select(*dict.fromkeys([*names, label])))
+    df = df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
     rows = df.count()
     svm = LinearSVC(maxIter=max_iter, regParam=1.0 / (C * max(rows, 1)))
     stages: list[Any] = []

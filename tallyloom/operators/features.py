@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.order import Order, enumerate_rows
+from tallyloom.session import cut_lineage
 
 
 def label_codes(df: DataFrame, col: str) -> DataFrame:
@@ -151,7 +152,8 @@ def split_stratified(df: DataFrame, id_col: str, label: str, train: float, seed:
     """
     placed = enumerate_rows(df, [F.col(label), _draw(id_col, seed), F.col(id_col)], name="_pos")
     sizes = placed.groupBy(F.col(label).alias("_label")).agg(F.min("_pos").alias("_start"), F.bround(F.count("*") * F.lit(float(train))).alias("_train"))
-    dealt = placed.join(sizes, F.col(label).eqNullSafe(F.col("_label")))
+    # Written, so that its size is known: else the rows may be the side that is sent to every task.
+    dealt = placed.join(cut_lineage(sizes), F.col(label).eqNullSafe(F.col("_label")))
     first = F.col("_pos") - F.col("_start") < F.col("_train")
     return dealt.where(first).select(*df.columns), dealt.where(~first).select(*df.columns)
 
@@ -162,5 +164,5 @@ def kfold_assign(df: DataFrame, id_col: str, label: str, k: int, seed: int | Non
     placed = enumerate_rows(df, [F.col(label), key, F.col(id_col)], name="_pos")
     starts = placed.groupBy(F.col(label).alias("_label")).agg(F.min("_pos").alias("_start"))
     # Null is a label like any other.
-    dealt = placed.join(starts, F.col(label).eqNullSafe(F.col("_label")))
+    dealt = placed.join(cut_lineage(starts), F.col(label).eqNullSafe(F.col("_label")))
     return dealt.withColumn(name, ((F.col("_pos") - F.col("_start")) % k).cast("int")).drop("_pos", "_start", "_label")

@@ -176,6 +176,19 @@ def test_distances_keep_their_digits_far_from_zero():
     assert (cluster._distances(x, x).diagonal() == 0).all()
 
 
+def test_svm_starts_from_few_parts_of_a_written_table(blobs, monkeypatch):
+    seen = []
+    whole = classify._fit_ml
+    monkeypatch.setattr(classify, "_fit_ml", lambda df, *rest: seen.append(df) or whole(df, *rest))
+    classify.fit_svm(blobs.repartition(40), list("abcd"), "label", kernel="rbf", max_iter=2)
+    assert seen[0].rdd.getNumPartitions() <= 2 * blobs.sparkSession.sparkContext.defaultParallelism
+    train, test = features.split_stratified(blobs, "id", "label", 0.7)
+    for part in (train, test, features.kfold_assign(blobs, "id", "label", 3)):
+        # The sizes of the labels are read from a table, which is the smaller side of the join.
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" in plan and plan.count("Aggregate") <= 1
+
+
 def plain_silhouette(x, label):
     gap = np.sqrt(((x[:, None, :] - x[None]) ** 2).sum(axis=2))
     out = []
