@@ -33,13 +33,18 @@ def best_in_block(a: np.ndarray, b: np.ndarray, seen: tuple[np.ndarray, np.ndarr
     """Row, column and product of the n largest products of each row, without the pairs in ``seen``.
 
     A matrix product, whose rounding depends on its shape, finds candidates with some slack; their scores are summed alike.
+    Candidates start at the n-th best maximum of 16 columns, as the n-th best product of all is no smaller.
     """
     rough = a @ b.T
     rough[seen] = -np.inf
     if rough.shape[1] > n:
         slack = 1e-12 * np.linalg.norm(a, axis=1, keepdims=True) * np.linalg.norm(b, axis=1).max()
-        least = np.partition(rough, -n, axis=1)[:, -n, None]
-        rows, cols = np.nonzero((rough >= least - slack) & np.isfinite(rough))
+        wide = rough.shape[1] // 16
+        tops = rough if wide < n else rough[:, : 16 * wide].reshape(len(rough), 16, wide).max(axis=1)
+        least = np.partition(tops, -n, axis=1)[:, -n, None]
+        rows, cols = np.nonzero(rough >= least - slack)
+        finite = np.isfinite(rough[rows, cols])
+        rows, cols = rows[finite], cols[finite]
     else:
         rows, cols = np.nonzero(np.isfinite(rough))
     scores = (a[rows] * b[cols]).sum(axis=1)
@@ -72,11 +77,13 @@ def largest_products(users: DataFrame, items: DataFrame, seen: DataFrame, n: int
         for frame in frames:
             for p in frame.itertuples():
                 a, b = (np.asarray(x, float).reshape(-1, len(x) // len(of)) for x, of in ((p.vectors, p.places), (p.factors, p.ties)))
-                at = {int(x): k for k, x in enumerate(p.places)}
-                pairs = [(at[int(u)], int(i)) for u, i in zip(p.us, p.its) if int(u) in at] if p.us is not None else []
-                gone = tuple(np.array(pairs, int).reshape(-1, 2).T)
+                places = np.asarray(p.places)
+                us, its = (np.asarray(x, int) if x is not None else np.zeros(0, int) for x in (p.us, p.its))
+                still = np.isin(us, places)
+                # The places of a block are in order.
+                gone = np.searchsorted(places, us[still]), its[still]
                 rows, cols, scores = best_in_block(a, b, gone, np.asarray(p.ties), n)
-                yield pd.DataFrame({"ub": p.ub, "place": np.asarray(p.places)[rows], "ib": p.ib, "i": cols, "tie": np.asarray(p.ties)[cols], "score": scores})
+                yield pd.DataFrame({"ub": p.ub, "place": places[rows], "ib": p.ib, "i": cols, "tie": np.asarray(p.ties)[cols], "score": scores})
 
     best = None
     open_users = placed_users.select("ub", "place", "v", "length")

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import recommend
+from tallyloom.operators import products, recommend
 from tallyloom.operators.products import largest_products
 
 
@@ -30,6 +30,21 @@ def test_largest_products_are_those_of_all_pairs(spark, blocks):
         assert r["score"] == sum(x * y for x, y in zip(users[r["user"]], items[r["item"]]))
 
 
+def test_few_products_are_looked_at(monkeypatch):
+    """The numbers that are put in order are the maxima of 16 columns, and the lists stay those of all products."""
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(-3, 4, (50, 4)).astype(float), rng.integers(-3, 4, (1000, 4)).astype(float)
+    seen, tie = np.nonzero(rng.random((50, 1000)) < 0.1), rng.permutation(1000)
+    sizes, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda x, *rest, **more: sizes.append(x.size) or partition(x, *rest, **more))
+    rows, cols, scores = products.best_in_block(a, b, seen, tie, 6)
+    assert sum(sizes) <= 50 * 63
+    whole = a @ b.T
+    whole[seen] = -np.inf
+    want = [(u, i) for u in range(50) for i in np.lexsort((tie, -whole[u]))[:6]]
+    assert list(zip(rows.tolist(), cols.tolist())) == want and (scores == whole[rows, cols]).all()
+
+
 def test_largest_products_of_empty_tables(spark):
     none = spark.createDataFrame([], "user long, v array<double>")
     some = spark.createDataFrame([(1, [1.0])], "user long, v array<double>")
