@@ -1,10 +1,12 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 
+from tallyloom.llm import lm_scoring
 from tallyloom.llm.lm_scoring import MATCH, ORDERS, Code, Model, Reading, answer, context_hashes, pack_keys, unpack_keys
 from tallyloom.llm.quality import isotonic
 from tallyloom.llm.queries import QUERIES
@@ -163,3 +165,41 @@ def test_scores_without_training_documents(docs_of, folder_of, spark):
     (row,) = QUERIES["op1_lm_score"](spark, folder_of(documents=docs_of([(held, "a b a", "s")]))).collect()
     assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (True, 4, 0, 0, 0.0)
     assert row["score"] < 0
+
+
+def prose(seed, texts, words):
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 6))) for _ in range(120)]
+    return [" ".join(rng.choices(vocabulary, k=words)).encode() + b"\n" for _ in range(texts)]
+
+
+def test_reading_takes_little_memory_beside_the_text():
+    """Working memory is that of a block: once it was some 87 bytes for each byte of a packed row, and 70 for what comes after."""
+    texts = prose(5, 500, 1500)
+    size, code = sum(map(len, texts)), Code(np.arange(256))
+    tracemalloc.start()
+    r = Reading(texts)
+    reading = tracemalloc.get_traced_memory()[1] / size
+    tracemalloc.reset_peak()
+    r.prepare(code, np.zeros(code.length[(r.keys & np.uint64(255)).astype("i8")].sum(), "i1"))
+    prepared = tracemalloc.get_traced_memory()[1] / size
+    tracemalloc.stop()
+    assert reading < 45 and prepared < 50
+
+
+def test_blocks_of_a_row_make_no_difference(monkeypatch):
+    texts = [*prose(6, 40, 60), b"\n", b"abc abc abc abc abc\n", *prose(6, 10, 60)]
+    code = Code(np.bincount(np.frombuffer(b"".join(texts), "u1"), minlength=256))
+
+    def look():
+        r = Reading(texts)
+        r.prepare(code, answer(code, [r.keys], [r.n])[0])
+        return [r.keys, r.n, *r.codes, r.odds, r.begin, r.seen, r.foretold[r.seen], r.trust, Model(code).costs(r)]
+
+    whole = look()
+    monkeypatch.setattr(lm_scoring, "PIECE", 700)
+    monkeypatch.setattr(lm_scoring, "BLOCK", 2000)
+    monkeypatch.setattr(lm_scoring, "SLICE", 300)
+    monkeypatch.setattr(lm_scoring, "LANES", 7)
+    for a, b in zip(whole, look()):
+        np.testing.assert_array_equal(a, b)
