@@ -344,7 +344,7 @@ class Model:
             final += z
             final *= np.float32(-0.5)
             np.exp(np.minimum(final, np.float32(80)), out=final)
-            total[:active] -= np.add.reduceat(np.log(final + np.float32(1)), begins, dtype="f8")
+            total[:active] -= np.add.reduceat(np.log1p(final), begins, dtype="f8")
             if done + STEP >= sizes[0]:
                 break
             missed = final / (np.float32(1) + final)
@@ -583,20 +583,26 @@ def score_texts(docs: DataFrame) -> DataFrame:
     near = counts.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("cs"))
     joined = packed.select("kind", "chunk", "ids", "sizes", "blob").join(near, "chunk").join(by_chunk(replies), "chunk")
 
+    def by_words(r, texts: list[bytes]) -> Iterator[tuple[int, int, float]]:
+        """Tokens, known tokens and base score of each text."""
+        words = [w for _, ws in by_bucket({w for t in texts for w in t.split()} | {END}, word_buckets) for w in ws]
+        c = np.concatenate([unpack_counts(got["n"]) for got in r.cs])
+        known, logs = dict(zip(words, (c > 0).tolist())), dict(zip(words, np.log10(c + 1).tolist()))
+        floor = np.log10(n + v + 1)
+        for text in texts:
+            tokens = [*text.split(), END]
+            yield len(tokens), sum(map(known.__getitem__, tokens)), sum(map(logs.__getitem__, tokens)) - len(tokens) * floor
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for frame in frames:
             for r, texts in _texts(frame):
-                words = [w for _, ws in by_bucket({w for t in texts for w in t.split()} | {END}, word_buckets) for w in ws]
-                c = np.concatenate([unpack_counts(got["n"]) for got in r.cs])
-                known_word, logs = dict(zip(words, (c > 0).tolist())), dict(zip(words, np.log10(c + 1).tolist()))
-                floor = np.log10(n + v + 1)
-                rows = []
-                for doc_id, text, cost in zip(r.ids, texts, model.costs(read(model.code, bits, r, texts))):
-                    tokens = [*text.split(), END]
-                    known = sum(map(known_word.__getitem__, tokens))
-                    base = sum(map(logs.__getitem__, tokens)) - len(tokens) * floor
-                    rows.append((doc_id, r.kind == HELD_OUT, len(tokens), known, n, base, cost / np.log(10), -cost / np.log(2) / len(text)))
+                # The contexts of the row are gone when its words are looked at.
+                costs = model.costs(read(model.code, bits, r, texts))
+                rows = [
+                    (doc_id, r.kind == HELD_OUT, tokens, known, n, base, cost / np.log(10), -cost / np.log(2) / len(text))
+                    for doc_id, text, cost, (tokens, known, base) in zip(r.ids, texts, costs, by_words(r, texts))
+                ]
                 out = pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
                 yield out.astype({"doc_id": "Int64"})
 
