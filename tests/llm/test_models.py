@@ -203,3 +203,35 @@ def test_blocks_of_a_row_make_no_difference(monkeypatch):
     monkeypatch.setattr(lm_scoring, "LANES", 7)
     for a, b in zip(whole, look()):
         np.testing.assert_array_equal(a, b)
+
+
+def test_counted_and_held_out_texts_of_a_row():
+    """A row holds both; only the first texts are counted, and pairs are numbered as they first occur."""
+    texts = [*prose(7, 20, 30), b"\n", *prose(8, 9, 30)]
+    r, first, rest = Reading(texts, counted=12), Reading(texts[:12]), Reading(texts[12:])
+    assert (r.keys == np.union1d(first.keys, rest.keys)).all() and set(first.keys) < set(r.keys)
+    assert (r.n == [dict(zip(first.keys, first.n)).get(k, 0) for k in r.keys]).all()
+    assert all((np.diff(np.unique(c, return_index=True)[1]) > 0).all() for c in (r.codes[MATCH],))
+    code = Code(np.bincount(r.symbols, minlength=256))
+    odds = answer(code, [first.keys, r.keys], [first.n, 0 * r.n])[1]
+    r.prepare(code, odds)
+    one = Reading(texts[:12]).prepare(code, answer(code, [first.keys], [first.n])[0])
+    assert (Model(code).costs(r)[:12] == Model(code).costs(one)).all()
+
+
+def test_keys_of_one_context_round_trip():
+    for keys in (np.empty(0, "u8"), np.array([5], "u8"), np.arange(256, dtype="u8") + np.uint64(3 << 8), np.array([1 << 8, (1 << 64) - 1], "u8")):
+        assert (unpack_keys(pack_keys(keys)) == keys).all()
+
+
+def test_contexts_take_less_time_than_a_hash_of_each():
+    """Contexts are hashed once for each different one: once it was once for each byte and predictor."""
+    hashed = []
+    once = lm_scoring.mixed
+    texts = prose(9, 40, 400)
+    try:
+        lm_scoring.mixed = lambda h, order: hashed.append(len(h)) or once(h, order)
+        Reading(texts)
+    finally:
+        lm_scoring.mixed = once
+    assert 0 < sum(hashed) < sum(map(len, texts))
