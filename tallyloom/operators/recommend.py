@@ -233,13 +233,28 @@ def _numbered(ids: DataFrame, key: str) -> DataFrame:
     return cut_lineage(enumerate_rows(ids.select(key).where(F.col(key).isNotNull()).distinct(), key, name=f"{key}_n"))
 
 
+# A block of the solver is built, and gets the vectors it needs, in the memory of one task.
+ALS_BLOCK = 2_000_000
+
+
+def als_blocks(ratings: int) -> int:
+    """Blocks on either side: those Spark takes by default, or more, so that no block grows with the ratings."""
+    return max(10, -(-ratings // ALS_BLOCK))
+
+
 def fit_als(likes: DataFrame, rank: int = 10, max_iter: int = 5, seed: int = 0) -> Factors:
-    """Collaborative filtering on how often a user took an item. Ids of any type; rows with a null id take no part."""
+    """Collaborative filtering on how often a user took an item. Ids of any type; rows with a null id take no part.
+
+    The random start follows the blocks, so it is another one beyond 20 million ratings than a fixed number of blocks would have.
+    """
     users, items = _numbered(likes, "user"), _numbered(likes, "item")
     ratings = likes.groupBy("user", "item").agg(F.count("*").cast("float").alias("rating"))
     ratings = ratings.join(users, "user").join(items, "item").select(F.col("user_n").cast("int"), F.col("item_n").cast("int"), "rating")
+    ratings = cut_lineage(ratings)
     als = ALS(userCol="user_n", itemCol="item_n", ratingCol="rating", rank=rank, maxIter=max_iter, seed=seed)
-    model = als.fit(cut_lineage(ratings))
+    # More blocks need more copies of the vectors: where there is a checkpoint folder, those of a step go before the next but one.
+    als = als.setNumBlocks(als_blocks(ratings.count())).setCheckpointInterval(1)
+    model = als.fit(ratings)
     sides = ((model.userFactors, users, "user"), (model.itemFactors, items, "item"))
     found = [cut_lineage(f.join(ids, f["id"] == ids[f"{key}_n"]).select(key, F.col("features").alias("v"))) for f, ids, key in sides]
     return Factors(*found)

@@ -117,3 +117,21 @@ def test_an_item_never_seen_is_judged(spark):
     found = recommend.predict_favourite(fit, codes, new)
     assert found.columns == ["color", "size", "prediction"]
     assert {(r["color"], r["size"]): r["prediction"] for r in found.collect()} == {("red", "huge"): 1, ("blue", "huge"): 0, ("green", "small"): 0}
+
+
+def test_blocks_of_als_follow_the_ratings(spark, monkeypatch):
+    """They were ten whatever the ratings, so that a block was too large for a task."""
+    assert [recommend.als_blocks(n) for n in (0, 20_000_000, 20_000_001, 216_000_000)] == [10, 10, 11, 108]
+    rng = np.random.default_rng(5)
+    likes = spark.createDataFrame(pd.DataFrame({"user": rng.integers(0, 40, 600), "item": rng.integers(0, 30, 600)}))
+    monkeypatch.setattr(recommend, "ALS_BLOCK", 20)
+    used, fit = [], recommend.ALS.fit
+    monkeypatch.setattr(recommend.ALS, "fit", lambda als, df: used.append((als.getNumUserBlocks(), als.getNumItemBlocks())) or fit(als, df))
+    factors = recommend.fit_als(likes, rank=3, max_iter=2, seed=1)
+    ratings = likes.distinct().count()
+    assert used == [(-(-ratings // 20),) * 2] and used[0][0] > 10
+    assert factors.users.count() == likes.select("user").distinct().count()
+    assert factors.items.count() == likes.select("item").distinct().count()
+    found = recommend.als_top_n(factors, likes, 3).collect()
+    seen = {tuple(r) for r in likes.collect()}
+    assert found and not seen & {(r["user"], r["item"]) for r in found}
