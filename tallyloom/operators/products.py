@@ -67,7 +67,8 @@ def largest_products(users: DataFrame, items: DataFrame, seen: DataFrame, n: int
     placed_users = cut_lineage(placed_users.withColumns({"ub": F.floor(F.col("n") / user_block), "place": F.col("n") % user_block}))
     held = F.sort_array(F.collect_list(F.struct("place", "tie", "v")))
     item_rows = placed_items.groupBy("ib").agg(held.alias("r"), F.max("length").alias("longest"))
-    item_rows = cut_lineage(item_rows.select("ib", "longest", F.col("r.tie").alias("ties"), F.flatten("r.v").alias("factors")))
+    item_rows = item_rows.select("ib", "longest", F.col("r.tie").alias("ties"), F.flatten("r.v").alias("factors"))
+    item_rows = cut_lineage(item_rows, long_rows=True)
     bounds = item_rows.select("ib", "longest")
     last = item_rows.agg(F.max("ib").alias("m")).first()["m"]
     taken = seen.join(placed_users.select("user", "ub", F.col("place").alias("u")), "user").join(placed_items.select("item", "ib", F.col("place").alias("i")), "item")

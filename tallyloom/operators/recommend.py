@@ -134,13 +134,15 @@ def _block_scores(profile: DataFrame, seen: DataFrame, combos: DataFrame, attrs:
     codes = long.join(values, ["cb", "attr", "value"]).groupBy("cb", "c").agg(F.sort_array(F.collect_list("slot")).alias("slots"))
     row = F.struct("c", "slots", "size", "first")
     blocks = codes.join(placed.select("cb", "c", "size", "first"), ["cb", "c"]).groupBy("cb").agg(F.sort_array(F.collect_list(row)).alias("r"))
-    blocks = cut_lineage(blocks.select("cb", F.flatten("r.slots").alias("slots"), F.col("r.size").alias("sizes"), F.col("r.first").alias("firsts")))
+    blocks = blocks.select("cb", F.flatten("r.slots").alias("slots"), F.col("r.size").alias("sizes"), F.col("r.first").alias("firsts"))
+    blocks = cut_lineage(blocks, long_rows=True)
     counts = profile.join(numbered, "user").join(values, ["attr", "value"])
     counts = counts.groupBy("ub", "cb").agg(F.collect_list("u").alias("us"), F.collect_list("slot").alias("at_slots"), F.collect_list("n").alias("ns"))
     had = seen.join(numbered, "user").select("ub", "u", F.floor(F.col("combo") / width).alias("cb"), (F.col("combo") % width).cast("int").alias("c"), "had", "has_first")
     had = had.groupBy("ub", "cb").agg(F.collect_list("u").alias("hu"), F.collect_list("c").alias("hc"), F.collect_list("had").alias("hn"), F.collect_list("has_first").alias("hf"))
     tasks = max(int(profile.sparkSession.conf.get("spark.sql.shuffle.partitions")), profile.sparkSession.sparkContext.defaultParallelism)
-    pairs = cut_lineage(counts).join(blocks, "cb").join(cut_lineage(had), ["ub", "cb"], "left").repartition(tasks, "ub", "cb")
+    counts, had = cut_lineage(counts, long_rows=True), cut_lineage(had, long_rows=True)
+    pairs = counts.join(blocks, "cb").join(had, ["ub", "cb"], "left").repartition(tasks, "ub", "cb")
     arity = len(attrs)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,10 +1,14 @@
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators import products, recommend
 from tallyloom.operators.products import largest_products
+from tallyloom.session import LONG_ROWS, shared_root
 
 
 def plain_products(users, items, seen, n):
@@ -135,3 +139,20 @@ def test_blocks_of_als_follow_the_ratings(spark, monkeypatch):
     found = recommend.als_top_n(factors, likes, 3).collect()
     seen = {tuple(r) for r in likes.collect()}
     assert found and not seen & {(r["user"], r["item"]) for r in found}
+
+
+def test_few_rows_of_long_arrays_to_a_file(spark):
+    """A file's rows are read into one batch of columns: there were as many as a task had blocks."""
+    rng = np.random.default_rng(6)
+    likes = spark.createDataFrame(pd.DataFrame({"user": rng.integers(0, 300, 900), "item": rng.integers(0, 40, 900)}))
+    items = spark.createDataFrame(pd.DataFrame({"item": range(40), "p": [f"p{i % 4}" for i in range(40)], "q": [f"q{i % 9}" for i in range(40)]}))
+    root = Path(shared_root(spark).removeprefix("file:"))
+    before = set(root.glob("*"))
+    found = recommend.content_scores(likes, items, ["p", "q"], 3, user_block=2).collect()
+    assert sorted((r["user"], r["item"], r["score"]) for r in found) == plain_content(likes.toPandas(), items.toPandas(), ["p", "q"], 3)
+    sizes = {}
+    for f in (f for folder in set(root.glob("*")) - before for f in folder.glob("**/*.parquet")):
+        meta = pq.ParquetFile(f)
+        sizes.setdefault(tuple(meta.schema_arrow.names), []).append(meta.metadata.num_rows)
+    long = [n for names, ns in sizes.items() if {"us", "hu", "slots"} & set(names) for n in ns]
+    assert sum(long) > 3 * LONG_ROWS and max(long) <= LONG_ROWS
